@@ -26,12 +26,13 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame | None:
+def small_side(df: DataFrame, max_rows: int | None = None) -> DataFrame | None:
     """Broadcastable copy of ``df`` if it has at most ``max_rows`` rows, else None.
 
     At most ``max_rows + 1`` rows ever reach the driver; the copy is a local
     relation, so its size is exact and its lineage is cut.
     """
+    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
         return None
@@ -86,7 +87,11 @@ def ordinal(
     offsets = counts.select(*keys, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
     if max_rank is not None:
         offsets = offsets.where(F.col("__off") < F.lit(max_rank))
-    joined = join_on(d, offsets, keys)
+        joined = join_on(d, offsets, keys)
+    else:
+        # every (group, bucket) has an offset row, so LEFT equals INNER here; LEFT
+        # lets Catalyst drop the whole numbering when the ordinal is not used
+        joined = join_on(d, offsets, keys, how="left")
     inner = Window.partitionBy(*keys).orderBy(*order_by)
     out = joined.withColumn(name, (F.col("__off") + F.row_number().over(inner)).cast("long"))
     if max_rank is not None:
@@ -99,52 +104,70 @@ def newest_within(
     partition_by: Sequence[str],
     bucket: Column,
     newest_first: Sequence[Column],
-    weight: Column,
-    limit: Column,
+    budgets: Sequence[tuple[Column, Column]],
     keep: bool = True,
 ) -> DataFrame:
-    """Rows of the longest newest suffix per group whose total ``weight`` is <= ``limit``.
-
-    Equivalent to ``sum(weight) OVER (PARTITION BY g ORDER BY newest_first ROWS
-    UNBOUNDED PRECEDING) <= limit`` (weight 1 gives ``row_number() <= limit``).
-    ``bucket`` must grow with recency (e.g. an hour index of the publish time)
-    and ``limit`` must be constant per group (NULL = unlimited).  Buckets that
-    lie wholly inside or outside the budget are decided on the per-bucket
-    table; the exact running sum runs only in the one bucket per group that
-    straddles the cut.  ``keep=False`` returns the complement (the dropped rows).
+    """Rows of the longest newest suffix per group that fits every budget.
+
+    Each budget ``(weight, limit)`` means ``sum(weight) OVER (PARTITION BY g ORDER
+    BY newest_first ROWS UNBOUNDED PRECEDING) <= limit`` (weight 1 gives
+    ``row_number() <= limit``; NULL limit = unlimited).  Each condition keeps a
+    prefix in newest-first order, so their conjunction is one too, and limits
+    applied one after the other give the same rows.  ``bucket`` must grow with
+    recency (e.g. an hour index) and limits must be constant per group.
+    Buckets wholly inside or outside all budgets are decided on the small
+    per-bucket table; the exact running sums run only in the one bucket per
+    group that straddles the cut.  ``keep=False`` returns the dropped rows.
     """
-    d = df.withColumn("__bk", bucket).withColumn("__w", F.coalesce(weight, F.lit(0)).cast("long"))
-    d = d.withColumn("__lim", limit.cast("long"))
+    d = df.withColumn("__bk", bucket)
+    ws, ls = [], []
+    for i, (weight, limit) in enumerate(budgets):
+        d = d.withColumn(f"__w{i}", F.coalesce(weight, F.lit(0)).cast("long"))
+        d = d.withColumn(f"__l{i}", limit.cast("long"))
+        ws.append(f"__w{i}")
+        ls.append(f"__l{i}")
     keys = list(partition_by) + ["__bk"]
-    per = d.groupBy(*keys).agg(F.sum("__w").alias("__bw"), F.max("__lim").alias("__L"))
+    per = d.groupBy(*keys).agg(
+        *[F.sum(w).alias(f"__bw{i}") for i, w in enumerate(ws)],
+        *[F.max(lim).alias(f"__L{i}") for i, lim in enumerate(ls)],
+    )
     newer = Window.partitionBy(*partition_by).orderBy(F.col("__bk").desc()).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    per = per.withColumn("__before", F.coalesce(F.sum("__bw").over(newer), F.lit(0)))
+    inside, outside = [], []
+    for i in range(len(budgets)):
+        before = F.coalesce(F.sum(f"__bw{i}").over(newer), F.lit(0))
+        per = per.withColumn(f"__before{i}", before)
+        lim = F.col(f"__L{i}")
+        inside.append(lim.isNull() | (F.col(f"__before{i}") + F.col(f"__bw{i}") <= lim))
+        outside.append(lim.isNotNull() & (F.col(f"__before{i}") > lim))
+    all_in = reduce(lambda a, b: a & b, inside)
+    any_out = reduce(lambda a, b: a | b, outside)
     per = per.select(
         *keys,
-        "__before",
-        F.when(F.col("__L").isNull() | (F.col("__before") + F.col("__bw") <= F.col("__L")), F.lit("in"))
-        .when(F.col("__before") > F.col("__L"), F.lit("out"))
-        .otherwise(F.lit("cut"))
-        .alias("__cls"),
+        *[f"__before{i}" for i in range(len(budgets))],
+        F.when(all_in, F.lit("in")).when(any_out, F.lit("out")).otherwise(F.lit("cut")).alias("__cls"),
     )
     in_run = Window.partitionBy(*keys).orderBy(*newest_first).rowsBetween(Window.unboundedPreceding, 0)
-    running = F.col("__before") + F.sum("__w").over(in_run)
-    drop_cols = ["__bk", "__w", "__lim", "__before", "__cls", "__run"]
+    fits = reduce(
+        lambda a, b: a & b,
+        [
+            F.col(f"__l{i}").isNull() | (F.col(f"__before{i}") + F.sum(f"__w{i}").over(in_run) <= F.col(f"__l{i}"))
+            for i in range(len(budgets))
+        ],
+    )
+    drop_cols = ["__bk", "__cls", "__fits", *ws, *ls, *[f"__before{i}" for i in range(len(budgets))]]
 
     small = small_side(per)
     if small is not None:
         joined = join_on(d, small, keys)
         whole = joined.where(F.col("__cls") == ("in" if keep else "out"))
-        cut = joined.where(F.col("__cls") == "cut").withColumn("__run", running)
-        cut = cut.where((F.col("__run") <= F.col("__lim")) if keep else (F.col("__run") > F.col("__lim")))
+        cut = joined.where(F.col("__cls") == "cut").withColumn("__fits", fits)
+        cut = cut.where(F.col("__fits") if keep else ~F.col("__fits"))
         return whole.drop(*drop_cols).unionByName(cut.drop(*drop_cols))
     # many buckets: one shuffle on (group, bucket), the window sees every row
-    joined = join_on(d, per, keys).withColumn(
-        "__run", F.when(F.col("__cls") == "cut", running)
-    )
-    kept = (F.col("__cls") == "in") | ((F.col("__cls") == "cut") & (F.col("__run") <= F.col("__lim")))
+    joined = join_on(d, per, keys).withColumn("__fits", F.when(F.col("__cls") == "cut", fits))
+    kept = (F.col("__cls") == "in") | ((F.col("__cls") == "cut") & F.col("__fits"))
     return joined.where(kept if keep else ~kept).drop(*drop_cols)
 
 

@@ -34,22 +34,28 @@ def ttl_live(m: DataFrame, ttl_ms, as_of: Column | None = None) -> DataFrame:
     return m.where(~F.coalesce(is_expired(ttl_ms, as_of), F.lit(False)))
 
 
+def _body_bytes() -> Column:
+    return F.octet_length(F.col("body").cast("binary"))
+
+
 def _recency_bucket(bucket_us: int) -> Column:
     return floor_div(epoch_micros("published_at"), F.lit(bucket_us))
 
 
-_NEWEST = [F.col("published_at").desc(), F.col("delivery_tag").desc()]
+def _newest() -> list[Column]:
+    return [F.col("published_at").desc(), F.col("delivery_tag").desc()]
 
 
 def max_length(m: DataFrame, limit, keep: bool = True, bucket_us: int = HOUR_US) -> DataFrame:
     """Q2: newest ``limit`` messages per queue (drop-head overflow)."""
-    return newest_within(m, ["queue"], _recency_bucket(bucket_us), _NEWEST, F.lit(1), _lit_or_col(limit), keep)
+    budget = [(F.lit(1), _lit_or_col(limit))]
+    return newest_within(m, ["queue"], _recency_bucket(bucket_us), _newest(), budget, keep)
 
 
 def max_length_bytes(m: DataFrame, limit, keep: bool = True, bucket_us: int = HOUR_US) -> DataFrame:
     """Q3: longest newest suffix per queue whose body bytes total <= ``limit``."""
-    weight = F.octet_length(F.col("body").cast("binary"))
-    return newest_within(m, ["queue"], _recency_bucket(bucket_us), _NEWEST, weight, _lit_or_col(limit), keep)
+    budget = [(_body_bytes(), _lit_or_col(limit))]
+    return newest_within(m, ["queue"], _recency_bucket(bucket_us), _newest(), budget, keep)
 
 
 def dead_lettered(m: DataFrame, policies: DataFrame, as_of: Column | None = None) -> DataFrame:
@@ -62,12 +68,9 @@ def dead_lettered(m: DataFrame, policies: DataFrame, as_of: Column | None = None
     dead_exp = F.coalesce(is_expired(F.col("message_ttl_ms"), as_of), F.lit(False))
     expired = mp.where(dead_exp).withColumn("reason", F.lit(EXPIRED))
     live = mp.where(~dead_exp)
-    weight_bytes = F.octet_length(F.col("body").cast("binary"))
-    bucket = _recency_bucket(HOUR_US)
-    by_len = newest_within(live, ["queue"], bucket, _NEWEST, F.lit(1), F.col("max_length"), keep=False)
-    kept_len = newest_within(live, ["queue"], bucket, _NEWEST, F.lit(1), F.col("max_length"), keep=True)
-    by_bytes = newest_within(kept_len, ["queue"], bucket, _NEWEST, weight_bytes, F.col("max_length_bytes"), keep=False)
-    over = by_len.unionByName(by_bytes).withColumn("reason", F.lit(MAXLEN))
+    budgets = [(F.lit(1), F.col("max_length")), (_body_bytes(), F.col("max_length_bytes"))]
+    over = newest_within(live, ["queue"], _recency_bucket(HOUR_US), _newest(), budgets, keep=False)
+    over = over.withColumn("reason", F.lit(MAXLEN))
     dead = expired.unionByName(over).where(F.col("dead_letter_exchange").isNotNull())
     return dead.withColumn("exchange", F.col("dead_letter_exchange")).withColumn(
         "routing_key", F.coalesce("dead_letter_routing_key", "routing_key")

@@ -40,6 +40,7 @@ UNION_QUEUES = ["click", "error", "view"]
 UNMATCHED_QUEUES = ["clicks", "u2"]
 READ_QUEUE, READ_FIRST, READ_LAST = "click", 100, 199
 PUBLISH_SPLIT = "2024-01-16 00:00:00"
+LOG_FILE_RECORDS = 2_000
 # -------------------------------------------------------------------------------
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -205,6 +206,11 @@ def q_ttl_expire(spark, sf):
     return retention.ttl_live(_m(spark, sf, False), TTL_MS).select("queue", "message_id")
 
 
+def _dead(spark, sf):
+    as_of = retention.latest_publish(_m(spark, sf, False))
+    return retention.dead_lettered(_m(spark, sf), policies_table(spark), as_of)
+
+
 def q_max_length(spark, sf):
     return retention.max_length(_m(spark, sf), MAX_LENGTH).select("queue", "message_id")
 
@@ -214,13 +220,11 @@ def q_max_length_bytes(spark, sf):
 
 
 def q_dead_letter(spark, sf):
-    return retention.dead_lettered(_m(spark, sf), policies_table(spark)).select(
-        "message_id", "reason", "exchange"
-    )
+    return _dead(spark, sf).select("message_id", "reason", "exchange")
 
 
 def q_dead_letter_key(spark, sf):
-    return retention.dead_lettered(_m(spark, sf), policies_table(spark)).select("message_id", "routing_key")
+    return _dead(spark, sf).select("message_id", "routing_key")
 
 
 def q_priority_order(spark, sf):
@@ -237,8 +241,8 @@ def _published_log(spark, sf) -> str:
     path = scratch_path(spark, "log")
     m = _m(spark, sf, False)
     split = F.col("published_at") < F.lit(PUBLISH_SPLIT).cast("timestamp_ntz")
-    messagelog.publish(spark, m.where(split), path, 0)
-    messagelog.publish(spark, m.where(~split), path, 1)
+    messagelog.publish(spark, m.where(split), path, 0, LOG_FILE_RECORDS)
+    messagelog.publish(spark, m.where(~split), path, 1, LOG_FILE_RECORDS)
     return path
 
 

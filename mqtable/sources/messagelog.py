@@ -22,6 +22,7 @@ from mqtable.schema import MESSAGE_SCHEMA
 
 TAG_BUCKET = 1 << 20
 BATCH_COL = "publish_batch"
+MAX_RECORDS_PER_FILE = 1_000_000
 
 LOG_SCHEMA = T.StructType(
     [f for f in MESSAGE_SCHEMA.fields if f.name != "queue"]
@@ -43,16 +44,33 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).option("basePath", path).parquet(path)
 
 
-def queue_ends(spark: SparkSession, path: str) -> DataFrame:
-    """Last delivery tag per queue (reads only the tag column)."""
-    return read_log(spark, path).groupBy("queue").agg(F.max("delivery_tag").alias("__end"))
-
-
-def publish(spark: SparkSession, messages: DataFrame, path: str, batch_id: int) -> None:
-    """K1: append ``messages`` (already routed to a ``queue``) as batch ``batch_id``."""
+def queue_ends(spark: SparkSession, path: str, before_batch: int | None = None) -> DataFrame:
+    """Last delivery tag per queue over the batches before ``before_batch``
+    (reads only the tag column; the batch filter prunes partitions)."""
+    log = read_log(spark, path)
+    if before_batch is not None:
+        log = log.where(F.col(BATCH_COL) < before_batch)
+    return log.groupBy("queue").agg(F.max("delivery_tag").alias("__end"))
+
+
+def publish(
+    spark: SparkSession,
+    messages: DataFrame,
+    path: str,
+    batch_id: int,
+    max_records_per_file: int = MAX_RECORDS_PER_FILE,
+) -> None:
+    """K1: append ``messages`` (already routed to a ``queue``) as batch ``batch_id``.
+
+    Files hold at most ``max_records_per_file`` messages, in tag order, so a
+    stream can admit a queue in bounded steps (``maxFilesPerTrigger``) and tag
+    ranges prune row groups.  One writer per log is assumed.
+    """
     cols = [f.name for f in MESSAGE_SCHEMA.fields if f.name != "delivery_tag"]
     fresh = messages.select(*cols)
-    ends = queue_ends(spark, path)
+    # numbering continues after the earlier batches only, so a retry of this
+    # batch gets the same tags and replaces its own partitions
+    ends = queue_ends(spark, path, before_batch=batch_id)
     numbered = ordinal(
         fresh,
         partition_by=["queue"],
@@ -68,6 +86,7 @@ def publish(spark: SparkSession, messages: DataFrame, path: str, batch_id: int)
         out.select(*[f.name for f in LOG_SCHEMA.fields])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy("queue", BATCH_COL)
         .parquet(path)
     )
