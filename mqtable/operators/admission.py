@@ -139,8 +139,8 @@ def backlog(batches: DataFrame, cap: int) -> DataFrame:
 
 def remember_batches(batches: DataFrame, keep: int) -> DataFrame:
     """The last ``keep`` batches (those a stream still remembers)."""
-    last = batches.agg(F.max("batch_id").alias("__hi"))
-    return batches.join(F.broadcast(last), F.col("batch_id") > F.col("__hi") - F.lit(keep)).drop("__hi")
+    last = batches.select(F.max("batch_id")).scalar()
+    return batches.where(F.col("batch_id") > last - F.lit(keep))
 
 
 def tumbling_counts(m: DataFrame, width: str) -> DataFrame:

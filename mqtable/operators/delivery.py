@@ -23,12 +23,10 @@ def disposition(ack_type, ok) -> F.Column:
 
 def ack_dispositions(outcomes: DataFrame, ack_types: list[str]) -> DataFrame:
     """``ack_type, disposition, n`` for each ack type; ``outcomes`` has an ``outcome``
-    column.  Outcomes are counted first, so only the tiny count table meets the
-    list of ack types."""
+    column.  Outcomes are counted first, so only the tiny count table is
+    replicated once per ack type (no join)."""
     counts = outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("__n"))
-    spark = outcomes.sparkSession
-    types = F.broadcast(spark.createDataFrame([(t,) for t in ack_types], "ack_type string"))
-    crossed = counts.crossJoin(types)
+    crossed = counts.withColumn("ack_type", F.explode(F.array(*[F.lit(t) for t in ack_types])))
     return crossed.groupBy(
         "ack_type", disposition(F.col("ack_type"), F.col("outcome") == "ok").alias("disposition")
     ).agg(F.sum("__n").cast("long").alias("n"))

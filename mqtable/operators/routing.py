@@ -94,28 +94,26 @@ def unroutable(messages: DataFrame, bindings: DataFrame) -> DataFrame:
 
 
 def binding_traffic(messages: DataFrame, bindings: DataFrame) -> DataFrame:
-    """Declared bindings with the number of messages each one matches."""
+    """Declared bindings with the number of messages each one matches.
+
+    Messages are first counted per distinct (exchange, routing key); only that
+    table meets the (broadcast, bounded) bindings, and each binding is matched
+    on its own, so overlapping bindings of one queue are all reported.
+    """
     key_counts = messages.groupBy("exchange", "routing_key").agg(F.count(F.lit(1)).alias("__n"))
-    out = []
-    # match each binding on its own so overlapping bindings of one queue are all reported
     b = _compiled_bindings(bindings)
-    k = key_counts.alias("k")
-    cond = (
-        (F.col("k.exchange") == F.col("b.exchange"))
-        & (
-            ((F.col("b.exchange_type") == DIRECT) & (F.col("k.routing_key") == F.col("b.routing_key")))
-            | (F.col("b.exchange_type") == FANOUT)
-            | ((F.col("b.exchange_type") == TOPIC) & F.rlike(topic_key_words(F.col("k.routing_key")), F.col("b.regex")))
-        )
+    names = ["queue", "exchange", "exchange_type", "routing_key"]
+    k = key_counts.select(
+        F.col("exchange").alias("k_exchange"), F.col("routing_key").alias("k_key"), "__n"
+    )
+    cond = (F.col("k_exchange") == F.col("exchange")) & (
+        ((F.col("exchange_type") == DIRECT) & (F.col("k_key") == F.col("routing_key")))
+        | (F.col("exchange_type") == FANOUT)
+        | ((F.col("exchange_type") == TOPIC) & F.rlike(topic_key_words(F.col("k_key")), F.col("regex")))
     )
-    joined = b.alias("b").join(k, cond, "left")
-    out = joined.groupBy(
-        F.col("b.queue").alias("queue"),
-        F.col("b.exchange").alias("exchange"),
-        F.col("b.exchange_type").alias("exchange_type"),
-        F.col("b.routing_key").alias("routing_key"),
-    ).agg(F.coalesce(F.sum("k.__n"), F.lit(0)).cast("long").alias("n_matched"))
-    return out
+    matched = k.join(b, cond, "inner").groupBy(*names).agg(F.sum("__n").alias("__m"))
+    out = join_on(b.select(*names), matched, names, how="left")
+    return out.select(*names, F.coalesce("__m", F.lit(0)).cast("long").alias("n_matched"))
 
 
 __all__ = [
