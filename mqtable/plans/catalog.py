@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from mqtable.operators import admission, counting, delivery, handler, retention, routing
 from mqtable.options import QueueOptions
 from mqtable.session import scratch_path
-from mqtable.sources import messagelog
+from mqtable.sources import datasource, messagelog
 from mqtable.sources.fixtures import bindings_table, message_view, policies_table, sources_table
 from mqtable.streaming import consumer
 
@@ -266,6 +266,32 @@ def _stream_totals(spark, sf, queues):
     return consumer.totals(spark, sink)
 
 
+def q_messagelog_batch_read(spark, sf):
+    """S5 through the Python data source: one queue, one tag range."""
+    datasource.register(spark)
+    path = _published_log(spark, sf)
+    df = (
+        spark.read.format("messagelog")
+        .options(path=path, queues=READ_QUEUE, firstTag=str(READ_FIRST), lastTag=str(READ_LAST))
+        .load()
+    )
+    return df.select("delivery_tag", "message_id")
+
+
+def q_messagelog_stream(spark, sf):
+    """S3 through the Python stream reader: per-batch counts summed per queue."""
+    datasource.register(spark)
+    path = _published_log(spark, sf)
+    stream = (
+        spark.readStream.format("messagelog")
+        .options(path=path, queues=",".join(UNION_QUEUES), levelParallelism="2", maxMessagesPerPartition="1000")
+        .load()
+    )
+    sink = scratch_path(spark, "sink")
+    consumer.run_counts(stream, sink, scratch_path(spark, "ckpt"))
+    return consumer.totals(spark, sink)
+
+
 def q_stream_single_queue(spark, sf):
     return _stream_totals(spark, sf, [READ_QUEUE])
 
@@ -316,4 +342,6 @@ QUERIES: dict[str, Query] = {
     "batch_read_queue": q_batch_read_queue,
     "stream_single_queue": q_stream_single_queue,
     "stream_multi_queue": q_stream_multi_queue,
+    "messagelog_batch_read": q_messagelog_batch_read,
+    "messagelog_stream": q_messagelog_stream,
 }

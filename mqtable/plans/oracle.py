@@ -238,4 +238,8 @@ FROM m""",
     "stream_single_queue": _w(M) + "SELECT queue, count(*) AS n FROM m WHERE queue = 'click' GROUP BY queue",
     "stream_multi_queue": _w(M)
     + "SELECT queue, count(*) AS n FROM m WHERE queue IN ('click', 'error', 'view') GROUP BY queue",
+    "messagelog_batch_read": _w(M)
+    + "SELECT delivery_tag, message_id FROM m WHERE queue = 'click' AND delivery_tag BETWEEN 100 AND 199",
+    "messagelog_stream": _w(M)
+    + "SELECT queue, count(*) AS n FROM m WHERE queue IN ('click', 'error', 'view') GROUP BY queue",
 }

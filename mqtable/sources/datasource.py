@@ -1,0 +1,226 @@
+"""``spark.read.format("messagelog")`` / ``spark.readStream.format("messagelog")``.
+
+A Python data source over the message log written by ``messagelog.publish``.
+Planning lists the log's files of the selected queues and their row-group
+tag ranges (Parquet footers); each ``InputPartition`` is one (queue, tag range)
+slice of at most ``maxMessagesPerPartition`` messages, read on an executor
+with Arrow and returned as Arrow record batches.
+
+* batch: options ``queues`` (or ``queueName``), ``firstTag`` and ``lastTag``
+  prune files and slices at planning time.  ``pushFilters`` is deliberately
+  not implemented: in PySpark 4.1.2 one reader instance is shared by every
+  DataFrame derived from a ``load()``, so filter state pushed for a filtered
+  child leaks into the parent's later plans (observed: ``count()`` of the
+  unfiltered parent returned the child's 100 rows instead of 10,000).
+* stream: the offset is ``{queue: last tag}``, a pure function of the log,
+  so a restarted query resumes exactly; a batch is the tag range between two
+  offsets, split into slices (more partitions, nothing dropped).
+
+The JVM Parquet file source (``messagelog.read_log`` / ``stream_queues``) is
+faster for wide scans; this source exists for the option contract of the
+queue consumer (queue names, parallelism, per-partition message bounds).
+"""
+
+from __future__ import annotations
+
+import json
+from dataclasses import dataclass
+from typing import Iterator
+
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceReader,
+    DataSourceStreamReader,
+    InputPartition,
+)
+
+from mqtable.options import LEVEL_PARALLELISM, MAX_MESSAGES_PER_PARTITION, QUEUE_NAME, parse_int
+
+from mqtable.sources.messagelog import BATCH_COL, LOG_SCHEMA
+
+DEFAULT_SLICE = 1_000_000
+_FILE_COLUMNS = [n for n in LOG_SCHEMA.fieldNames() if n not in (BATCH_COL, "queue")]
+
+
+def _local(path: str):
+    import pyarrow.fs as pafs
+
+    if path.startswith("file:"):
+        stripped = path[len("file:"):]
+        while stripped.startswith("//"):
+            stripped = stripped[1:]
+        return pafs.LocalFileSystem(), stripped
+    fs, rel = pafs.FileSystem.from_uri(path)
+    return fs, rel
+
+
+@dataclass(frozen=True)
+class FilePiece:
+    path: str
+    queue: str
+    publish_batch: int
+    first: int
+    last: int
+    rows: int
+
+
+def list_pieces(path: str, queues: list[str] | None) -> list[FilePiece]:
+    """Files of the log with their tag range, for the selected queues."""
+    import pyarrow.fs as pafs
+    import pyarrow.parquet as pq
+
+    fs, base = _local(path)
+    info = fs.get_file_info(base)
+    if info.type == pafs.FileType.NotFound:
+        return []
+    pieces = []
+    for f in fs.get_file_info(pafs.FileSelector(base, recursive=True)):
+        if f.type != pafs.FileType.File or not f.path.endswith(".parquet"):
+            continue
+        parts = dict(seg.split("=", 1) for seg in f.path[len(base):].split("/") if "=" in seg)
+        if "queue" not in parts or (queues is not None and parts["queue"] not in queues):
+            continue
+        md = pq.ParquetFile(f.path, filesystem=fs).metadata
+        idx = md.schema.to_arrow_schema().get_field_index("delivery_tag")
+        lo, hi = None, None
+        for g in range(md.num_row_groups):
+            st = md.row_group(g).column(idx).statistics
+            if st is None or not st.has_min_max:
+                lo, hi = 1, 2**62
+                break
+            lo = st.min if lo is None else min(lo, st.min)
+            hi = st.max if hi is None else max(hi, st.max)
+        if md.num_rows:
+            pieces.append(FilePiece(f.path, parts["queue"], int(parts.get("publish_batch", 0)), lo, hi, md.num_rows))
+    return pieces
+
+
+class LogSlice(InputPartition):
+    """One queue's messages with ``first <= delivery_tag <= last`` from the given files."""
+
+    def __init__(self, root: str, queue: str, files: list[tuple[str, int]], first: int, last: int):
+        super().__init__(json.dumps([root, queue, files, first, last]))
+        self.root, self.queue, self.files, self.first, self.last = root, queue, files, first, last
+
+
+def _slices(
+    root: str, pieces: list[FilePiece], ranges: dict[str, tuple[int, int | None]], size: int, slots: int = 1
+) -> list[LogSlice]:
+    """Cut each queue's tag range into slices of at most ``size`` tags and at
+    least ``slots`` slices (competing consumers share a queue)."""
+    out = []
+    by_queue: dict[str, list[FilePiece]] = {}
+    for p in pieces:
+        by_queue.setdefault(p.queue, []).append(p)
+    for q in sorted(by_queue):
+        lo, hi = ranges.get(q, (1, None)) if ranges else (1, None)
+        files = by_queue[q]
+        top = max(p.last for p in files) if hi is None else hi
+        step = max(1, min(size, -(-(top - lo + 1) // max(1, slots))))
+        start = lo
+        while start <= top:
+            end = min(top, start + step - 1)
+            hit = [(p.path, p.publish_batch) for p in files if p.last >= start and p.first <= end]
+            if hit:
+                out.append(LogSlice(root, q, hit, start, end))
+            start = end + 1
+    return out
+
+
+def _read_slice(part: LogSlice) -> Iterator:
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    fs, _ = _local(part.root)
+    cols = _FILE_COLUMNS
+    for path, batch in part.files:
+        table = pq.read_table(
+            path,
+            filesystem=fs,
+            columns=cols,
+            filters=[("delivery_tag", ">=", part.first), ("delivery_tag", "<=", part.last)],
+        )
+        n = table.num_rows
+        if not n:
+            continue
+        table = table.append_column(BATCH_COL, pa.array([batch] * n, pa.int64()))
+        table = table.append_column("queue", pa.array([part.queue] * n, pa.string()))
+        yield from table.to_batches()
+
+
+def _queues(options) -> list[str] | None:
+    raw = options.get("queues") or options.get(QUEUE_NAME)
+    return None if raw is None else [q for q in raw.split(",") if q]
+
+
+def _slice_size(options) -> int:
+    return max(1, parse_int(options.get(MAX_MESSAGES_PER_PARTITION), DEFAULT_SLICE))
+
+
+def _slots(options) -> int:
+    return max(1, parse_int(options.get(LEVEL_PARALLELISM), 1))
+
+
+class MessageLogReader(DataSourceReader):
+    def __init__(self, options):
+        self.path = options["path"]
+        self.queues = _queues(options)
+        self.size, self.slots = _slice_size(options), _slots(options)
+        self.lo = max(1, parse_int(options.get("firstTag"), 1))
+        last = options.get("lastTag")
+        self.hi = None if last is None else parse_int(last, None)
+
+    def partitions(self):
+        pieces = list_pieces(self.path, self.queues)
+        ranges = {p.queue: (self.lo, self.hi) for p in pieces}
+        return _slices(self.path, pieces, ranges, self.size, self.slots) or [LogSlice(self.path, "", [], 1, 0)]
+
+    def read(self, partition):
+        return _read_slice(partition)
+
+
+class MessageLogStreamReader(DataSourceStreamReader):
+    def __init__(self, options):
+        self.path = options["path"]
+        self.queues = _queues(options)
+        self.size, self.slots = _slice_size(options), _slots(options)
+
+    def initialOffset(self):
+        return {}
+
+    def latestOffset(self):
+        ends: dict[str, int] = {}
+        for p in list_pieces(self.path, self.queues):
+            ends[p.queue] = max(ends.get(p.queue, 0), p.last)
+        return ends
+
+    def partitions(self, start, end):
+        pieces = list_pieces(self.path, list(end))
+        ranges = {q: (int(start.get(q, 0)) + 1, int(hi)) for q, hi in end.items()}
+        pieces = [p for p in pieces if p.queue in ranges]
+        return _slices(self.path, pieces, ranges, self.size, self.slots)
+
+    def read(self, partition):
+        return _read_slice(partition)
+
+    def commit(self, end):
+        pass
+
+
+class MessageLogSource(DataSource):
+    @classmethod
+    def name(cls):
+        return "messagelog"
+
+    def schema(self):
+        return LOG_SCHEMA
+
+    def reader(self, schema):
+        return MessageLogReader(self.options)
+
+    def streamReader(self, schema):
+        return MessageLogStreamReader(self.options)
+
+
+def register(spark) -> None:
+    spark.dataSource.register(MessageLogSource)
