@@ -96,3 +96,27 @@ def lease_stream(stream: DataFrame, expires: str, delay: str = "0 seconds") -> D
         .groupBy("queue", F.session_window("__event_time", expires).alias("lease"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
+
+
+def progress_counts(spark: SparkSession, query: StreamingQuery) -> DataFrame:
+    """A6 (live): rows each micro-batch consumed, from the query's progress
+    reports, and the count a batch reports (the previous batch's).
+
+    ``recentProgress`` keeps the last ``spark.sql.streaming.numRecentProgressUpdates``
+    reports (metadata only, one small row per batch)."""
+    from pyspark.sql import Window
+
+    rows = [(int(p.batchId), int(p.numInputRows)) for p in query.recentProgress]
+    df = spark.createDataFrame(rows, "batch_id long, n long")
+    return df.withColumn("reported_n", F.lag("n").over(Window.orderBy("batch_id")))
+
+
+def print_stream(stream: DataFrame, rows: int = 20, processing_time: str = "1 second") -> StreamingQuery:
+    """K3: print every micro-batch to the console."""
+    return (
+        stream.writeStream.format("console")
+        .option("numRows", rows)
+        .option("truncate", "false")
+        .trigger(processingTime=processing_time)
+        .start()
+    )

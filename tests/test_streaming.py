@@ -7,12 +7,12 @@ from mqtable.sources import messagelog
 from mqtable.streaming import consumer
 
 
-def _reference_messages(spark, n=10_000, queue="rabbitmq-queue"):
+def _reference_messages(spark, n=10_000, queue="test-queue"):
     # bodies are the decimal text of 1..n, routing key "", one queue
     return spark.range(1, n + 1).select(
         F.col("id").alias("message_id"),
         F.lit(queue).alias("queue"),
-        F.lit("rabbitmq-exchange").alias("exchange"),
+        F.lit("test-exchange").alias("exchange"),
         F.lit("").alias("routing_key"),
         F.col("id").cast("string").alias("body"),
         F.lit(None).cast("map<string,string>").alias("headers"),
@@ -26,7 +26,7 @@ def test_reference_scenario_total(spark):
     log = scratch_path(spark, "t-log")
     messagelog.publish(spark, _reference_messages(spark), log, 0, max_records_per_file=1000)
     sink = scratch_path(spark, "t-sink")
-    stream = messagelog.stream_queue(spark, log, "rabbitmq-queue", max_files_per_trigger=2)
+    stream = messagelog.stream_queue(spark, log, "test-queue", max_files_per_trigger=2)
     consumer.run_counts(stream, sink, scratch_path(spark, "t-ck"), timeout_s=120)
     per_batch = consumer.sink_batches(spark, sink)
     assert per_batch.select("batch_id").distinct().count() >= 3
@@ -88,3 +88,34 @@ def test_stream_dedupe_within_watermark(spark):
     )
     q.awaitTermination(120)
     assert spark.sql("SELECT count(*) FROM dedupe_out").first()[0] == 50
+
+
+def test_progress_counts_and_stream_leases(spark):
+    from mqtable.operators import retention
+
+    log = scratch_path(spark, "t-log5")
+    msgs = _reference_messages(spark, 3000, "q").withColumn(
+        # bursts: 30 messages per minute, then a 2 h pause every 600 messages
+        "published_at",
+        (F.timestamp_seconds(F.lit(1_700_000_000) + F.col("message_id") * 2 + (F.col("message_id") / 600).cast("long") * 7200)).cast("timestamp_ntz"),
+    )
+    messagelog.publish(spark, msgs, log, 0, 500)
+    sink, ck = scratch_path(spark, "t-sink5"), scratch_path(spark, "t-ck5")
+    q = consumer.run_counts(messagelog.stream_queue(spark, log, "q", max_files_per_trigger=1), sink, ck, timeout_s=120)
+    prog = consumer.progress_counts(spark, q).orderBy("batch_id").collect()
+    assert sum(r.n for r in prog) == 3000 and prog[0].reported_n is None
+    assert all(prog[i].reported_n == prog[i - 1].n for i in range(1, len(prog)))
+
+    leases = (
+        consumer.lease_stream(messagelog.stream_queue(spark, log, "q"), "1 hour")
+        .writeStream.outputMode("complete")
+        .format("memory")
+        .queryName("lease_out")
+        .option("checkpointLocation", scratch_path(spark, "t-ck6"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    leases.awaitTermination(120)
+    streamed = sorted((r.n,) for r in spark.sql("SELECT n FROM lease_out").collect())
+    batch = sorted((r.n,) for r in retention.queue_leases(msgs, 3_600_000).collect())
+    assert streamed == batch and len(batch) == 6
