@@ -10,7 +10,7 @@ per-bucket problem on an aggregate table, and run exact windows only inside
 from __future__ import annotations
 
 from functools import reduce
-from typing import Iterable, Sequence
+from typing import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -58,6 +58,46 @@ def join_side_table(big: DataFrame, side: DataFrame, keys: Sequence[str], how: s
     return join_on(big, small if small is not None else side, keys, how)
 
 
+# Rows one window task should see at most (about); hot time intervals are split to it.
+CHUNK_TARGET_ROWS = 1 << 20
+_MAX_SPLIT = 1 << 20  # sub-intervals per base interval (keeps the chunk key a long)
+
+
+def time_chunks(
+    df: DataFrame,
+    partition_by: Sequence[str],
+    ts_us: Column,
+    base_us: int,
+    name: str,
+    target_rows: int | None = None,
+) -> DataFrame:
+    """Add ``name``: a chunk index that grows with time inside each group and whose
+    chunks hold about ``target_rows`` rows or fewer.
+
+    Time is cut into ``base_us`` intervals; an interval of a group with more than
+    ``target_rows`` rows is split evenly into ``ceil(rows / target_rows)``
+    contiguous sub-intervals.  Only the hot intervals form the side table, so it
+    stays small however large the data grows.
+    """
+    target = target_rows or CHUNK_TARGET_ROWS
+    d = df.withColumn("__tus", ts_us).withColumn("__base", floor_div("__tus", F.lit(base_us)))
+    hot = (
+        d.groupBy(*partition_by, "__base")
+        .agg(F.count(F.lit(1)).alias("__cnt"))
+        .where(F.col("__cnt") > target)
+        .select(
+            *partition_by,
+            "__base",
+            F.least(F.lit(_MAX_SPLIT), F.ceil(F.col("__cnt") / F.lit(target))).cast("long").alias("__parts"),
+        )
+    )
+    d = join_side_table(d, hot, list(partition_by) + ["__base"], how="left")
+    parts = F.coalesce(F.col("__parts"), F.lit(1))
+    offset = F.col("__tus") - F.col("__base") * F.lit(base_us)
+    sub = floor_div(offset * parts, F.lit(base_us))
+    return d.withColumn(name, F.col("__base") * F.lit(_MAX_SPLIT) + sub).drop("__tus", "__base", "__parts")
+
+
 def ordinal(
     df: DataFrame,
     partition_by: Sequence[str],
@@ -106,6 +146,7 @@ def newest_within(
     newest_first: Sequence[Column],
     budgets: Sequence[tuple[Column, Column]],
     keep: bool = True,
+    refine: Callable[[DataFrame], Column] | None = None,
 ) -> DataFrame:
     """Rows of the longest newest suffix per group that fits every budget.
 
@@ -118,6 +159,9 @@ def newest_within(
     Buckets wholly inside or outside all budgets are decided on the small
     per-bucket table; the exact running sums run only in the one bucket per
     group that straddles the cut.  ``keep=False`` returns the dropped rows.
+    ``refine`` gives a finer recency bucket for the rows of a straddling
+    bucket; they are then solved again one level down (budgets reduced by
+    what the newer buckets used), so the exact window sees one fine bucket.
     """
     d = df.withColumn("__bk", bucket)
     ws, ls = [], []
@@ -162,7 +206,27 @@ def newest_within(
     if small is not None:
         joined = join_on(d, small, keys)
         whole = joined.where(F.col("__cls") == ("in" if keep else "out"))
-        cut = joined.where(F.col("__cls") == "cut").withColumn("__fits", fits)
+        cut = joined.where(F.col("__cls") == "cut")
+        if refine is not None:
+            # keep the per-row weights/limits as plain columns for the next level
+            nb = len(budgets)
+            staged = cut
+            for i in range(nb):
+                staged = staged.withColumn(f"__rw{i}", F.col(f"__w{i}")).withColumn(
+                    f"__rl{i}", F.col(f"__l{i}") - F.col(f"__before{i}")
+                )
+            staged = staged.drop(*drop_cols)
+            sub = newest_within(
+                staged,
+                partition_by,
+                refine(staged),
+                newest_first,
+                [(F.col(f"__rw{i}"), F.col(f"__rl{i}")) for i in range(nb)],
+                keep,
+            )
+            sub = sub.drop(*[f"__rw{i}" for i in range(nb)], *[f"__rl{i}" for i in range(nb)])
+            return whole.drop(*drop_cols).unionByName(sub)
+        cut = cut.withColumn("__fits", fits)
         cut = cut.where(F.col("__fits") if keep else ~F.col("__fits"))
         return whole.drop(*drop_cols).unionByName(cut.drop(*drop_cols))
     # many buckets: one shuffle on (group, bucket), the window sees every row
@@ -183,7 +247,8 @@ def gap_sessions(
     group is ``>= gap`` earlier (or there is none).  Returns
     ``partition_by..., session_start (ts type), n``.
 
-    Time is cut into chunks of ``chunk_us``; the previous event of a chunk's
+    Time is cut into chunks of ``chunk_us`` (hot chunks split further by
+    ``time_chunks``); the previous event of a chunk's
     first row comes from the small per-chunk table, so every window runs per
     (group, chunk).  Rows before the first start in a chunk belong to the last
     session of an earlier chunk, resolved on the per-(chunk, session) table.
@@ -192,7 +257,7 @@ def gap_sessions(
     d = df.select(*partition_by, *tiebreak, F.col(ts).alias("__ts")).withColumn(
         "__us", epoch_micros("__ts")
     )
-    d = d.withColumn("__ck", floor_div("__us", F.lit(chunk_us)))
+    d = time_chunks(d, partition_by, F.col("__us"), chunk_us, "__ck")
     keys = list(partition_by) + ["__ck"]
     chunks = d.groupBy(*keys).agg(F.max("__us").alias("__cmax"))
     chunks = chunks.select(

@@ -42,6 +42,16 @@ def _recency_bucket(bucket_us: int) -> Column:
     return floor_div(epoch_micros("published_at"), F.lit(bucket_us))
 
 
+# the straddling bucket is re-cut into this many sub-buckets before the exact window
+REFINE_SPLIT = 4096
+
+
+def _refine(bucket_us: int):
+    """Finer recency bucket (``bucket_us / REFINE_SPLIT``) for the straddling bucket's rows."""
+    fine = max(1, bucket_us // REFINE_SPLIT)
+    return lambda df: floor_div(epoch_micros("published_at"), F.lit(fine))
+
+
 def _newest() -> list[Column]:
     return [F.col("published_at").desc(), F.col("delivery_tag").desc()]
 
@@ -49,13 +59,13 @@ def _newest() -> list[Column]:
 def max_length(m: DataFrame, limit, keep: bool = True, bucket_us: int = HOUR_US) -> DataFrame:
     """Q2: newest ``limit`` messages per queue (drop-head overflow)."""
     budget = [(F.lit(1), _lit_or_col(limit))]
-    return newest_within(m, ["queue"], _recency_bucket(bucket_us), _newest(), budget, keep)
+    return newest_within(m, ["queue"], _recency_bucket(bucket_us), _newest(), budget, keep, _refine(bucket_us))
 
 
 def max_length_bytes(m: DataFrame, limit, keep: bool = True, bucket_us: int = HOUR_US) -> DataFrame:
     """Q3: longest newest suffix per queue whose body bytes total <= ``limit``."""
     budget = [(_body_bytes(), _lit_or_col(limit))]
-    return newest_within(m, ["queue"], _recency_bucket(bucket_us), _newest(), budget, keep)
+    return newest_within(m, ["queue"], _recency_bucket(bucket_us), _newest(), budget, keep, _refine(bucket_us))
 
 
 def dead_lettered(m: DataFrame, policies: DataFrame, as_of: Column | None = None) -> DataFrame:
@@ -69,7 +79,7 @@ def dead_lettered(m: DataFrame, policies: DataFrame, as_of: Column | None = None
     expired = mp.where(dead_exp).withColumn("reason", F.lit(EXPIRED))
     live = mp.where(~dead_exp)
     budgets = [(F.lit(1), F.col("max_length")), (_body_bytes(), F.col("max_length_bytes"))]
-    over = newest_within(live, ["queue"], _recency_bucket(HOUR_US), _newest(), budgets, keep=False)
+    over = newest_within(live, ["queue"], _recency_bucket(HOUR_US), _newest(), budgets, False, _refine(HOUR_US))
     over = over.withColumn("reason", F.lit(MAXLEN))
     dead = expired.unionByName(over).where(F.col("dead_letter_exchange").isNotNull())
     return dead.withColumn("exchange", F.col("dead_letter_exchange")).withColumn(

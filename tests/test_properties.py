@@ -69,8 +69,15 @@ def test_newest_within_equals_running_sum(spark, seed, side_path):
     assert dropped + len(kept) == 250  # kept + dead = all
 
 
+@pytest.fixture(params=[None, 3])
+def chunk_target(request, monkeypatch):
+    if request.param:
+        monkeypatch.setattr(ordering, "CHUNK_TARGET_ROWS", request.param)  # split every busy interval
+    return request.param
+
+
 @pytest.mark.parametrize("seed", [6, 7])
-def test_gap_sessions_equal_lag_form(spark, seed, side_path):
+def test_gap_sessions_equal_lag_form(spark, seed, side_path, chunk_target):
     m = _random_messages(spark, 200, seed)
     got = retention.queue_leases(m, 60 * 60_000, chunk_us=4 * 3_600_000_000).toPandas()
     pdf = m.toPandas().sort_values(["queue", "published_at", "message_id"])
@@ -83,6 +90,17 @@ def test_gap_sessions_equal_lag_form(spark, seed, side_path):
     assert a == b
 
 
+def test_time_chunks_bounded_and_monotone(spark):
+    m = _random_messages(spark, 400, 10, skew=0.9)
+    from mqtable.functions.time import epoch_micros
+
+    c = ordering.time_chunks(m, ["queue"], epoch_micros("published_at"), 24 * 3_600_000_000, "ck", target_rows=20)
+    pdf = c.toPandas().sort_values(["queue", "published_at", "message_id"])
+    assert (pdf.groupby("queue").ck.diff().fillna(0) >= 0).all()  # grows with time
+    sizes = pdf.groupby(["queue", "ck"]).size()
+    assert len(sizes) > 20 and sizes.max() <= 60  # hot days were split (bursty data: ~target)
+
+
 def test_priority_positions_equal_window(spark):
     m = admission.with_batch(_random_messages(spark, 150, 8), 86_400_000)
     got = retention.priority_positions(m, 5).select("message_id", "pos").toPandas()
