@@ -22,6 +22,9 @@ def decode_body(body) -> Column:
 def headers_map(**entries) -> Column:
     """``MAP<STRING,STRING>`` of the non-null entries, NULL when all are absent."""
     pairs = [(k, _col(v).cast("string")) for k, v in entries.items()]
+    if len(pairs) == 1:  # common case without a higher-order function (stays in codegen)
+        (k, v), = pairs
+        return F.when(v.isNotNull(), F.create_map(F.lit(k), v))
     kv = F.map_from_entries(
         F.filter(
             F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in pairs]),

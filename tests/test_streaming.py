@@ -119,3 +119,36 @@ def test_progress_counts_and_stream_leases(spark):
     streamed = sorted((r.n,) for r in spark.sql("SELECT n FROM lease_out").collect())
     batch = sorted((r.n,) for r in retention.queue_leases(msgs, 3_600_000).collect())
     assert streamed == batch and len(batch) == 6
+
+
+def test_stream_factories(spark):
+    from pyspark.sql import types as T
+
+    from mqtable.options import OptionError, SourceKey
+    from mqtable.streaming import api
+
+    log = scratch_path(spark, "t-log7")
+    msgs = _reference_messages(spark, 400, "a").unionByName(
+        _reference_messages(spark, 300, "b").withColumn("message_id", F.col("message_id") + 1000)
+        .withColumn("body", F.when(F.col("message_id") % 10 == 0, F.lit("x")).otherwise(F.col("body")))
+    )
+    messagelog.publish(spark, msgs, log, 0, 100)
+
+    def drain(stream, name):
+        q = (stream.writeStream.format("memory").queryName(name)
+             .option("checkpointLocation", scratch_path(spark, "t-ck-" + name)).trigger(availableNow=True).start())
+        q.awaitTermination(120)
+        return spark.sql(f"SELECT * FROM {name}")
+
+    single = drain(api.create_stream(spark, log, {"queueName": "a"}, max_files_per_trigger=1), "f_single")
+    assert single.count() == 400 and single.where("body = '7'").count() == 1
+    keys = [SourceKey("a"), SourceKey("b", options={"levelParallelism": "2"})]
+    typed = drain(api.create_distributed_stream(spark, log, keys, {}, int, T.LongType()), "f_multi")
+    got = {(r.source_index, r.outcome): r["count"] for r in typed.groupBy("source_index", "outcome").count().collect()}
+    assert got == {(0, "ok"): 400, (1, "ok"): 270, (1, "failed"): 30}
+    assert api.create_distributed_stream(spark, log, [], {}).count() == 0  # no source: nothing, no error
+    import pytest
+
+    with pytest.raises(OptionError):
+        api.create_stream(spark, log, {})
+    assert api.read_slice(spark, log, SourceKey("b"), 10, 19).count() == 10
