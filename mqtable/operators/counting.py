@@ -27,9 +27,17 @@ def z_score(confidence: float) -> float:
     return NormalDist().inv_cdf((1.0 + confidence) / 2.0)
 
 
-def count_approx(m: DataFrame, sample_mod: int = 10, confidence: float = 0.95) -> DataFrame:
+def count_approx(
+    m: DataFrame, sample_mod: int = 10, confidence: float = 0.95, counted: DataFrame | None = None
+) -> DataFrame:
     """A2: per-queue count estimated from a deterministic 1/``sample_mod`` sample
-    of delivery tags, with a normal-approximation interval (rounded)."""
+    of delivery tags, with a normal-approximation interval (rounded).
+
+    When the batch was already counted (``counted``: ``queue, n``), the answer is
+    exact: ``mean = low = high = n`` with confidence 1.0, and nothing is scanned."""
+    if counted is not None:
+        n = F.col("n").cast("long")
+        return counted.select("queue", n.alias("mean"), n.alias("low"), n.alias("high"))
     p = 1.0 / sample_mod
     z = z_score(confidence)
     k = F.count(F.lit(1))

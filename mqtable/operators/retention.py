@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mqtable.functions.time import MS, epoch_micros, floor_div
-from mqtable.operators.ordering import gap_sessions, join_on, newest_within, ordinal
+from mqtable.operators.ordering import gap_sessions, join_side_table, newest_within, ordinal
 
 HOUR_US = 3_600_000 * MS
 TAG_BUCKET = 1 << 20
@@ -73,8 +73,7 @@ def dead_lettered(m: DataFrame, policies: DataFrame, as_of: Column | None = None
     exchange (``reason`` expired / maxlen); without one they are gone.
     Expiry is applied first, then the length and byte limits to what is left."""
     as_of = latest_publish(m) if as_of is None else as_of
-    p = F.broadcast(policies)  # one row per queue: a configuration table
-    mp = join_on(m, p, ["queue"])
+    mp = join_side_table(m, policies, ["queue"])  # one row per queue; broadcast after a size check
     dead_exp = F.coalesce(is_expired(F.col("message_ttl_ms"), as_of), F.lit(False))
     expired = mp.where(dead_exp).withColumn("reason", F.lit(EXPIRED))
     live = mp.where(~dead_exp)

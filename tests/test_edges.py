@@ -178,3 +178,12 @@ def test_queue_lease_gap_boundary(spark):
     assert [r.n for r in rows] == [3, 1]
     exact = messages(spark, [{"published_at": T0}, {"published_at": T0 + dt.timedelta(hours=1)}])
     assert retention.queue_leases(exact, 3_600_000).count() == 2  # a gap of exactly `expires` ends the lease
+
+
+def test_count_approx_exact_when_counted(spark):
+    m = messages(spark, [{"queue": "q"} for _ in range(40)])
+    counted = counting.count_by_source(m, spark.createDataFrame([(0, "q", None, None, None, {})], SOURCE_SCHEMA))
+    r = counting.count_approx(m, counted=counted).first()
+    assert (r.mean, r.low, r.high) == (40, 40, 40)
+    est = counting.count_approx(m).first()
+    assert est.mean == 40 and est.low < 40 < est.high
