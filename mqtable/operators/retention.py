@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mqtable.functions.time import MS, epoch_micros, floor_div
@@ -56,8 +56,22 @@ def _newest() -> list[Column]:
     return [F.col("published_at").desc(), F.col("delivery_tag").desc()]
 
 
+# Spark rewrites ``row_number() <= N`` into a map-side partial top-N up to this N
+# (spark.sql.optimizer.windowGroupLimitThreshold, default 1000)
+GROUP_LIMIT_MAX = 1000
+
+
 def max_length(m: DataFrame, limit, keep: bool = True, bucket_us: int = HOUR_US) -> DataFrame:
-    """Q2: newest ``limit`` messages per queue (drop-head overflow)."""
+    """Q2: newest ``limit`` messages per queue (drop-head overflow).
+
+    A small literal limit uses the plain window: Spark keeps only the top
+    ``limit`` rows per queue in every map task before the shuffle, so even a
+    hot queue ships at most ``limit`` rows per task.  Otherwise (large or
+    per-queue limits, or the dropped rows) the bucketed suffix solver runs.
+    """
+    if keep and isinstance(limit, int) and 0 <= limit <= GROUP_LIMIT_MAX:
+        rank = F.row_number().over(Window.partitionBy("queue").orderBy(*_newest()))
+        return m.withColumn("__rn", rank).where(F.col("__rn") <= limit).drop("__rn")
     budget = [(F.lit(1), _lit_or_col(limit))]
     return newest_within(m, ["queue"], _recency_bucket(bucket_us), _newest(), budget, keep, _refine(bucket_us))
 
