@@ -37,6 +37,13 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def ensure_dir(spark: SparkSession, path: str) -> None:
+    """Create ``path`` on its file system (local, HDFS, object store) if missing."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+
+
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """The whole log as a batch DataFrame (empty when nothing was published)."""
     if not _exists(spark, path):

@@ -152,3 +152,43 @@ def test_stream_factories(spark):
     with pytest.raises(OptionError):
         api.create_stream(spark, log, {})
     assert api.read_slice(spark, log, SourceKey("b"), 10, 19).count() == 10
+
+
+def test_stream_redelivery_matches_batch(spark):
+    from mqtable.operators import delivery
+    from mqtable.streaming import redelivery as rd
+
+    log = scratch_path(spark, "t-log8")
+    msgs = _reference_messages(spark, 200, "q").withColumn(
+        "fail_count",
+        F.when(F.col("message_id") % 17 == 0, F.lit(99)).when(F.col("message_id") % 5 == 0, F.lit(2)).otherwise(F.lit(0)),
+    )
+    messagelog.publish(spark, msgs, log, 0, 50)
+    retry, ok, dead = (scratch_path(spark, x) for x in ("t-retry", "t-ok", "t-dead"))
+    ck = scratch_path(spark, "t-ck8")
+    for _ in range(6):  # each run picks up the retries the previous run wrote
+        s = rd.delivery_stream(spark, log, "q", retry)
+        w = rd.redelivery_writer(ok, retry, dead, rd.handler_fails_until(), max_attempts=5)
+        s.writeStream.foreachBatch(w).option("checkpointLocation", ck).trigger(availableNow=True).start().awaitTermination(120)
+    done = spark.read.parquet(ok)
+    poison = spark.read.parquet(dead)
+    assert done.count() + poison.count() == 200  # every message ends exactly once
+    assert poison.count() == msgs.where("fail_count = 99").count() and set(r.attempt for r in poison.collect()) == {5}
+    attempts = done.unionByName(poison, allowMissingColumns=True).agg(F.sum("attempt")).first()[0]
+    assert attempts == delivery.redeliveries(msgs, 5).count()  # same deliveries as the batch operator
+
+
+def test_stream_publish_idempotent(spark):
+    from mqtable.streaming import redelivery as rd
+
+    src = scratch_path(spark, "t-log9")
+    msgs = _reference_messages(spark, 300, "q")
+    messagelog.publish(spark, msgs, src, 0, 60)
+    out, ck = scratch_path(spark, "t-log9b"), scratch_path(spark, "t-ck9")
+    stream = messagelog.stream_queue(spark, src, "q", max_files_per_trigger=2).drop("delivery_tag", "publish_batch")
+    stream.writeStream.foreachBatch(rd.publish_writer(out)).option("checkpointLocation", ck).trigger(
+        availableNow=True
+    ).start().awaitTermination(120)
+    got = messagelog.read_log(spark, out)
+    assert got.count() == 300 and got.select("delivery_tag").distinct().count() == 300
+    assert got.agg(F.max("delivery_tag")).first()[0] == 300
