@@ -63,6 +63,54 @@ CHUNK_TARGET_ROWS = 1 << 20
 _MAX_SPLIT = 1 << 20  # sub-intervals per base interval (keeps the chunk key a long)
 
 
+SPLIT_LEVELS = 3  # hot ranges are re-split up to this many times
+
+
+def _split_hot(d: DataFrame, partition_by: Sequence[str], target: int, names: Sequence[str]) -> DataFrame:
+    """Split hot chunks into contiguous value sub-ranges, level by level.
+
+    Each row has its value ``__x``; ``names[0]`` already holds the base chunk.
+    Level i adds ``names[i]``: a (group, chunk) with more than ``target`` rows
+    is re-based to the range its rows occupy (its own min and max) and cut into
+    ``4 * ceil(rows / target)`` (at least 64) equal parts; other rows get 0.
+    Re-basing lets every level narrow onto dense clusters inside sparse
+    ranges.  Only hot chunks enter each level's side table, and the chunk
+    order is the lexicographic order of ``names``.
+    """
+    keys = list(partition_by) + [names[0]]
+    for level in names[1:]:
+        hot = (
+            d.groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("__cnt"), F.min("__x").alias("__hlo"), F.max("__x").alias("__hhi"))
+            .where(F.col("__cnt") > target)
+            .select(
+                *keys,
+                "__hlo",
+                "__hhi",
+                F.least(F.lit(_MAX_SPLIT), F.greatest(F.lit(64), 4 * F.ceil(F.col("__cnt") / F.lit(target))))
+                .cast("double")
+                .alias("__parts"),
+            )
+        )
+        rows = hot.limit(BROADCAST_MAX_ROWS + 1).collect()
+        if not rows:  # nothing is hot at this level, so nothing is below it either
+            for rest in names[names.index(level):]:
+                d = d.withColumn(rest, F.lit(0).cast("long"))
+            break
+        side = hot if len(rows) > BROADCAST_MAX_ROWS else F.broadcast(d.sparkSession.createDataFrame(rows, hot.schema))
+        d = join_on(d, side, keys, how="left")
+        step = (F.col("__hhi") - F.col("__hlo") + F.lit(1.0)) / F.col("__parts")
+        sub = F.least(F.floor((F.col("__x") - F.col("__hlo")) / step), F.col("__parts") - 1).cast("long")
+        d = d.withColumn(level, F.coalesce(F.greatest(sub, F.lit(0)), F.lit(0)).cast("long"))
+        d = d.drop("__hlo", "__hhi", "__parts")
+        keys.append(level)
+    return d.drop("__x")
+
+
+def _level_names(name: str) -> list[str]:
+    return [f"{name}_{i}" for i in range(SPLIT_LEVELS + 1)]
+
+
 def time_chunks(
     df: DataFrame,
     partition_by: Sequence[str],
@@ -71,31 +119,56 @@ def time_chunks(
     name: str,
     target_rows: int | None = None,
 ) -> DataFrame:
-    """Add ``name``: a chunk index that grows with time inside each group and whose
-    chunks hold about ``target_rows`` rows or fewer.
+    """Add chunk columns ``chunk_columns(name)`` that order rows by time inside each
+    group (lexicographically) and hold about ``target_rows`` rows or fewer per chunk.
 
-    Time is cut into ``base_us`` intervals; an interval of a group with more than
-    ``target_rows`` rows is split evenly into ``ceil(rows / target_rows)``
-    contiguous sub-intervals.  Only the hot intervals form the side table, so it
-    stays small however large the data grows.
+    Time is cut into ``base_us`` intervals; an interval with more than
+    ``target_rows`` rows of one group is split into contiguous sub-intervals
+    of the span its rows occupy, and still-hot ones again (up to
+    ``SPLIT_LEVELS``).
     """
     target = target_rows or CHUNK_TARGET_ROWS
-    d = df.withColumn("__tus", ts_us).withColumn("__base", floor_div("__tus", F.lit(base_us)))
-    hot = (
-        d.groupBy(*partition_by, "__base")
-        .agg(F.count(F.lit(1)).alias("__cnt"))
-        .where(F.col("__cnt") > target)
-        .select(
-            *partition_by,
-            "__base",
-            F.least(F.lit(_MAX_SPLIT), F.ceil(F.col("__cnt") / F.lit(target))).cast("long").alias("__parts"),
-        )
+    names = _level_names(name)
+    d = df.withColumn("__x", ts_us.cast("double")).withColumn(names[0], floor_div(ts_us, F.lit(base_us)))
+    return _split_hot(d, partition_by, target, names)
+
+
+def value_chunks(
+    df: DataFrame,
+    partition_by: Sequence[str],
+    value: Column,
+    name: str,
+    target_rows: int | None = None,
+) -> DataFrame:
+    """Add chunk columns ``chunk_columns(name)`` that order rows by an integer
+    ``value`` inside each group and hold about ``target_rows`` rows or fewer,
+    for dense, sparse and clustered values alike.
+
+    Each group's range ``[min, max]`` is cut into ``ceil(count / target)``
+    equal base ranges (a per-group table), then hot ranges are split further
+    as in ``time_chunks``.
+    """
+    target = target_rows or CHUNK_TARGET_ROWS
+    names = _level_names(name)
+    d = df.withColumn("__x", value.cast("double"))
+    stats = d.groupBy(*partition_by).agg(
+        F.min("__x").alias("__gmin"),
+        F.max("__x").alias("__gmax"),
+        F.count(F.lit(1)).alias("__n"),
     )
-    d = join_side_table(d, hot, list(partition_by) + ["__base"], how="left")
-    parts = F.coalesce(F.col("__parts"), F.lit(1))
-    offset = F.col("__tus") - F.col("__base") * F.lit(base_us)
-    sub = floor_div(offset * parts, F.lit(base_us))
-    return d.withColumn(name, F.col("__base") * F.lit(_MAX_SPLIT) + sub).drop("__tus", "__base", "__parts")
+    pieces = F.greatest(F.lit(1.0), F.ceil(F.col("__n") / F.lit(target)).cast("double"))
+    stats = stats.select(
+        *partition_by, "__gmin", ((F.col("__gmax") - F.col("__gmin") + F.lit(1.0)) / pieces).alias("__bw")
+    )
+    d = join_side_table(d, stats, list(partition_by), how="left")
+    base = F.floor((F.col("__x") - F.col("__gmin")) / F.col("__bw")).cast("long")
+    d = d.withColumn(names[0], base).drop("__gmin", "__bw")
+    return _split_hot(d, partition_by, target, names)
+
+
+def chunk_columns(name: str) -> list[str]:
+    """Column names ``time_chunks`` / ``value_chunks`` add for ``name`` (in order)."""
+    return _level_names(name)
 
 
 def ordinal(
@@ -258,10 +331,11 @@ def gap_sessions(
         "__us", epoch_micros("__ts")
     )
     d = time_chunks(d, partition_by, F.col("__us"), chunk_us, "__ck")
-    keys = list(partition_by) + ["__ck"]
+    cks = chunk_columns("__ck")
+    keys = list(partition_by) + cks
     chunks = d.groupBy(*keys).agg(F.max("__us").alias("__cmax"))
     chunks = chunks.select(
-        *keys, F.lag("__cmax").over(Window.partitionBy(*partition_by).orderBy("__ck")).alias("__pmax")
+        *keys, F.lag("__cmax").over(Window.partitionBy(*partition_by).orderBy(*cks)).alias("__pmax")
     )
     d = join_side_table(d, chunks, keys)
     local = Window.partitionBy(*keys).orderBy("__us", *tiebreak)
@@ -275,7 +349,7 @@ def gap_sessions(
     pieces = d.groupBy(*keys, "__sess").agg(F.count(F.lit(1)).alias("__n"))
     owner_w = (
         Window.partitionBy(*partition_by)
-        .orderBy("__ck", F.col("__sess").asc_nulls_first())
+        .orderBy(*cks, F.col("__sess").asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     pieces = pieces.withColumn("__owner", F.last("__sess", ignorenulls=True).over(owner_w))

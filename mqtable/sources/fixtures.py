@@ -15,9 +15,6 @@ from mqtable.functions.time import floor_div
 from mqtable.operators.ordering import ordinal
 from mqtable.schema import BINDING_SCHEMA, POLICY_SCHEMA, SOURCE_SCHEMA
 
-# Width (in event ids) of the buckets the per-queue tag numbering is split into;
-# bounds the rows one numbering task sees, whatever the queue skew.
-TAG_BUCKET_IDS = 1 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +51,9 @@ def message_view(spark: SparkSession, sf_dir: str, with_tag: bool = True) -> Dat
     )
     m = m.withColumn("headers", headers_map(user=F.col("header_user"))).drop("header_user")
     if with_tag:
+        # event ids are dense (0..n-1), so fixed-width id buckets hold at most
+        # TAG_BUCKET_IDS rows each and need no extra pass; for ids of unknown
+        # density use ``value_chunks`` (as publishing does)
         m = ordinal(
             m,
             partition_by=["queue"],
@@ -64,6 +64,11 @@ def message_view(spark: SparkSession, sf_dir: str, with_tag: bool = True) -> Dat
     return m
 
 
+# Width (in event ids) of the buckets the per-queue tag numbering is split into;
+# bounds the rows one numbering task sees, whatever the queue skew.
+TAG_BUCKET_IDS = 1 << 20
+
+
 # --- fixed values: side tables of the registered queries ----------------------
 BINDINGS = [
     ("all", "events", "topic", "#"),

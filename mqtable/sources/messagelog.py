@@ -16,11 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mqtable.functions.time import floor_div
-from mqtable.operators.ordering import join_side_table, ordinal
+from mqtable.operators.ordering import chunk_columns, join_side_table, ordinal, value_chunks
 from mqtable.schema import MESSAGE_SCHEMA
 
-TAG_BUCKET = 1 << 20
 BATCH_COL = "publish_batch"
 MAX_RECORDS_PER_FILE = 1_000_000
 
@@ -78,13 +76,14 @@ def publish(
     # numbering continues after the earlier batches only, so a retry of this
     # batch gets the same tags and replaces its own partitions
     ends = queue_ends(spark, path, before_batch=batch_id)
+    fresh = value_chunks(fresh, ["queue"], F.col("message_id"), "__id_chunk")
     numbered = ordinal(
         fresh,
         partition_by=["queue"],
         order_by=[F.col("message_id")],
-        buckets=[floor_div("message_id", F.lit(TAG_BUCKET))],
+        buckets=[F.col(c) for c in chunk_columns("__id_chunk")],
         name="__pos",
-    )
+    ).drop(*chunk_columns("__id_chunk"))
     numbered = join_side_table(numbered, ends, ["queue"], how="left")
     out = numbered.withColumn(
         "delivery_tag", (F.coalesce("__end", F.lit(0)) + F.col("__pos")).cast("long")

@@ -95,12 +95,32 @@ def test_time_chunks_bounded_and_monotone(spark):
     from mqtable.functions.time import epoch_micros
 
     c = ordering.time_chunks(m, ["queue"], epoch_micros("published_at"), 24 * 3_600_000_000, "ck", target_rows=20)
+    cols = ordering.chunk_columns("ck")
     pdf = c.toPandas().sort_values(["queue", "published_at", "message_id"])
-    assert (pdf.groupby("queue").ck.diff().fillna(0) >= 0).all()  # grows with time
-    sizes = pdf.groupby(["queue", "ck"]).size()
+    for q, grp in pdf.groupby("queue"):
+        ks = list(zip(*[grp[x] for x in cols]))
+        assert ks == sorted(ks)  # grows with time
+    sizes = pdf.groupby(["queue", *cols]).size()
     assert len(sizes) > 20 and sizes.max() <= 60  # hot days were split (bursty data: ~target)
 
 
+def test_value_chunks_sparse_ids(spark):
+    rnd = random.Random(11)
+    ids = rnd.sample(range(0, 2**50), 500) + list(range(10**12, 10**12 + 300))  # sparse + one dense cluster
+    df = spark.createDataFrame([(i, "q" if k % 4 else "r") for k, i in enumerate(ids)], "id long, g string")
+    cols = ordering.chunk_columns("ck")
+    c = ordering.value_chunks(df, ["g"], F.col("id"), "ck", target_rows=50).toPandas().sort_values(["g", "id"])
+    for g, grp in c.groupby("g"):
+        ks = list(zip(*[grp[x] for x in cols]))
+        assert ks == sorted(ks)  # monotone in the value
+    sizes = c.groupby(["g", *cols]).size()
+    assert sizes.max() <= 100 and len(sizes) <= len(ids) // 3  # bounded rows per chunk, far fewer chunks than rows
+    chunked = ordering.value_chunks(df, ["g"], F.col("id"), "ck", target_rows=50)
+    ranked = ordering.ordinal(chunked, ["g"], [F.col("id")], [F.col(x) for x in cols], "pos").toPandas()
+    ranked["want"] = ranked.sort_values("id").groupby("g").cumcount() + 1
+    assert (ranked.pos == ranked.want).all()
+
+
 def test_priority_positions_equal_window(spark):
     m = admission.with_batch(_random_messages(spark, 150, 8), 86_400_000)
     got = retention.priority_positions(m, 5).select("message_id", "pos").toPandas()
