@@ -52,10 +52,26 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return out.drop(*[f"__r_{k}" for k in keys])
 
 
+# Salts of the shuffle fallback: a hot key of the big side is spread over this many tasks.
+JOIN_SALTS = 32
+
+
 def join_side_table(big: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join a derived side table: broadcast when its checked size allows, else shuffle."""
+    """Join a derived side table: broadcast when its checked size allows, else a
+    salted shuffle join.
+
+    The fallback salts each big-side row by a hash of the row (deterministic, so
+    a recomputed task gets the same salt) and replicates the side table once
+    per salt, so even one key holding a third of the rows is spread over
+    ``JOIN_SALTS`` tasks.  Inner, left, semi and anti joins keep their meaning
+    because every big row meets exactly the side rows of its own salt.
+    """
     small = small_side(side)
-    return join_on(big, small if small is not None else side, keys, how)
+    if small is not None:
+        return join_on(big, small, keys, how)
+    salted_big = big.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(JOIN_SALTS)))
+    salted_side = side.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(JOIN_SALTS - 1).cast("long"))))
+    return join_on(salted_big, salted_side, list(keys) + ["__salt"], how).drop("__salt")
 
 
 # Rows one window task should see at most (about); hot time intervals are split to it.

@@ -64,8 +64,15 @@ class FilePiece:
     rows: int
 
 
+_FOOTERS: dict[tuple[str, int, int], tuple[int, int, int]] = {}
+
+
 def list_pieces(path: str, queues: list[str] | None) -> list[FilePiece]:
-    """Files of the log with their tag range, for the selected queues."""
+    """Files of the log with their tag range, for the selected queues.
+
+    Log files are immutable (a retried publish writes new files), so footer
+    statistics are cached per (path, size, mtime): a stream's repeated
+    ``latestOffset`` calls only read the footers of new files."""
     import pyarrow.fs as pafs
     import pyarrow.parquet as pq
 
@@ -80,18 +87,22 @@ def list_pieces(path: str, queues: list[str] | None) -> list[FilePiece]:
         parts = dict(seg.split("=", 1) for seg in f.path[len(base):].split("/") if "=" in seg)
         if "queue" not in parts or (queues is not None and parts["queue"] not in queues):
             continue
-        md = pq.ParquetFile(f.path, filesystem=fs).metadata
-        idx = md.schema.to_arrow_schema().get_field_index("delivery_tag")
-        lo, hi = None, None
-        for g in range(md.num_row_groups):
-            st = md.row_group(g).column(idx).statistics
-            if st is None or not st.has_min_max:
-                lo, hi = 1, 2**62
-                break
-            lo = st.min if lo is None else min(lo, st.min)
-            hi = st.max if hi is None else max(hi, st.max)
-        if md.num_rows:
-            pieces.append(FilePiece(f.path, parts["queue"], int(parts.get("publish_batch", 0)), lo, hi, md.num_rows))
+        ident = (f.path, f.size, f.mtime_ns or 0)
+        if ident not in _FOOTERS:
+            md = pq.ParquetFile(f.path, filesystem=fs).metadata
+            idx = md.schema.to_arrow_schema().get_field_index("delivery_tag")
+            lo, hi = None, None
+            for g in range(md.num_row_groups):
+                st = md.row_group(g).column(idx).statistics
+                if st is None or not st.has_min_max:
+                    lo, hi = 1, 2**62
+                    break
+                lo = st.min if lo is None else min(lo, st.min)
+                hi = st.max if hi is None else max(hi, st.max)
+            _FOOTERS[ident] = (lo, hi, md.num_rows)
+        lo, hi, rows = _FOOTERS[ident]
+        if rows:
+            pieces.append(FilePiece(f.path, parts["queue"], int(parts.get("publish_batch", 0)), lo, hi, rows))
     return pieces
 
 

@@ -151,3 +151,30 @@ def test_conservation(spark):
     capped = admission.cap_per_partition(m, 2, 3, 3_600_000)
     per = capped.groupBy("batch_id", "queue", "slot").count().agg(F.max("count")).first()[0]
     assert per <= 3  # caps never exceeded
+
+
+def test_routing_same_on_both_join_paths(spark, side_path):
+    from mqtable.operators import routing
+    from mqtable.schema import BINDING_SCHEMA
+
+    rnd = random.Random(12)
+    keys = ["a.b", "a.x.b", "hot.key", "", "c"] + [f"k{i}.b" for i in range(20)]
+    m = messages(spark, [{"routing_key": "hot.key" if rnd.random() < 0.4 else rnd.choice(keys)} for _ in range(300)])
+    b = spark.createDataFrame(
+        [("q1", "ex", "topic", "#.b"), ("q2", "ex", "topic", "hot.*"), ("q3", "ex", "direct", "c"), ("q1", "ex", "topic", "a.#")],
+        BINDING_SCHEMA,
+    )
+    from mqtable.functions.topic import word_match
+
+    pats = {"q1": ["#.b", "a.#"], "q2": ["hot.*"]}
+    want = set()
+    for r in m.collect():
+        for q, ps in pats.items():
+            if any(word_match(p, r.routing_key) for p in ps):
+                want.add((q, r.message_id))
+        if r.routing_key == "c":
+            want.add(("q3", r.message_id))
+    got = {(r.bound_queue, r.message_id) for r in routing.route(m, b).collect()}
+    assert got == want
+    unrouted = {r.message_id for r in routing.unroutable(m, b).collect()}
+    assert unrouted == {r.message_id for r in m.collect()} - {mid for _, mid in want}
