@@ -14,7 +14,6 @@ from typing import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from mqtable.functions.time import epoch_micros, floor_div
 
@@ -70,7 +69,7 @@ def join_side_table(big: DataFrame, side: DataFrame, keys: Sequence[str], how: s
     small = small_side(side)
     if small is not None:
         return join_on(big, small, keys, how)
-    hashable = [F.col(f.name) for f in big.schema.fields if not isinstance(f.dataType, T.MapType)]
+    hashable = [F.col(f.name) for f in big.schema.fields if "map<" not in f.dataType.simpleString()]
     salt = F.pmod(F.xxhash64(*hashable), F.lit(JOIN_SALTS)) if hashable else F.lit(0).cast("long")
     salted_big = big.withColumn("__salt", salt)
     salted_side = side.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(JOIN_SALTS - 1).cast("long"))))
