@@ -18,13 +18,9 @@ from pyspark.sql.streaming import StreamingQuery
 from mqtable.options import QueueOptions
 
 
-def batch_count_writer(sink: str, options: QueueOptions | None = None) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function: count the batch per queue and store it under ``sink``.
-
-    When the batch is used by more than one action it is persisted at the
-    configured storage level (NONE is lifted to MEMORY_ONLY).
-    """
-    level = (options or QueueOptions({})).batch_storage_level()
+def batch_count_writer(sink: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function: count the batch per queue and store it under ``sink``
+    (one action per batch, so the batch needs no persisting)."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         counts = batch.groupBy("queue").agg(F.count(F.lit(1)).alias("n")).withColumn(
@@ -37,7 +33,6 @@ def batch_count_writer(sink: str, options: QueueOptions | None = None) -> Callab
             .parquet(sink)
         )
 
-    write.storage_level = level  # type: ignore[attr-defined]
     return write
 
 
@@ -46,7 +41,8 @@ def persist_batch(batch: DataFrame, options: QueueOptions | None = None) -> Data
     from pyspark import StorageLevel
 
     level = (options or QueueOptions({})).batch_storage_level()
-    return batch.persist(getattr(StorageLevel, level))
+    # Python-side data is always serialized, so the *_SER names map to their plain twins
+    return batch.persist(getattr(StorageLevel, level.replace("_SER", "")))
 
 
 def run_counts(

@@ -187,3 +187,14 @@ def test_count_approx_exact_when_counted(spark):
     assert (r.mean, r.low, r.high) == (40, 40, 40)
     est = counting.count_approx(m).first()
     assert est.mean == 40 and est.low < 40 < est.high
+
+
+def test_persist_batch_levels(spark):
+    from mqtable.options import QueueOptions
+    from mqtable.streaming.consumer import persist_batch
+
+    df = spark.range(5)
+    for level in ["NONE", "MEMORY_ONLY_SER", "MEMORY_AND_DISK_SER_2", "DISK_ONLY"]:
+        kept = persist_batch(df, QueueOptions({"storageLevel": level}))
+        assert kept.storageLevel.useMemory or kept.storageLevel.useDisk
+        kept.unpersist()
