@@ -53,7 +53,13 @@ def partition_plan(sources: DataFrame, stream_parallelism: int = DEFAULT_LEVEL_P
         "parallelism",
         F.explode(F.sequence(F.lit(0), F.col("parallelism") - 1)).alias("slot"),
         "__first",
-    ).select((F.col("__first") + F.col("slot")).cast("int").alias("partition_index"), "key_index", "queue", "slot", "parallelism")
+    ).select(
+        (F.col("__first") + F.col("slot")).cast("int").alias("partition_index"),
+        "key_index",
+        "queue",
+        "slot",
+        "parallelism",
+    )
 
 
 def partition_load(plan: DataFrame, m: DataFrame) -> DataFrame:

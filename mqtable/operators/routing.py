@@ -118,7 +118,6 @@ def binding_traffic(messages: DataFrame, bindings: DataFrame) -> DataFrame:
 
 __all__ = [
     "binding_traffic",
-    "join_on",
     "resolve_routes",
     "route",
     "topology_bindings",
