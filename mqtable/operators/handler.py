@@ -88,6 +88,9 @@ def json_k(text: str):
 
 def handle_udf(m: DataFrame, fn: Callable[[str], object] = json_k, return_type=T.LongType(), out: str = "k"):
     """P4 via a user function; columns ``message_id, <out>``."""
+    from mqtable.session import workers_import_package
+
+    workers_import_package(m.sparkSession)
     handler = python_handler(fn, return_type)
     return m.select("message_id", handler(decode_body("body")).alias(out))
 

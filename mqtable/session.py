@@ -53,3 +53,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique folder below the shared checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/mqtable-{label}-{uuid.uuid4().hex}"
+
+
+def workers_import_package(spark: SparkSession) -> None:
+    """Let Python workers import ``mqtable`` (pandas UDF handlers, the Python data
+    source) when the driver found it through ``sys.path`` only.
+
+    The package root is added to ``PYTHONPATH`` of the worker environment Spark
+    passes with every Python function.  On a cluster, ship the package with
+    ``--py-files``; an extra path entry that does not exist there is harmless.
+    """
+    import mqtable
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(mqtable.__file__)))
+    env = spark.sparkContext.environment
+    parts = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in parts:
+        env["PYTHONPATH"] = os.pathsep.join([root, *parts])

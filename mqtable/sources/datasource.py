@@ -234,4 +234,7 @@ class MessageLogSource(DataSource):
 
 
 def register(spark) -> None:
+    from mqtable.session import workers_import_package
+
+    workers_import_package(spark)
     spark.dataSource.register(MessageLogSource)

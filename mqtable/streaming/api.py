@@ -26,6 +26,9 @@ def _with_handler(df: DataFrame, handler: Callable[[str], object] | None, return
     text = decode_body("body")
     if handler is None:
         return df.withColumn("body", text)
+    from mqtable.session import workers_import_package
+
+    workers_import_package(df.sparkSession)
     value = python_handler(handler, return_type)(text)
     out = df.withColumn("value", value)
     failed = F.col("value").isNull() & F.col("body").isNotNull()
