@@ -16,7 +16,7 @@ from mqtable.options import QueueOptions
 from mqtable.session import scratch_path
 from mqtable.sources import datasource, messagelog
 from mqtable.sources.fixtures import bindings_table, message_view, policies_table, sources_table
-from mqtable.streaming import consumer
+from mqtable.streaming import consumer, redelivery
 
 # --- fixed values: parameters of the registered queries -----------------------
 SLIDE_MS = 3_600_000  # batch interval: 1 h
@@ -292,6 +292,41 @@ def q_messagelog_stream(spark, sf):
     return consumer.totals(spark, sink)
 
 
+def q_stream_leases(spark, sf):
+    """Q7 as a stream: session windows over every queue of the published log."""
+    path = _published_log(spark, sf)
+    queues = [r.queue for r in messagelog.read_log(spark, path).select("queue").distinct().collect()]
+    stream = messagelog.stream_queues(spark, path, sorted(queues), max_files_per_trigger=8)
+    sink = scratch_path(spark, "leases")
+    (
+        consumer.lease_stream(stream, f"{LEASE_EXPIRES_MS // 1000} seconds")
+        .select("queue", "lease_start", "n")
+        .writeStream.outputMode("complete")
+        .foreachBatch(consumer.complete_table_writer(sink))
+        .option("checkpointLocation", scratch_path(spark, "ckpt"))
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    return spark.read.parquet(sink)
+
+
+def q_stream_redelivery(spark, sf):
+    """D2 as a stream: failed deliveries return through a retry log until they
+    succeed or reach the attempt limit; one row per message and its last attempt."""
+    path = _published_log(spark, sf)
+    ok, dead, retry, ck = (scratch_path(spark, x) for x in ("ok", "dead", "retry", "ckpt"))
+    for _ in range(MAX_ATTEMPTS + 1):  # each run consumes the retries the previous one wrote
+        stream = redelivery.delivery_stream(spark, path, READ_QUEUE, retry)
+        writer = redelivery.redelivery_writer(ok, retry, dead, redelivery.handler_fails_until(), MAX_ATTEMPTS)
+        stream.writeStream.foreachBatch(writer).option("checkpointLocation", ck).trigger(
+            availableNow=True
+        ).start().awaitTermination()
+    done = spark.read.parquet(ok).select("message_id", "attempt", F.lit("acked").alias("outcome"))
+    poison = spark.read.parquet(dead).select("message_id", "attempt", F.lit("dead").alias("outcome"))
+    return done.unionByName(poison)
+
+
 def q_stream_single_queue(spark, sf):
     return _stream_totals(spark, sf, [READ_QUEUE])
 
@@ -344,4 +379,6 @@ QUERIES: dict[str, Query] = {
     "stream_multi_queue": q_stream_multi_queue,
     "messagelog_batch_read": q_messagelog_batch_read,
     "messagelog_stream": q_messagelog_stream,
+    "stream_leases": q_stream_leases,
+    "stream_redelivery": q_stream_redelivery,
 }

@@ -242,4 +242,16 @@ FROM m""",
     + "SELECT delivery_tag, message_id FROM m WHERE queue = 'click' AND delivery_tag BETWEEN 100 AND 199",
     "messagelog_stream": _w(M)
     + "SELECT queue, count(*) AS n FROM m WHERE queue IN ('click', 'error', 'view') GROUP BY queue",
+    "stream_leases": _w(M)
+    + """SELECT queue, min(published_at) AS lease_start, count(*) AS n FROM (
+  SELECT queue, published_at,
+         sum(CASE WHEN prev IS NULL OR epoch_us(published_at) - epoch_us(prev) >= 3600000000 THEN 1 ELSE 0 END)
+           OVER (PARTITION BY queue ORDER BY published_at, message_id ROWS UNBOUNDED PRECEDING) AS sid
+  FROM (SELECT queue, message_id, published_at,
+               lag(published_at) OVER (PARTITION BY queue ORDER BY published_at, message_id) AS prev FROM m)
+) GROUP BY queue, sid""",
+    "stream_redelivery": _w(M)
+    + """SELECT message_id, CAST(least(fail_count + 1, 5) AS INT) AS attempt,
+       CASE WHEN fail_count + 1 <= 5 THEN 'acked' ELSE 'dead' END AS outcome
+FROM m WHERE queue = 'click'""",
 }

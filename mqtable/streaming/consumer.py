@@ -72,9 +72,24 @@ def totals(spark: SparkSession, sink: str) -> DataFrame:
     return sink_batches(spark, sink).groupBy("queue").agg(F.sum("n").cast("long").alias("n"))
 
 
+def event_time(col: str = "published_at"):
+    """TIMESTAMP for watermarks from a TIMESTAMP_NTZ wall clock, read as UTC so the
+    session time zone (and its DST gaps) cannot move it."""
+    from mqtable.functions.time import epoch_micros
+
+    return F.timestamp_micros(epoch_micros(col))
+
+
+def wall_clock(ts):
+    """Back from ``event_time`` to the TIMESTAMP_NTZ wall clock."""
+    from mqtable.functions.time import EPOCH_TEXT
+
+    return F.timestamp_add("MICROSECOND", F.unix_micros(ts), F.lit(EPOCH_TEXT).cast("timestamp_ntz"))
+
+
 def dedupe_stream(stream: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """D3 (stream): drop repeated deliveries of one (queue, delivery_tag) within the watermark."""
-    ts = F.col("published_at").cast("timestamp")
+    ts = event_time()
     return (
         stream.withColumn("__event_time", ts)
         .withWatermark("__event_time", delay)
@@ -84,16 +99,27 @@ def dedupe_stream(stream: DataFrame, delay: str = "10 minutes") -> DataFrame:
 
 
 def lease_stream(stream: DataFrame, expires: str, delay: str = "0 seconds") -> DataFrame:
-    """Q7 (stream): queue leases as session windows over the activity stream."""
-    ts = F.col("published_at").cast("timestamp")
+    """Q7 (stream): queue leases as session windows over the activity stream:
+    ``queue, lease (window), lease_start (wall clock), n``."""
     return (
-        stream.withColumn("__event_time", ts)
+        stream.withColumn("__event_time", event_time())
         .withWatermark("__event_time", delay)
         .groupBy("queue", F.session_window("__event_time", expires).alias("lease"))
         .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("lease_start", wall_clock(F.col("lease.start")))
     )
 
 
+def complete_table_writer(sink: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` for complete-mode aggregates: each batch carries the whole
+    result table, which replaces the sink (a replayed batch writes the same)."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(sink)
+
+    return write
+
+
 def progress_counts(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     """A6 (live): rows each micro-batch consumed, from the query's progress
     reports, and the count a batch reports (the previous batch's).
