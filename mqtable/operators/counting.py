@@ -18,6 +18,16 @@ def count_by_source(m: DataFrame, sources: DataFrame) -> DataFrame:
     )
 
 
+def observe_count(batch: DataFrame, name: str = "batch"):
+    """A1 memo: ``(observed_df, observation)``; after the first action on
+    ``observed_df`` (e.g. the sink write), ``observation.get["n"]`` is the batch
+    count without a second pass over the data."""
+    from pyspark.sql import Observation
+
+    obs = Observation(name)
+    return batch.observe(obs, F.count(F.lit(1)).alias("n")), obs
+
+
 def is_empty_by_source(m: DataFrame, sources: DataFrame) -> DataFrame:
     """A3: whether each source has nothing to deliver."""
     return count_by_source(m, sources).select("queue", (F.col("n") == 0).alias("empty"))

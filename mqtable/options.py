@@ -139,6 +139,21 @@ def validate_names(options: Mapping[str, str]) -> None:
         raise OptionError(f"unknown option name(s): {', '.join(unknown)}")
 
 
+OPTION_GROUPS = {
+    "topology": TOPOLOGY_KEYS,
+    "connection": CONNECTION_KEYS,
+    "queue": QUEUE_PROPERTY_KEYS,
+    "policy": POLICY_KEYS,
+    "consumer": CONSUMER_KEYS,
+}
+
+
+def group_options(options: Mapping[str, str]) -> dict[str, dict[str, str]]:
+    """Split a flat option map into its groups (unknown names are rejected)."""
+    validate_names(options)
+    return {g: {k: v for k, v in options.items() if k in keys} for g, keys in OPTION_GROUPS.items()}
+
+
 @dataclass(frozen=True)
 class QueueOptions:
     """Parsed view of a flat ``str -> str`` option map."""

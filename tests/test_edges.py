@@ -198,3 +198,10 @@ def test_persist_batch_levels(spark):
         kept = persist_batch(df, QueueOptions({"storageLevel": level}))
         assert kept.storageLevel.useMemory or kept.storageLevel.useDisk
         kept.unpersist()
+
+
+def test_observed_count_memo(spark):
+    m = messages(spark, [{} for _ in range(7)])
+    observed, obs = counting.observe_count(m, "memo")
+    observed.write.format("noop").mode("overwrite").save()
+    assert obs.get["n"] == 7

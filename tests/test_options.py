@@ -68,3 +68,18 @@ def test_source_key_fallback():
 def test_merge_source_wins():
     o = QueueOptions({"levelParallelism": "2"}).merged({"levelParallelism": "3"})
     assert o.parallelism == 3
+
+
+def test_group_options():
+    from mqtable.options import group_options
+
+    g = group_options({"queueName": "q", "hosts": "h", "ackType": "auto", "x-max-length": "3", "levelParallelism": "2"})
+    assert g == {
+        "topology": {"queueName": "q"},
+        "connection": {"hosts": "h"},
+        "queue": {"ackType": "auto"},
+        "policy": {"x-max-length": "3"},
+        "consumer": {"levelParallelism": "2"},
+    }
+    with pytest.raises(OptionError):
+        group_options({"bogus": "1"})
