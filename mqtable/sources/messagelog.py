@@ -118,6 +118,14 @@ def stream_queue(spark: SparkSession, path: str, queue: str, max_files_per_trigg
     return reader.parquet(f"{path}/queue={queue}").withColumn("queue", F.lit(queue))
 
 
+def stream_log(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Every queue of the log as one stream (``queue`` comes from the folder names)."""
+    reader = spark.readStream.schema(LOG_SCHEMA).option("basePath", path)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(path)
+
+
 def stream_queues(spark: SparkSession, path: str, queues: Iterable[str], **limits) -> DataFrame:
     """Several queues as one stream (one file source per queue, unioned)."""
     streams = [stream_queue(spark, path, q, **limits) for q in queues]

@@ -192,3 +192,18 @@ def test_stream_publish_idempotent(spark):
     got = messagelog.read_log(spark, out)
     assert got.count() == 300 and got.select("delivery_tag").distinct().count() == 300
     assert got.agg(F.max("delivery_tag")).first()[0] == 300
+
+
+def test_processing_time_trigger(spark):
+    log = scratch_path(spark, "t-log10")
+    messagelog.publish(spark, _reference_messages(spark, 500, "q"), log, 0, 100)
+    sink = scratch_path(spark, "t-sink10")
+    q = consumer.run_counts(
+        messagelog.stream_log(spark, log, max_files_per_trigger=1), sink, scratch_path(spark, "t-ck10"),
+        available_now=False, processing_time="1 second",
+    )
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert consumer.totals(spark, sink).first().n == 500
