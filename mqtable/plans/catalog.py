@@ -15,7 +15,13 @@ from mqtable.operators import admission, counting, delivery, handler, retention,
 from mqtable.options import QueueOptions
 from mqtable.session import scratch_path
 from mqtable.sources import datasource, messagelog
-from mqtable.sources.fixtures import bindings_table, message_view, policies_table, sources_table
+from mqtable.sources.fixtures import (
+    TAG_BUCKET_IDS,
+    bindings_table,
+    message_view,
+    policies_table,
+    sources_table,
+)
 from mqtable.streaming import consumer, redelivery
 
 # --- fixed values: parameters of the registered queries -----------------------
@@ -241,8 +247,9 @@ def _published_log(spark, sf) -> str:
     path = scratch_path(spark, "log")
     m = _m(spark, sf, False)
     split = F.col("published_at") < F.lit(PUBLISH_SPLIT).cast("timestamp_ntz")
-    messagelog.publish(spark, m.where(split), path, 0, LOG_FILE_RECORDS)
-    messagelog.publish(spark, m.where(~split), path, 1, LOG_FILE_RECORDS)
+    # event ids are dense (0..n-1): fixed-width numbering buckets suffice
+    messagelog.publish(spark, m.where(split), path, 0, LOG_FILE_RECORDS, TAG_BUCKET_IDS)
+    messagelog.publish(spark, m.where(~split), path, 1, LOG_FILE_RECORDS, TAG_BUCKET_IDS)
     return path
 
 
@@ -318,9 +325,13 @@ def q_stream_redelivery(spark, sf):
     for _ in range(MAX_ATTEMPTS + 1):  # each run consumes the retries the previous one wrote
         stream = redelivery.delivery_stream(spark, path, READ_QUEUE, retry)
         writer = redelivery.redelivery_writer(ok, retry, dead, redelivery.handler_fails_until(), MAX_ATTEMPTS)
-        stream.writeStream.foreachBatch(writer).option("checkpointLocation", ck).trigger(
-            availableNow=True
-        ).start().awaitTermination()
+        run = stream.writeStream.foreachBatch(writer).option("checkpointLocation", ck).trigger(availableNow=True)
+        query = run.start()
+        query.awaitTermination()
+        batches = [p.batchId for p in query.recentProgress if p.numInputRows > 0]
+        requeued = spark.read.schema(redelivery.RETRY_LOG_SCHEMA).parquet(retry)
+        if not batches or requeued.where(F.col("batch_id").isin(batches)).isEmpty():
+            break  # nothing was requeued: every message is acked or dead
     done = spark.read.parquet(ok).select("message_id", "attempt", F.lit("acked").alias("outcome"))
     poison = spark.read.parquet(dead).select("message_id", "attempt", F.lit("dead").alias("outcome"))
     return done.unionByName(poison)

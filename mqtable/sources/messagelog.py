@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mqtable.functions.time import floor_div
 from mqtable.operators.ordering import chunk_columns, join_side_table, ordinal, value_chunks
 from mqtable.schema import MESSAGE_SCHEMA
 
@@ -64,24 +65,33 @@ def publish(
     path: str,
     batch_id: int,
     max_records_per_file: int = MAX_RECORDS_PER_FILE,
+    dense_id_bucket: int | None = None,
 ) -> None:
     """K1: append ``messages`` (already routed to a ``queue``) as batch ``batch_id``.
 
     Files hold at most ``max_records_per_file`` messages, in tag order, so a
     stream can admit a queue in bounded steps (``maxFilesPerTrigger``) and tag
     ranges prune row groups.  One writer per log is assumed.
+
+    Numbering buckets come from ``value_chunks`` (any id distribution); a
+    caller whose ids are known to be dense may pass ``dense_id_bucket`` (ids
+    per bucket) instead and save those passes.
     """
     cols = [f.name for f in MESSAGE_SCHEMA.fields if f.name != "delivery_tag"]
     fresh = messages.select(*cols)
     # numbering continues after the earlier batches only, so a retry of this
     # batch gets the same tags and replaces its own partitions
     ends = queue_ends(spark, path, before_batch=batch_id)
-    fresh = value_chunks(fresh, ["queue"], F.col("message_id"), "__id_chunk")
+    if dense_id_bucket:
+        buckets = [floor_div("message_id", F.lit(dense_id_bucket))]
+    else:
+        fresh = value_chunks(fresh, ["queue"], F.col("message_id"), "__id_chunk")
+        buckets = [F.col(c) for c in chunk_columns("__id_chunk")]
     numbered = ordinal(
         fresh,
         partition_by=["queue"],
         order_by=[F.col("message_id")],
-        buckets=[F.col(c) for c in chunk_columns("__id_chunk")],
+        buckets=buckets,
         name="__pos",
     ).drop(*chunk_columns("__id_chunk"))
     numbered = join_side_table(numbered, ends, ["queue"], how="left")

@@ -22,6 +22,8 @@ from mqtable.sources import messagelog
 RETRY_SCHEMA = T.StructType(
     [f for f in messagelog.QUEUE_FILE_SCHEMA.fields] + [T.StructField("attempt", T.IntegerType())]
 )
+# the retry log on disk: one folder per writing micro-batch
+RETRY_LOG_SCHEMA = T.StructType(RETRY_SCHEMA.fields + [T.StructField("batch_id", T.LongType())])
 
 
 def _overwrite(df: DataFrame, path: str, batch_id: int) -> None:
@@ -39,7 +41,7 @@ def delivery_stream(spark: SparkSession, log: str, queue: str, retry: str) -> Da
     messagelog.ensure_dir(spark, retry)
     fresh = messagelog.stream_queue(spark, log, queue).withColumn("attempt", F.lit(1))
     retried = (
-        spark.readStream.schema(T.StructType(RETRY_SCHEMA.fields + [T.StructField("batch_id", T.LongType())]))
+        spark.readStream.schema(RETRY_LOG_SCHEMA)
         .option("basePath", retry)
         .parquet(retry)
         .withColumn("queue", F.lit(queue))
