@@ -142,3 +142,40 @@ def print_stream(stream: DataFrame, rows: int = 20, processing_time: str = "1 se
         .trigger(processingTime=processing_time)
         .start()
     )
+
+
+def running_total_stream(stream: DataFrame) -> DataFrame:
+    """A7 (live): messages consumed so far per queue; run in complete output mode."""
+    return stream.groupBy("queue").agg(F.count(F.lit(1)).alias("total"))
+
+
+def ttl_writer(sink: str, ttl_ms: int, as_of_fn=None) -> Callable[[DataFrame, int], None]:
+    """Q1 (stream): inside ``foreachBatch`` keep the messages alive at the batch time
+    (``as_of_fn(batch_id)`` -> datetime, default now) and write them; expired
+    ones are kept for dead-lettering under ``<sink>_expired``.  A watermark
+    would drop expired rows silently, which dead-lettering cannot allow."""
+    import datetime as dt
+
+    from mqtable.operators.retention import is_expired
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        when = as_of_fn(batch_id) if as_of_fn else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        as_of = F.lit(when.isoformat(sep=" ")).cast("timestamp_ntz")  # exact wall clock, no zone
+        dead = F.coalesce(is_expired(F.lit(ttl_ms), as_of), F.lit(False))
+        flagged = batch.withColumn("__dead", dead).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        for path, cond in ((sink, ~F.col("__dead")), (f"{sink}_expired", F.col("__dead"))):
+            (
+                flagged.where(cond).drop("__dead")
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("batch_id")
+                .parquet(path)
+            )
+
+    return write
+
+
+def retain_batches_conf(spark: SparkSession, keep: int) -> None:
+    """Keep at least ``keep`` batches of checkpoint metadata (the remember window)."""
+    current = int(spark.conf.get("spark.sql.streaming.minBatchesToRetain", "100"))
+    spark.conf.set("spark.sql.streaming.minBatchesToRetain", str(max(current, keep)))

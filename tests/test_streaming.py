@@ -207,3 +207,29 @@ def test_processing_time_trigger(spark):
     finally:
         q.stop()
     assert consumer.totals(spark, sink).first().n == 500
+
+
+def test_live_total_and_stream_ttl(spark):
+    import datetime as dt
+
+    log = scratch_path(spark, "t-log11")
+    msgs = _reference_messages(spark, 400, "q")  # published 1,700,000,001 .. 1,700,000,400 s
+    messagelog.publish(spark, msgs, log, 0, 100)
+    q = (
+        consumer.running_total_stream(messagelog.stream_log(spark, log, max_files_per_trigger=1))
+        .writeStream.outputMode("complete").format("memory").queryName("live_total")
+        .option("checkpointLocation", scratch_path(spark, "t-ck11")).trigger(availableNow=True).start()
+    )
+    q.awaitTermination(120)
+    assert spark.sql("SELECT total FROM live_total").first().total == 400
+
+    sink = scratch_path(spark, "t-ttl")
+    as_of = dt.datetime.fromtimestamp(1_700_000_300, dt.timezone.utc).replace(tzinfo=None)  # ttl 100 s: messages after second 200 live
+    w = consumer.ttl_writer(sink, 100_000, lambda b: as_of)
+    messagelog.stream_log(spark, log).writeStream.foreachBatch(w).option(
+        "checkpointLocation", scratch_path(spark, "t-ck12")
+    ).trigger(availableNow=True).start().awaitTermination(120)
+    assert spark.read.parquet(sink).count() == 200
+    assert spark.read.parquet(sink + "_expired").count() == 200
+    consumer.retain_batches_conf(spark, 8)
+    assert int(spark.conf.get("spark.sql.streaming.minBatchesToRetain")) >= 8
