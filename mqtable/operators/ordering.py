@@ -33,11 +33,19 @@ def small_side(df: DataFrame, max_rows: int | None = None) -> DataFrame | None:
     relation, so its size is exact and its lineage is cut.
     """
     max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return None
     spark = df.sparkSession
-    return F.broadcast(spark.createDataFrame(rows, df.schema))
+    bounded = df.limit(max_rows + 1)
+    try:  # Arrow batches both ways
+        pdf = bounded.toPandas()
+        if len(pdf) > max_rows:
+            return None
+        local = spark.createDataFrame(pdf, df.schema)
+    except Exception:  # noqa: BLE001 - types Arrow cannot carry: plain rows
+        rows = bounded.collect()
+        if len(rows) > max_rows:
+            return None
+        local = spark.createDataFrame(rows, df.schema)
+    return F.broadcast(local)
 
 
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
