@@ -302,36 +302,33 @@ def newest_within(
     drop_cols = ["__bk", "__cls", "__fits", *ws, *ls, *[f"__before{i}" for i in range(len(budgets))]]
 
     small = small_side(per)
-    if small is not None:
-        joined = join_on(d, small, keys)
-        whole = joined.where(F.col("__cls") == ("in" if keep else "out"))
-        cut = joined.where(F.col("__cls") == "cut")
-        if refine is not None:
-            # keep the per-row weights/limits as plain columns for the next level
-            nb = len(budgets)
-            staged = cut
-            for i in range(nb):
-                staged = staged.withColumn(f"__rw{i}", F.col(f"__w{i}")).withColumn(
-                    f"__rl{i}", F.col(f"__l{i}") - F.col(f"__before{i}")
-                )
-            staged = staged.drop(*drop_cols)
-            sub = newest_within(
-                staged,
-                partition_by,
-                refine(staged),
-                newest_first,
-                [(F.col(f"__rw{i}"), F.col(f"__rl{i}")) for i in range(nb)],
-                keep,
+    # large per-bucket tables join by shuffle (Spark reuses that exchange in both
+    # branches); either way only the straddling rows reach a window
+    joined = join_on(d, small if small is not None else per, keys)
+    whole = joined.where(F.col("__cls") == ("in" if keep else "out"))
+    cut = joined.where(F.col("__cls") == "cut")
+    if refine is not None:
+        # keep the per-row weights/limits as plain columns for the next level
+        nb = len(budgets)
+        staged = cut
+        for i in range(nb):
+            staged = staged.withColumn(f"__rw{i}", F.col(f"__w{i}")).withColumn(
+                f"__rl{i}", F.col(f"__l{i}") - F.col(f"__before{i}")
             )
-            sub = sub.drop(*[f"__rw{i}" for i in range(nb)], *[f"__rl{i}" for i in range(nb)])
-            return whole.drop(*drop_cols).unionByName(sub)
-        cut = cut.withColumn("__fits", fits)
-        cut = cut.where(F.col("__fits") if keep else ~F.col("__fits"))
-        return whole.drop(*drop_cols).unionByName(cut.drop(*drop_cols))
-    # many buckets: one shuffle on (group, bucket), the window sees every row
-    joined = join_on(d, per, keys).withColumn("__fits", F.when(F.col("__cls") == "cut", fits))
-    kept = (F.col("__cls") == "in") | ((F.col("__cls") == "cut") & F.col("__fits"))
-    return joined.where(kept if keep else ~kept).drop(*drop_cols)
+        staged = staged.drop(*drop_cols)
+        sub = newest_within(
+            staged,
+            partition_by,
+            refine(staged),
+            newest_first,
+            [(F.col(f"__rw{i}"), F.col(f"__rl{i}")) for i in range(nb)],
+            keep,
+        )
+        sub = sub.drop(*[f"__rw{i}" for i in range(nb)], *[f"__rl{i}" for i in range(nb)])
+        return whole.drop(*drop_cols).unionByName(sub)
+    cut = cut.withColumn("__fits", fits)
+    cut = cut.where(F.col("__fits") if keep else ~F.col("__fits"))
+    return whole.drop(*drop_cols).unionByName(cut.drop(*drop_cols))
 
 
 def gap_sessions(
