@@ -37,3 +37,18 @@ def test_spark_rlike_agrees(spark):
     for r in rows:
         for i, p in enumerate(PATTERNS):
             assert r[f"p{i}"] == word_match(p, r["k"]), (p, r["k"])
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+WORDS = st.sampled_from(["a", "b", "c", "", "x.y"])
+PATTERN_WORDS = st.sampled_from(["a", "b", "*", "#", ""])
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(PATTERN_WORDS, max_size=5), st.lists(WORDS, max_size=5))
+def test_regex_equals_word_semantics_random(pattern_words, key_words):
+    pattern = ".".join(pattern_words)
+    key = ".".join(key_words)
+    assert _py_match(pattern, key) == word_match(pattern, key), (pattern, key)
