@@ -97,9 +97,12 @@ def cap_per_partition(m: DataFrame, parallelism: int, cap: int, slide_ms: int, r
 def per_batch(m: DataFrame, batch_col: str = "batch_id") -> DataFrame:
     """Messages per batch on a dense batch axis (a batch with no messages counts 0)."""
     counts = m.groupBy(batch_col).agg(F.count(F.lit(1)).alias("n"))
-    axis = counts.agg(F.min(batch_col).alias("lo"), F.max(batch_col).alias("hi")).select(
-        F.explode(F.sequence("lo", "hi")).alias(batch_col)
-    )
+    bounds = counts.agg(F.min(batch_col).alias("lo"), F.max(batch_col).alias("hi")).first()
+    spark = m.sparkSession
+    if bounds is None or bounds["lo"] is None:
+        return spark.createDataFrame([], f"{batch_col} long, n long")
+    # the axis is generated in parallel ranges, not exploded inside one task
+    axis = spark.range(bounds["lo"], bounds["hi"] + 1).withColumnRenamed("id", batch_col)
     return join_on(axis, counts, [batch_col], how="left").select(
         batch_col, F.coalesce("n", F.lit(0)).cast("long").alias("n")
     )

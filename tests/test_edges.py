@@ -205,3 +205,11 @@ def test_observed_count_memo(spark):
     observed, obs = counting.observe_count(m, "memo")
     observed.write.format("noop").mode("overwrite").save()
     assert obs.get["n"] == 7
+
+
+def test_per_batch_empty_and_gaps(spark):
+    empty = messages(spark, [{}]).where("false")
+    assert admission.per_batch(admission.with_batch(empty, 1000)).count() == 0
+    ts = [T0, T0 + dt.timedelta(seconds=5)]
+    m = admission.with_batch(messages(spark, [{"published_at": t} for t in ts]), 1000)
+    assert [r.n for r in admission.per_batch(m).orderBy("batch_id").collect()] == [1, 0, 0, 0, 0, 1]
