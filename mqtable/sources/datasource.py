@@ -35,7 +35,6 @@ from pyspark.sql.datasource import (
 )
 
 from mqtable.options import LEVEL_PARALLELISM, MAX_MESSAGES_PER_PARTITION, QUEUE_NAME, parse_int
-
 from mqtable.sources.messagelog import BATCH_COL, LOG_SCHEMA
 
 DEFAULT_SLICE = 1_000_000
