@@ -119,7 +119,12 @@ def read_queue(spark: SparkSession, path: str, queue: str, first_tag: int | None
 
 
 def stream_queue(spark: SparkSession, path: str, queue: str, max_files_per_trigger: int | None = None, max_bytes_per_trigger: str | None = None):
-    """An unbounded stream of one queue (reads only that queue's folder)."""
+    """An unbounded stream of one queue (reads only that queue's folder).
+
+    The queue is declared first (its folder is created when missing), so a
+    source with no messages yet gives empty batches instead of an error and
+    picks up what is published later."""
+    ensure_dir(spark, f"{path}/queue={queue}")
     reader = spark.readStream.schema(QUEUE_FILE_SCHEMA).option("basePath", f"{path}/queue={queue}")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

@@ -233,3 +233,11 @@ def test_live_total_and_stream_ttl(spark):
     assert spark.read.parquet(sink + "_expired").count() == 200
     consumer.retain_batches_conf(spark, 8)
     assert int(spark.conf.get("spark.sql.streaming.minBatchesToRetain")) >= 8
+
+
+def test_stream_of_empty_queue(spark):
+    log = scratch_path(spark, "t-log13")
+    messagelog.publish(spark, _reference_messages(spark, 10, "q"), log, 0)
+    sink = scratch_path(spark, "t-sink13")
+    consumer.run_counts(messagelog.stream_queues(spark, log, ["q", "ghost"]), sink, scratch_path(spark, "t-ck13"), timeout_s=60)
+    assert {r.queue: r.n for r in consumer.totals(spark, sink).collect()} == {"q": 10}  # ghost: nothing, no error
