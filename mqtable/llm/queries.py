@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mqtable.llm import decontam, linededup, secrets, sharding
+from mqtable.llm import decontam, linededup, secrets, sharding, tokenbin
 from mqtable.llm.oracle import oracle
 from mqtable.session import workers_import_package
 
@@ -27,6 +27,17 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    manifest = tokenbin.write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return token_rows(manifest)
+
+
+def token_rows(manifest: DataFrame) -> DataFrame:
+    return tokenbin.read_token_files(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=10)
     return out.select(
@@ -47,6 +58,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_secrets": op4_secrets,
     "op5_line_dedup": op5_line_dedup,
+    "op7_token_files": op7_token_files,
     "op8_decontamination": op8_decontamination,
     "op10_sharding": op10_sharding,
 }
