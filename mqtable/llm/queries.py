@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mqtable.llm import decontam, linededup, secrets, sharding, tokenbin
+from mqtable.llm import decontam, linededup, secrets, sharding, simhash, tokenbin
 from mqtable.llm.oracle import oracle
 from mqtable.session import workers_import_package
 
@@ -18,6 +18,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan(table(spark, sf_dir, "documents")))
 
@@ -56,6 +60,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_simhash": op3_simhash,
     "op4_secrets": op4_secrets,
     "op5_line_dedup": op5_line_dedup,
     "op7_token_files": op7_token_files,
