@@ -7,8 +7,8 @@ one with the largest id.  Everything is a DataFrame expression.
 * The (hash, document) pairs are written once; counts and the drop lists both read them.
 * Counting is ``distinct`` on (hash, document) followed by a count with map-side partial
   sums, so a line that a third of all documents hold is spread over all tasks.
-* Drop lists are grouped per document; the text itself moves only for the final join, and
-  not at all while Catalyst knows the table of drop lists to be small enough to broadcast.
+* Drop lists are grouped per document; the text itself moves once, for the final join, which
+  is a merge join at every size.
 """
 
 from __future__ import annotations
@@ -51,12 +51,14 @@ def drop_common_lines(
         .select("id", "h.h1", "h.h2"),
         "lines",
     )
-    common = (
+    # written, so that the join below reads two plain shuffles and AQE can split a hot line
+    common = materialize(
         held.distinct()
         .groupBy("h1", "h2")
         .agg(F.count(F.lit(1)).alias("n_docs"), F.max("id").alias("keeper"))
         .where(F.col("n_docs") >= min_docs)
-        .drop("n_docs")
+        .drop("n_docs"),
+        "lines-common",
     )
     drops = materialize(
         held.join(common, ["h1", "h2"])
@@ -75,7 +77,7 @@ def drop_common_lines(
     )
     touched = F.col("drops").isNotNull()
     return (
-        d.join(drops, "id", "left")
+        d.join(drops.hint("merge"), "id", "left")
         .select(
             shown_id(F.col("id")).alias("doc_id"),
             F.size(F.split("text", "\n", -1)).cast("long").alias("n_lines"),
