@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mqtable.llm import decontam, linededup, secrets, sharding, simhash, tokenbin
+from mqtable.llm import decontam, gam, hilbert, linededup, secrets, sharding, simhash, tokenbin
 from mqtable.llm.oracle import oracle
 from mqtable.session import workers_import_package
 
@@ -18,6 +18,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
@@ -54,17 +58,23 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gam.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(table(spark, sf_dir, "documents"), SHARD_BYTES)
     return placed.select("doc_id", "n_bytes", "depth", "shard")
 
 
 QUERIES = {
+    "op2_hilbert_neighbours": op2_hilbert_neighbours,
     "op3_simhash": op3_simhash,
     "op4_secrets": op4_secrets,
     "op5_line_dedup": op5_line_dedup,
     "op7_token_files": op7_token_files,
     "op8_decontamination": op8_decontamination,
+    "op9_quality": op9_quality,
     "op10_sharding": op10_sharding,
 }
 
