@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mqtable.llm import decontam, gam, hilbert, linededup, secrets, sharding, simhash, tokenbin
+from mqtable.llm import decontam, gam, hilbert, linededup, mixing, secrets, sharding, simhash, tokenbin, warc
 from mqtable.llm.oracle import oracle
 from mqtable.session import workers_import_package
 
 #: Byte limit of a shard.
 SHARD_BYTES = 4 << 20
+#: Share of all tokens that a mixture takes, and the power that flattens its marginals.
+MIX_KEEP, MIX_POWER = 0.8, 0.8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    folder, captures = warc.write_archive(pages)
+    index = warc.build_index(captures, folder)
+    places = warc.lookup(warc.requests_of(pages), folder, index)
+    return warc.read_records(places, folder).drop("payload")
+
+
 def op2_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
@@ -35,6 +45,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), keep=MIX_KEEP, power=MIX_POWER)
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -68,10 +82,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_hilbert_neighbours": op2_hilbert_neighbours,
     "op3_simhash": op3_simhash,
     "op4_secrets": op4_secrets,
     "op5_line_dedup": op5_line_dedup,
+    "op6_mixing": op6_mixing,
     "op7_token_files": op7_token_files,
     "op8_decontamination": op8_decontamination,
     "op9_quality": op9_quality,
