@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Kinds in report order, pattern, group whose length counts, least length.
+# Where a match is a whole run of one class, the least length stands in the pattern: shorter runs
+# cannot begin or shift a longer one, and every word has some.
 STRONG = [
     (
         "assign",
@@ -28,12 +30,12 @@ STRONG = [
         2,
         6,
     ),
-    ("access", "AKIA[A-Z0-9]+", 0, 20),
-    ("hex", "[0-9a-f]+", 0, 24),
+    ("access", "AKIA[A-Z0-9]{16,}", 0, 20),
+    ("hex", "[0-9a-f]{24,}", 0, 24),
 ]
 WEAK = [
     ("login", "([uU][sS][eE][rR]|[lL][oO][gG][iI][nN]|[cC][lL][iI][eE][nN][tT]_?[iI][dD])[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9_.@-]+)", 2, 2),
-    ("opaque", "[A-Za-z0-9+/_-]+", 0, 16),
+    ("opaque", "[A-Za-z0-9+/_-]{16,}", 0, 16),
     ("endpoint", "[hH][tT][tT][pP][sS]?://[A-Za-z0-9.-]+", 0, 12),
 ]
 IDENTIFIERS, SECRETS = ("access", "login"), ("assign", "hex", "opaque")
@@ -43,14 +45,15 @@ REACH = 200
 
 def _parts(text: Column, order: int, pattern: str, group: int, least: int, mixed: bool) -> Column:
     """Per match: kind, number, length of the text before it since the last match, own length, and whether it counts."""
-    zipped = F.arrays_zip(
+    zipped = [
         F.split(text, pattern, -1).alias("gap"),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("value"),
-    )
+    ]
+    if group:
+        zipped.append(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("value"))
 
     def part(x: Column, i: Column) -> Column:
-        counts = F.char_length(x["value"]) >= least
+        counts = F.char_length(x["value" if group else "hit"]) >= least
         if mixed:  # letters of either case alone are words
             counts &= x["hit"].rlike("[0-9]") & x["hit"].rlike("[A-Za-z]")
         return F.struct(
@@ -61,7 +64,7 @@ def _parts(text: Column, order: int, pattern: str, group: int, least: int, mixed
             counts.alias("counts"),
         )
 
-    return F.filter(F.transform(zipped, part), lambda p: p["size"].isNotNull())
+    return F.filter(F.transform(F.arrays_zip(*zipped), part), lambda p: p["size"].isNotNull())
 
 
 def scan(docs: DataFrame, reach: int = REACH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
