@@ -45,6 +45,23 @@ def topic_regex(pattern: str) -> str:
     return "^" + "".join(pieces) + "$"
 
 
+def key_word_list(key: Column) -> Column:
+    """Words of a routing key or pattern; the empty key has none, null stays null."""
+    return F.when(key == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(key, r"\.", -1))
+
+
+def topic_regex_column(pattern: Column) -> Column:
+    """``topic_regex`` of a column of patterns."""
+
+    def piece(word: Column) -> Column:
+        literal = F.concat(F.lit(r"\."), F.regexp_replace(word, r"([^\p{L}\p{N}_])", r"\\$1"))
+        return F.when(word == "#", F.lit(f"(?:{_WORD})*")).when(word == "*", F.lit(_WORD)).otherwise(literal)
+
+    # "#.#" matches exactly what "#" matches, and nested repeats would backtrack
+    plain = F.regexp_replace(pattern, r"(^|\.)#(\.#)+(?=\.|$)", r"$1#")
+    return F.concat(F.lit("^"), F.array_join(F.transform(key_word_list(plain), piece), ""), F.lit("$"))
+
+
 def topic_key_words(key) -> Column:
     """Normalised routing key: a dot before each word; the empty key stays empty."""
     key = F.col(key) if isinstance(key, str) else key

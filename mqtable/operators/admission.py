@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -95,17 +93,22 @@ def cap_per_partition(m: DataFrame, parallelism: int, cap: int, slide_ms: int, r
 
 
 def per_batch(m: DataFrame, batch_col: str = "batch_id") -> DataFrame:
-    """Messages per batch on a dense batch axis (a batch with no messages counts 0)."""
+    """Messages per batch on a dense batch axis (a batch with no messages counts 0).
+
+    Idle batches come from the gap before each busy one, spread over tasks by Spark; use
+    ``busy_batches`` where run lengths will do.
+    """
+    busy = busy_batches(m, batch_col)
+    idle = F.when(F.col("gap") > 0, F.sequence(F.col(batch_col) - F.col("gap"), F.col(batch_col) - 1)).otherwise(F.array().cast("array<bigint>"))
+    empty = busy.where("gap > 0").select(F.explode(idle).alias(batch_col), F.lit(0).cast("long").alias("n"))
+    return busy.select(batch_col, "n").unionByName(empty)
+
+
+def busy_batches(m: DataFrame, batch_col: str = "batch_id") -> DataFrame:
+    """``batch_id, n, gap``: batches with messages, and how many idle ones lie before each."""
     counts = m.groupBy(batch_col).agg(F.count(F.lit(1)).alias("n"))
-    bounds = counts.agg(F.min(batch_col).alias("lo"), F.max(batch_col).alias("hi")).first()
-    spark = m.sparkSession
-    if bounds is None or bounds["lo"] is None:
-        return spark.createDataFrame([], f"{batch_col} long, n long")
-    # the axis is generated in parallel ranges, not exploded inside one task
-    axis = spark.range(bounds["lo"], bounds["hi"] + 1).withColumnRenamed("id", batch_col)
-    return join_on(axis, counts, [batch_col], how="left").select(
-        batch_col, F.coalesce("n", F.lit(0)).cast("long").alias("n")
-    )
+    before = F.lag(batch_col).over(Window.orderBy(batch_col))
+    return counts.withColumn("gap", F.coalesce(F.col(batch_col) - before - 1, F.lit(0)))
 
 
 def rate_cap(
@@ -157,7 +160,3 @@ def tumbling_counts(m: DataFrame, width: str) -> DataFrame:
     return m.groupBy(F.window("published_at", width).start.alias("window_start"), "queue").agg(
         F.count(F.lit(1)).alias("n")
     )
-
-
-def remember_count(remember_s: int, slide_ms: int) -> int:
-    return max(1, int(math.ceil(remember_s * 1000 / slide_ms)))

@@ -29,8 +29,11 @@ def observe_count(batch: DataFrame, name: str = "batch"):
 
 
 def is_empty_by_source(m: DataFrame, sources: DataFrame) -> DataFrame:
-    """A3: whether each source has nothing to deliver."""
-    return count_by_source(m, sources).select("queue", (F.col("n") == 0).alias("empty"))
+    """A3: whether each source has nothing to deliver; no message is counted."""
+    present = m.select("queue").distinct().withColumn("__has", F.lit(True))
+    return join_on(sources.select("queue").distinct(), present, ["queue"], how="left").select(
+        "queue", F.col("__has").isNull().alias("empty")
+    )
 
 
 def z_score(confidence: float) -> float:
@@ -41,17 +44,17 @@ def count_approx(
     m: DataFrame, sample_mod: int = 10, confidence: float = 0.95, counted: DataFrame | None = None
 ) -> DataFrame:
     """A2: per-queue count estimated from a deterministic 1/``sample_mod`` sample
-    of delivery tags, with a normal-approximation interval (rounded).
+    of message ids, with a normal-approximation interval (rounded) and its ``confidence``.
 
     When the batch was already counted (``counted``: ``queue, n``), the answer is
     exact: ``mean = low = high = n`` with confidence 1.0, and nothing is scanned."""
     if counted is not None:
         n = F.col("n").cast("long")
-        return counted.select("queue", n.alias("mean"), n.alias("low"), n.alias("high"))
+        return counted.select("queue", n.alias("mean"), n.alias("low"), n.alias("high"), F.lit(1.0).alias("confidence"))
     p = 1.0 / sample_mod
     z = z_score(confidence)
     k = F.count(F.lit(1))
-    sampled = m.where(F.pmod("delivery_tag", F.lit(sample_mod)) == 0).groupBy("queue").agg(k.alias("__k"))
+    sampled = m.where(F.pmod("message_id", F.lit(sample_mod)) == 0).groupBy("queue").agg(k.alias("__k"))
     mean = F.col("__k") / F.lit(p)
     half = F.lit(z) * F.sqrt(F.col("__k") * F.lit(1.0 - p)) / F.lit(p)
     return sampled.select(
@@ -59,12 +62,17 @@ def count_approx(
         F.round(mean).cast("long").alias("mean"),
         F.round(mean - half).cast("long").alias("low"),
         F.round(mean + half).cast("long").alias("high"),
+        F.lit(float(confidence)).alias("confidence"),
     )
 
 
 def take_messages(m: DataFrame, n: int) -> DataFrame:
-    """A4: the first ``n`` messages in (queue, delivery_tag) order (a top-k, no global sort)."""
-    return m.orderBy("queue", "delivery_tag").limit(n)
+    """A4: the first ``n`` messages in (queue, message_id) order with their ``delivery_tag``.
+
+    A top-k without a global sort.  The result begins each queue it reaches at its first message, so
+    the tags of these few rows are their positions and the log is not numbered."""
+    first = m.drop("delivery_tag").orderBy("queue", "message_id").limit(n)
+    return first.withColumn("delivery_tag", F.row_number().over(Window.partitionBy("queue").orderBy("message_id")).cast("long"))
 
 
 def partition_counts(m: DataFrame) -> DataFrame:

@@ -10,131 +10,74 @@ per-bucket problem on an aggregate table, and run exact windows only inside
 from __future__ import annotations
 
 from functools import reduce
-from typing import Callable, Iterable, Sequence
+from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mqtable.functions.time import epoch_micros, floor_div
 
-# Largest side table (rows) that may be collected and broadcast after its size
-# has been checked; above it the shuffle-join path is taken.
-BROADCAST_MAX_ROWS = 200_000
-
-
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def small_side(df: DataFrame, max_rows: int | None = None) -> DataFrame | None:
-    """Broadcastable copy of ``df`` if it has at most ``max_rows`` rows, else None.
+def group_key(*cols) -> Column:
+    """One non-null key for columns that may be null: equal nulls give equal keys.
 
-    At most ``max_rows + 1`` rows ever reach the driver; the copy is a local
-    relation, so its size is exact and its lineage is cut.
+    Joins and windows on it use plain equality on one expression, so they share one exchange.
     """
-    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    spark = df.sparkSession
-    bounded = df.limit(max_rows + 1)
-    try:  # Arrow batches both ways
-        pdf = bounded.toPandas()
-        if len(pdf) > max_rows:
-            return None
-        local = spark.createDataFrame(pdf, df.schema)
-    except Exception:  # noqa: BLE001 - types Arrow cannot carry: plain rows
-        rows = bounded.collect()
-        if len(rows) > max_rows:
-            return None
-        local = spark.createDataFrame(rows, df.schema)
-    return F.broadcast(local)
+    return F.struct(*[_c(c) for c in cols])
 
 
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Null-safe equi-join on same-named keys; the right side's keys are dropped."""
-    renamed = right
-    for k in keys:
-        renamed = renamed.withColumnRenamed(k, f"__r_{k}")
-    if not keys:
-        return left.crossJoin(renamed)
-    cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(renamed[f"__r_{k}"]) for k in keys])
-    out = left.join(renamed, cond, how)
-    return out.drop(*[f"__r_{k}" for k in keys])
-
-
-# Salts of the shuffle fallback: a hot key of the big side is spread over this many tasks.
-JOIN_SALTS = 32
-
-
-def join_side_table(big: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join a derived side table: broadcast when its checked size allows, else a
-    salted shuffle join.
-
-    The fallback salts each big-side row by a hash of the row (deterministic, so
-    a recomputed task gets the same salt) and replicates the side table once
-    per salt, so even one key holding a third of the rows is spread over
-    ``JOIN_SALTS`` tasks.  Inner, left, semi and anti joins keep their meaning
-    because every big row meets exactly the side rows of its own salt.
+    """Null-safe equi-join on same-named keys; the right side's keys are dropped.
+
+    Spark chooses between broadcast and shuffle by the size it knows, and AQE splits hot keys.
     """
-    small = small_side(side)
-    if small is not None:
-        return join_on(big, small, keys, how)
-    hashable = [F.col(f.name) for f in big.schema.fields if "map<" not in f.dataType.simpleString()]
-    salt = F.pmod(F.xxhash64(*hashable), F.lit(JOIN_SALTS)) if hashable else F.lit(0).cast("long")
-    salted_big = big.withColumn("__salt", salt)
-    salted_side = side.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(JOIN_SALTS - 1).cast("long"))))
-    return join_on(salted_big, salted_side, list(keys) + ["__salt"], how).drop("__salt")
+    key = group_key(*keys)
+    renamed = right.withColumn("__r_key", key).drop(*keys)
+    out = left.withColumn("__l_key", key)
+    return out.join(renamed, out["__l_key"] == renamed["__r_key"], how).drop("__l_key", "__r_key")
 
 
 # Rows one window task should see at most (about); hot time intervals are split to it.
 CHUNK_TARGET_ROWS = 1 << 20
-_MAX_SPLIT = 1 << 20  # sub-intervals per base interval (keeps the chunk key a long)
+_MAX_SPLIT = 1 << 20  # sub-ranges per chunk (keeps the chunk key a long)
 
 
-SPLIT_LEVELS = 3  # hot ranges are re-split up to this many times
+def _split_hot(
+    d: DataFrame, partition_by: Sequence[str], target: int, base: str, values: Sequence[str]
+) -> tuple[DataFrame, list[str]]:
+    """Split hot chunks into contiguous sub-ranges until none holds more than ``target`` rows.
 
-
-def _split_hot(d: DataFrame, partition_by: Sequence[str], target: int, names: Sequence[str]) -> DataFrame:
-    """Split hot chunks into contiguous value sub-ranges, level by level.
-
-    Each row has its value ``__x``; ``names[0]`` already holds the base chunk.
-    Level i adds ``names[i]``: a (group, chunk) with more than ``target`` rows
-    is re-based to the range its rows occupy (its own min and max) and cut into
-    ``4 * ceil(rows / target)`` (at least 64) equal parts; other rows get 0.
-    Re-basing lets every level narrow onto dense clusters inside sparse
-    ranges.  Only hot chunks enter each level's side table, and the chunk
-    order is the lexicographic order of ``names``.
+    A (group, chunk) with more rows is re-based to the range its rows occupy and cut into
+    ``4 * ceil(rows / target)`` (at least 64) equal parts: by the first value whose range is not a
+    point, so rows that tie on one value are split by the next.  Rows that tie on all values have
+    no order to keep and are dealt by hash.  Only hot chunks enter a level's side table, and the
+    chunk order is the lexicographic order of the returned columns.
     """
-    keys = list(partition_by) + [names[0]]
-    for level in names[1:]:
-        hot = (
-            d.groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("__cnt"), F.min("__x").alias("__hlo"), F.max("__x").alias("__hhi"))
-            .where(F.col("__cnt") > target)
-            .select(
-                *keys,
-                "__hlo",
-                "__hhi",
-                F.least(F.lit(_MAX_SPLIT), F.greatest(F.lit(64), 4 * F.ceil(F.col("__cnt") / F.lit(target))))
-                .cast("double")
-                .alias("__parts"),
-            )
-        )
-        rows = hot.limit(BROADCAST_MAX_ROWS + 1).collect()
-        if not rows:  # nothing is hot at this level, so nothing is below it either
-            for rest in names[names.index(level):]:
-                d = d.withColumn(rest, F.lit(0).cast("long"))
-            break
-        side = hot if len(rows) > BROADCAST_MAX_ROWS else F.broadcast(d.sparkSession.createDataFrame(rows, hot.schema))
-        d = join_on(d, side, keys, how="left")
-        step = (F.col("__hhi") - F.col("__hlo") + F.lit(1.0)) / F.col("__parts")
-        sub = F.least(F.floor((F.col("__x") - F.col("__hlo")) / step), F.col("__parts") - 1).cast("long")
-        d = d.withColumn(level, F.coalesce(F.greatest(sub, F.lit(0)), F.lit(0)).cast("long"))
-        d = d.drop("__hlo", "__hhi", "__parts")
-        keys.append(level)
-    return d.drop("__x")
-
-
-def _level_names(name: str) -> list[str]:
-    return [f"{name}_{i}" for i in range(SPLIT_LEVELS + 1)]
+    names = [base]
+    while True:
+        keys = [*partition_by, *names]
+        ranges = [f(v).alias(f"__{n}{i}") for i, v in enumerate(values) for n, f in (("lo", F.min), ("hi", F.max))]
+        hot = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt"), *ranges).where(F.col("__cnt") > target)
+        if hot.isEmpty():
+            return d, names
+        name = f"{base}_{len(names)}"
+        parts = F.least(F.lit(_MAX_SPLIT), F.greatest(F.lit(64), 4 * F.ceil(F.col("__cnt") / F.lit(target)))).cast("double")
+        d = join_on(d, hot.withColumn("__parts", parts), keys, how="left")
+        sub = F.pmod(F.xxhash64(*values), F.col("__parts").cast("long"))
+        for i, v in reversed(list(enumerate(values))):
+            lo, hi = F.col(f"__lo{i}"), F.col(f"__hi{i}")
+            step = (hi - lo + F.lit(1.0)) / F.col("__parts")
+            cut = F.least(F.floor((F.col(v) - lo) / step), F.col("__parts") - 1).cast("long")
+            sub = F.when(hi > lo, F.greatest(cut, F.lit(0))).otherwise(sub)
+        ties = [F.col(f"__lo{i}") == F.col(f"__hi{i}") for i in range(len(values))]
+        # a chunk of nothing but full ties is as fine as an order can make it
+        d = d.withColumn(name, F.coalesce(sub, F.lit(0)).cast("long")).drop("__cnt", "__parts", *[f"__{n}{i}" for i in range(len(values)) for n in ("lo", "hi")])
+        names.append(name)
+        if hot.where(~reduce(lambda a, b: a & b, ties)).isEmpty():
+            return d, names
 
 
 def time_chunks(
@@ -144,19 +87,18 @@ def time_chunks(
     base_us: int,
     name: str,
     target_rows: int | None = None,
-) -> DataFrame:
-    """Add chunk columns ``chunk_columns(name)`` that order rows by time inside each
-    group (lexicographically) and hold about ``target_rows`` rows or fewer per chunk.
+    tiebreak: Column | None = None,
+) -> tuple[DataFrame, list[str]]:
+    """Add chunk columns that order rows by time (then ``tiebreak``) inside each group
+    (lexicographically) and hold about ``target_rows`` rows or fewer per chunk.
 
-    Time is cut into ``base_us`` intervals; an interval with more than
-    ``target_rows`` rows of one group is split into contiguous sub-intervals
-    of the span its rows occupy, and still-hot ones again (up to
-    ``SPLIT_LEVELS``).
+    Time is cut into ``base_us`` intervals; an interval with more than ``target_rows`` rows of one
+    group is split into contiguous sub-intervals of the span its rows occupy, as often as needed.
     """
-    target = target_rows or CHUNK_TARGET_ROWS
-    names = _level_names(name)
-    d = df.withColumn("__x", ts_us.cast("double")).withColumn(names[0], floor_div(ts_us, F.lit(base_us)))
-    return _split_hot(d, partition_by, target, names)
+    d = df.withColumn("__x", ts_us.cast("double")).withColumn("__y", (tiebreak if tiebreak is not None else ts_us).cast("double"))
+    d = d.withColumn(name, floor_div(ts_us, F.lit(base_us)))
+    d, names = _split_hot(d, partition_by, target_rows or CHUNK_TARGET_ROWS, name, ["__x", "__y"])
+    return d.drop("__x", "__y"), names
 
 
 def value_chunks(
@@ -165,17 +107,14 @@ def value_chunks(
     value: Column,
     name: str,
     target_rows: int | None = None,
-) -> DataFrame:
-    """Add chunk columns ``chunk_columns(name)`` that order rows by an integer
-    ``value`` inside each group and hold about ``target_rows`` rows or fewer,
-    for dense, sparse and clustered values alike.
+) -> tuple[DataFrame, list[str]]:
+    """Add chunk columns that order rows by an integer ``value`` inside each group and hold about
+    ``target_rows`` rows or fewer, for dense, sparse and clustered values alike.
 
-    Each group's range ``[min, max]`` is cut into ``ceil(count / target)``
-    equal base ranges (a per-group table), then hot ranges are split further
-    as in ``time_chunks``.
+    Each group's range ``[min, max]`` is cut into ``ceil(count / target)`` equal base ranges (a
+    per-group table), then hot ranges are split further as in ``time_chunks``.
     """
     target = target_rows or CHUNK_TARGET_ROWS
-    names = _level_names(name)
     d = df.withColumn("__x", value.cast("double"))
     stats = d.groupBy(*partition_by).agg(
         F.min("__x").alias("__gmin"),
@@ -186,15 +125,10 @@ def value_chunks(
     stats = stats.select(
         *partition_by, "__gmin", ((F.col("__gmax") - F.col("__gmin") + F.lit(1.0)) / pieces).alias("__bw")
     )
-    d = join_side_table(d, stats, list(partition_by), how="left")
+    d = join_on(d, stats, list(partition_by), how="left")
     base = F.floor((F.col("__x") - F.col("__gmin")) / F.col("__bw")).cast("long")
-    d = d.withColumn(names[0], base).drop("__gmin", "__bw")
-    return _split_hot(d, partition_by, target, names)
-
-
-def chunk_columns(name: str) -> list[str]:
-    """Column names ``time_chunks`` / ``value_chunks`` add for ``name`` (in order)."""
-    return _level_names(name)
+    d, names = _split_hot(d.withColumn(name, base).drop("__gmin", "__bw"), partition_by, target, name, ["__x"])
+    return d.drop("__x"), names
 
 
 def ordinal(
@@ -223,19 +157,19 @@ def ordinal(
     keys = list(partition_by) + bnames
     counts = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*partition_by).orderBy(*bnames).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    offsets = counts.select(group_key(*keys).alias("__okey"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    d = d.withColumn("__key", group_key(*keys)).drop(*bnames)
+    # every (group, bucket) has an offset row, so LEFT equals INNER; LEFT lets Catalyst
+    # drop the whole numbering when the ordinal is not used
+    how = "left"
     if max_rank is not None:
-        offsets = offsets.where(F.col("__off") < F.lit(max_rank))
-        joined = join_on(d, offsets, keys)
-    else:
-        # every (group, bucket) has an offset row, so LEFT equals INNER here; LEFT
-        # lets Catalyst drop the whole numbering when the ordinal is not used
-        joined = join_on(d, offsets, keys, how="left")
-    inner = Window.partitionBy(*keys).orderBy(*order_by)
+        offsets, how = offsets.where(F.col("__off") < F.lit(max_rank)), "inner"
+    joined = d.join(offsets, d["__key"] == offsets["__okey"], how).drop("__okey")
+    inner = Window.partitionBy("__key").orderBy(*order_by)
     out = joined.withColumn(name, (F.col("__off") + F.row_number().over(inner)).cast("long"))
     if max_rank is not None:
         out = out.where(F.col(name) <= F.lit(max_rank))
-    return out.drop("__off", *bnames)
+    return out.drop("__off", "__key")
 
 
 def newest_within(
@@ -245,7 +179,6 @@ def newest_within(
     newest_first: Sequence[Column],
     budgets: Sequence[tuple[Column, Column]],
     keep: bool = True,
-    refine: Callable[[DataFrame], Column] | None = None,
 ) -> DataFrame:
     """Rows of the longest newest suffix per group that fits every budget.
 
@@ -258,9 +191,6 @@ def newest_within(
     Buckets wholly inside or outside all budgets are decided on the small
     per-bucket table; the exact running sums run only in the one bucket per
     group that straddles the cut.  ``keep=False`` returns the dropped rows.
-    ``refine`` gives a finer recency bucket for the rows of a straddling
-    bucket; they are then solved again one level down (budgets reduced by
-    what the newer buckets used), so the exact window sees one fine bucket.
     """
     d = df.withColumn("__bk", bucket)
     ws, ls = [], []
@@ -301,32 +231,10 @@ def newest_within(
     )
     drop_cols = ["__bk", "__cls", "__fits", *ws, *ls, *[f"__before{i}" for i in range(len(budgets))]]
 
-    small = small_side(per)
-    # large per-bucket tables join by shuffle (Spark reuses that exchange in both
-    # branches); either way only the straddling rows reach a window
-    joined = join_on(d, small if small is not None else per, keys)
+    # only the straddling rows reach a window; Spark computes ``per`` once for both branches
+    joined = join_on(d, per, keys)
     whole = joined.where(F.col("__cls") == ("in" if keep else "out"))
-    cut = joined.where(F.col("__cls") == "cut")
-    if refine is not None:
-        # keep the per-row weights/limits as plain columns for the next level
-        nb = len(budgets)
-        staged = cut
-        for i in range(nb):
-            staged = staged.withColumn(f"__rw{i}", F.col(f"__w{i}")).withColumn(
-                f"__rl{i}", F.col(f"__l{i}") - F.col(f"__before{i}")
-            )
-        staged = staged.drop(*drop_cols)
-        sub = newest_within(
-            staged,
-            partition_by,
-            refine(staged),
-            newest_first,
-            [(F.col(f"__rw{i}"), F.col(f"__rl{i}")) for i in range(nb)],
-            keep,
-        )
-        sub = sub.drop(*[f"__rw{i}" for i in range(nb)], *[f"__rl{i}" for i in range(nb)])
-        return whole.drop(*drop_cols).unionByName(sub)
-    cut = cut.withColumn("__fits", fits)
+    cut = joined.where(F.col("__cls") == "cut").withColumn("__fits", fits)
     cut = cut.where(F.col("__fits") if keep else ~F.col("__fits"))
     return whole.drop(*drop_cols).unionByName(cut.drop(*drop_cols))
 
@@ -353,14 +261,15 @@ def gap_sessions(
     d = df.select(*partition_by, *tiebreak, F.col(ts).alias("__ts")).withColumn(
         "__us", epoch_micros("__ts")
     )
-    d = time_chunks(d, partition_by, F.col("__us"), chunk_us, "__ck")
-    cks = chunk_columns("__ck")
+    d, cks = time_chunks(
+        d, partition_by, F.col("__us"), chunk_us, "__ck", tiebreak=F.xxhash64(*tiebreak) if tiebreak else None
+    )
     keys = list(partition_by) + cks
     chunks = d.groupBy(*keys).agg(F.max("__us").alias("__cmax"))
     chunks = chunks.select(
         *keys, F.lag("__cmax").over(Window.partitionBy(*partition_by).orderBy(*cks)).alias("__pmax")
     )
-    d = join_side_table(d, chunks, keys)
+    d = join_on(d, chunks, keys)
     local = Window.partitionBy(*keys).orderBy("__us", *tiebreak)
     prev = F.coalesce(F.lag("__us").over(local), F.col("__pmax"))
     d = d.withColumn("__start", prev.isNull() | (F.col("__us") - prev >= F.lit(gap_us)))

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mqtable.functions.time import MS, epoch_micros, floor_div
-from mqtable.operators.ordering import gap_sessions, join_side_table, newest_within, ordinal
+from mqtable.operators.ordering import gap_sessions, join_on, newest_within, ordinal
 
-HOUR_US = 3_600_000 * MS
+SECOND_US, HOUR_US = 1_000 * MS, 3_600_000 * MS
 TAG_BUCKET = 1 << 20
 EXPIRED, MAXLEN = "expired", "maxlen"
 
@@ -42,44 +42,25 @@ def _recency_bucket(bucket_us: int) -> Column:
     return floor_div(epoch_micros("published_at"), F.lit(bucket_us))
 
 
-# the straddling bucket is re-cut into this many sub-buckets before the exact window
-REFINE_SPLIT = 4096
-
-
-def _refine(bucket_us: int):
-    """Finer recency bucket (``bucket_us / REFINE_SPLIT``) for the straddling bucket's rows."""
-    fine = max(1, bucket_us // REFINE_SPLIT)
-    return lambda df: floor_div(epoch_micros("published_at"), F.lit(fine))
-
-
 def _newest() -> list[Column]:
-    return [F.col("published_at").desc(), F.col("delivery_tag").desc()]
-
-
-# Spark rewrites ``row_number() <= N`` into a map-side partial top-N up to this N
-# (spark.sql.optimizer.windowGroupLimitThreshold, default 1000)
-GROUP_LIMIT_MAX = 1000
+    """Newest first; within a queue the tag rises with the id, so no numbering is needed to break ties."""
+    return [F.col("published_at").desc(), F.col("message_id").desc()]
 
 
-def max_length(m: DataFrame, limit, keep: bool = True, bucket_us: int = HOUR_US) -> DataFrame:
-    """Q2: newest ``limit`` messages per queue (drop-head overflow).
+def max_length(m: DataFrame, limit, keep: bool = True, bucket_us: int = SECOND_US) -> DataFrame:
+    """Q2: newest ``limit`` messages per queue (drop-head overflow), for any limit.
 
-    A small literal limit uses the plain window: Spark keeps only the top
-    ``limit`` rows per queue in every map task before the shuffle, so even a
-    hot queue ships at most ``limit`` rows per task.  Otherwise (large or
-    per-queue limits, or the dropped rows) the bucketed suffix solver runs.
+    Whole seconds inside or outside the limit are decided on their counts; a window sees only the
+    one second per queue that straddles it.
     """
-    if keep and isinstance(limit, int) and 0 <= limit <= GROUP_LIMIT_MAX:
-        rank = F.row_number().over(Window.partitionBy("queue").orderBy(*_newest()))
-        return m.withColumn("__rn", rank).where(F.col("__rn") <= limit).drop("__rn")
     budget = [(F.lit(1), _lit_or_col(limit))]
-    return newest_within(m, ["queue"], _recency_bucket(bucket_us), _newest(), budget, keep, _refine(bucket_us))
+    return newest_within(m, ["queue"], _recency_bucket(bucket_us), _newest(), budget, keep)
 
 
-def max_length_bytes(m: DataFrame, limit, keep: bool = True, bucket_us: int = HOUR_US) -> DataFrame:
+def max_length_bytes(m: DataFrame, limit, keep: bool = True, bucket_us: int = SECOND_US) -> DataFrame:
     """Q3: longest newest suffix per queue whose body bytes total <= ``limit``."""
     budget = [(_body_bytes(), _lit_or_col(limit))]
-    return newest_within(m, ["queue"], _recency_bucket(bucket_us), _newest(), budget, keep, _refine(bucket_us))
+    return newest_within(m, ["queue"], _recency_bucket(bucket_us), _newest(), budget, keep)
 
 
 def dead_lettered(m: DataFrame, policies: DataFrame, as_of: Column | None = None) -> DataFrame:
@@ -87,12 +68,12 @@ def dead_lettered(m: DataFrame, policies: DataFrame, as_of: Column | None = None
     exchange (``reason`` expired / maxlen); without one they are gone.
     Expiry is applied first, then the length and byte limits to what is left."""
     as_of = latest_publish(m) if as_of is None else as_of
-    mp = join_side_table(m, policies, ["queue"])  # one row per queue; broadcast after a size check
+    mp = join_on(m, policies, ["queue"])  # one row per queue
     dead_exp = F.coalesce(is_expired(F.col("message_ttl_ms"), as_of), F.lit(False))
     expired = mp.where(dead_exp).withColumn("reason", F.lit(EXPIRED))
     live = mp.where(~dead_exp)
     budgets = [(F.lit(1), F.col("max_length")), (_body_bytes(), F.col("max_length_bytes"))]
-    over = newest_within(live, ["queue"], _recency_bucket(HOUR_US), _newest(), budgets, False, _refine(HOUR_US))
+    over = newest_within(live, ["queue"], _recency_bucket(SECOND_US), _newest(), budgets, False)
     over = over.withColumn("reason", F.lit(MAXLEN))
     dead = expired.unionByName(over).where(F.col("dead_letter_exchange").isNotNull())
     return dead.withColumn("exchange", F.col("dead_letter_exchange")).withColumn(

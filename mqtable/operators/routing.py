@@ -1,19 +1,19 @@
 """Exchange routing (J1-J4) and topology declaration.
 
-Matching is resolved once per *distinct* (exchange, routing key) against the
-bindings, never per message; the resolved table is then equi-joined back to
-the messages (broadcast when its checked size allows).
+Routes are resolved once per *distinct* (exchange, routing key), never per message, by an equi-join
+on (exchange, token).  A binding has one token: its key (direct), any key (fanout), and for a topic
+pattern the number of words it asks for or, with ``#``, its literal first or last word.  A routing
+key has the few tokens of the bindings that may match it, so a key meets few patterns; the pattern
+itself, compiled to a regular expression as a column, decides.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from mqtable.functions.topic import topic_key_words, topic_regex
-from mqtable.operators.ordering import BROADCAST_MAX_ROWS, join_on, join_side_table
-from mqtable.schema import BINDING_SCHEMA
+from mqtable.functions.topic import key_word_list, topic_key_words, topic_regex_column
+from mqtable.operators.ordering import join_on
 
 DIRECT, FANOUT, TOPIC = "direct", "fanout", "topic"
 EXCHANGE_TYPES = (DIRECT, FANOUT, TOPIC)
@@ -38,24 +38,59 @@ def topology_bindings(sources: DataFrame, strict: bool = False) -> DataFrame:
         "queue",
         "exchange",
         "exchange_type",
-        F.explode(F.split(F.col("routing_keys"), ",", -1)).alias("routing_key"),
+        F.explode(_comma_list(F.col("routing_keys"))).alias("routing_key"),
     )
 
 
-def _compiled_bindings(bindings: DataFrame) -> DataFrame:
-    """Bindings with a ``regex`` column for topic patterns (bounded side table)."""
-    rows = bindings.select(*[f.name for f in BINDING_SCHEMA.fields]).limit(BROADCAST_MAX_ROWS + 1).collect()
-    if len(rows) > BROADCAST_MAX_ROWS:
-        raise TopologyError(f"more than {BROADCAST_MAX_ROWS} bindings")
-    for r in rows:
-        if r["exchange_type"] not in EXCHANGE_TYPES:
-            raise TopologyError(f"unsupported exchange type {r['exchange_type']!r}")
-    data = [
-        (*r, topic_regex(r["routing_key"]) if r["exchange_type"] == TOPIC and r["routing_key"] is not None else None)
-        for r in rows
-    ]
-    schema = T.StructType(BINDING_SCHEMA.fields + [T.StructField("regex", T.StringType())])
-    return F.broadcast(bindings.sparkSession.createDataFrame(data, schema))
+def _comma_list(text: Column) -> Column:
+    """Parts between commas, without empty ones at the end; the empty text is one empty part."""
+    kept = F.regexp_replace(text, ",+$", "")
+    return F.when((kept == "") & (text != ""), F.array().cast("array<string>")).otherwise(F.split(kept, ",", -1))
+
+
+def _binding_tokens(bindings: DataFrame) -> DataFrame:
+    """Bindings with ``token`` and, for topic patterns, ``regex``."""
+    unknown = bindings.where(F.col("exchange_type").isNull() | ~F.col("exchange_type").isin(*EXCHANGE_TYPES)).limit(1)
+    if not unknown.isEmpty():
+        raise TopologyError(f"an exchange type is none of {', '.join(EXCHANGE_TYPES)}")
+    words = key_word_list(F.col("routing_key"))
+    first, last = F.get(words, F.lit(0)), F.get(words, F.size(words) - 1)
+    topic = (
+        F.when(~F.array_contains(words, "#"), F.concat(F.lit("n:"), F.size(words).cast("string")))
+        .when(~first.isin("*", "#"), F.concat(F.lit("f:"), first))
+        .when(~last.isin("*", "#"), F.concat(F.lit("l:"), last))
+        .otherwise(F.lit("any:"))
+    )
+    is_topic = F.col("exchange_type") == TOPIC
+    return bindings.withColumn(
+        "token",
+        F.when(is_topic, topic).when(F.col("exchange_type") == DIRECT, F.concat(F.lit("d:"), "routing_key")).otherwise(F.lit("x:")),
+    ).withColumn("regex", F.when(is_topic, topic_regex_column(F.col("routing_key"))))
+
+
+def _key_tokens(keys: DataFrame) -> DataFrame:
+    """``k_exchange, k_key`` and the other columns of ``keys``, once per token of the routing key."""
+    words = key_word_list(F.col("routing_key"))
+    tokens = F.array(
+        F.lit("x:"),
+        F.lit("any:"),
+        F.concat(F.lit("d:"), "routing_key"),
+        F.concat(F.lit("n:"), F.size(words).cast("string")),
+        F.concat(F.lit("f:"), F.get(words, F.lit(0))),
+        F.concat(F.lit("l:"), F.get(words, F.size(words) - 1)),
+    )
+    rest = [c for c in keys.columns if c not in ("exchange", "routing_key")]
+    return keys.select(
+        F.col("exchange").alias("k_exchange"), F.col("routing_key").alias("k_key"), *rest, F.explode(tokens).alias("k_token")
+    )
+
+
+def _matched(keys: DataFrame, bindings: DataFrame) -> DataFrame:
+    """Every (key, binding) pair that matches; a null routing key matches fanout bindings only."""
+    k, b = _key_tokens(keys), _binding_tokens(bindings)
+    b = b.where((F.col("exchange_type") == FANOUT) | F.col("routing_key").isNotNull())
+    fits = F.col("regex").isNull() | F.coalesce(F.rlike(topic_key_words(F.col("k_key")), F.col("regex")), F.lit(False))
+    return k.join(b, (F.col("k_exchange") == F.col("exchange")) & (F.col("k_token") == F.col("token"))).where(fits)
 
 
 def resolve_routes(keys: DataFrame, bindings: DataFrame) -> DataFrame:
@@ -64,55 +99,33 @@ def resolve_routes(keys: DataFrame, bindings: DataFrame) -> DataFrame:
     direct: same key; fanout: any key; topic: pattern match.  Two bindings of
     one queue that both match give one route (the queue gets the message once).
     """
-    b = _compiled_bindings(bindings).select(
-        F.col("exchange").alias("b_exchange"),
-        F.col("exchange_type").alias("b_type"),
-        F.col("routing_key").alias("b_key"),
-        F.col("regex").alias("b_regex"),
-        F.col("queue").alias("bound_queue"),
-    )
-    k = keys.select("exchange", "routing_key").distinct()
-    matches = (
-        ((F.col("b_type") == DIRECT) & (F.col("routing_key") == F.col("b_key")))
-        | (F.col("b_type") == FANOUT)
-        | ((F.col("b_type") == TOPIC) & F.rlike(topic_key_words(F.col("routing_key")), F.col("b_regex")))
-    )
-    joined = k.join(b, (k["exchange"] == b["b_exchange"]) & matches, "inner")
-    return joined.select("exchange", "routing_key", "bound_queue").distinct()
+    found = _matched(keys.select("exchange", "routing_key").distinct(), bindings)
+    return found.select(F.col("k_exchange").alias("exchange"), F.col("k_key").alias("routing_key"), F.col("queue").alias("bound_queue")).distinct()
 
 
 def route(messages: DataFrame, bindings: DataFrame) -> DataFrame:
     """Every (bound queue, message) pair the exchange delivers."""
     routes = resolve_routes(messages, bindings)
-    return join_side_table(messages, routes, ["exchange", "routing_key"])
+    return join_on(messages, routes, ["exchange", "routing_key"])
 
 
 def unroutable(messages: DataFrame, bindings: DataFrame) -> DataFrame:
     """Messages no binding matches (a broker drops them)."""
     routable = resolve_routes(messages, bindings).select("exchange", "routing_key").distinct()
-    return join_side_table(messages, routable, ["exchange", "routing_key"], how="left_anti")
+    return join_on(messages, routable, ["exchange", "routing_key"], how="left_anti")
 
 
 def binding_traffic(messages: DataFrame, bindings: DataFrame) -> DataFrame:
     """Declared bindings with the number of messages each one matches.
 
     Messages are first counted per distinct (exchange, routing key); only that
-    table meets the (broadcast, bounded) bindings, and each binding is matched
-    on its own, so overlapping bindings of one queue are all reported.
+    table meets the bindings, and each binding is matched on its own, so
+    overlapping bindings of one queue are all reported.
     """
     key_counts = messages.groupBy("exchange", "routing_key").agg(F.count(F.lit(1)).alias("__n"))
-    b = _compiled_bindings(bindings)
     names = ["queue", "exchange", "exchange_type", "routing_key"]
-    k = key_counts.select(
-        F.col("exchange").alias("k_exchange"), F.col("routing_key").alias("k_key"), "__n"
-    )
-    cond = (F.col("k_exchange") == F.col("exchange")) & (
-        ((F.col("exchange_type") == DIRECT) & (F.col("k_key") == F.col("routing_key")))
-        | (F.col("exchange_type") == FANOUT)
-        | ((F.col("exchange_type") == TOPIC) & F.rlike(topic_key_words(F.col("k_key")), F.col("regex")))
-    )
-    matched = k.join(b, cond, "inner").groupBy(*names).agg(F.sum("__n").alias("__m"))
-    out = join_on(b.select(*names), matched, names, how="left")
+    matched = _matched(key_counts, bindings).groupBy(*names).agg(F.sum("__n").alias("__m"))
+    out = join_on(bindings.select(*names), matched, names, how="left")
     return out.select(*names, F.coalesce("__m", F.lit(0)).cast("long").alias("n_matched"))
 
 

@@ -10,11 +10,12 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mqtable.operators import admission, counting, delivery, handler, retention, routing
-from mqtable.options import QueueOptions
+from mqtable.options import QueueOptions, SourceKey
 from mqtable.session import scratch_path
-from mqtable.sources import datasource, messagelog
+from mqtable.sources import messagelog
 from mqtable.sources.fixtures import (
     TAG_BUCKET_IDS,
     bindings_table,
@@ -22,7 +23,7 @@ from mqtable.sources.fixtures import (
     policies_table,
     sources_table,
 )
-from mqtable.streaming import consumer, redelivery
+from mqtable.streaming import api, consumer, redelivery
 
 # --- fixed values: parameters of the registered queries -----------------------
 SLIDE_MS = 3_600_000  # batch interval: 1 h
@@ -46,7 +47,8 @@ UNION_QUEUES = ["click", "error", "view"]
 UNMATCHED_QUEUES = ["clicks", "u2"]
 READ_QUEUE, READ_FIRST, READ_LAST = "click", 100, 199
 PUBLISH_SPLIT = "2024-01-16 00:00:00"
-LOG_FILE_RECORDS = 2_000
+LOG_FILE_RECORDS = messagelog.MAX_RECORDS_PER_FILE
+TRIGGER_BYTES = 1 << 30  # of log files per micro-batch
 # -------------------------------------------------------------------------------
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,11 +123,11 @@ def q_is_empty(spark, sf):
 
 
 def q_count_approx(spark, sf):
-    return counting.count_approx(_m(spark, sf), 10, 0.95)
+    return counting.count_approx(_m(spark, sf, False), 10, 0.95)
 
 
 def q_take_messages(spark, sf):
-    return counting.take_messages(_m(spark, sf), TAKE_N).select("queue", "delivery_tag", "message_id")
+    return counting.take_messages(_m(spark, sf, False), TAKE_N).select("queue", "delivery_tag", "message_id")
 
 
 def _hourly(m):
@@ -214,15 +216,15 @@ def q_ttl_expire(spark, sf):
 
 def _dead(spark, sf):
     as_of = retention.latest_publish(_m(spark, sf, False))
-    return retention.dead_lettered(_m(spark, sf), policies_table(spark), as_of)
+    return retention.dead_lettered(_m(spark, sf, False), policies_table(spark), as_of)
 
 
 def q_max_length(spark, sf):
-    return retention.max_length(_m(spark, sf), MAX_LENGTH).select("queue", "message_id")
+    return retention.max_length(_m(spark, sf, False), MAX_LENGTH).select("queue", "message_id")
 
 
 def q_max_length_bytes(spark, sf):
-    return retention.max_length_bytes(_m(spark, sf), MAX_LENGTH_BYTES).select("queue", "message_id")
+    return retention.max_length_bytes(_m(spark, sf, False), MAX_LENGTH_BYTES).select("queue", "message_id")
 
 
 def q_dead_letter(spark, sf):
@@ -267,42 +269,56 @@ def q_batch_read_queue(spark, sf):
 
 def _stream_totals(spark, sf, queues):
     path = _published_log(spark, sf)
-    stream = messagelog.stream_queues(spark, path, queues, max_files_per_trigger=4)
+    stream = messagelog.stream_queues(spark, path, queues, max_bytes_per_trigger=TRIGGER_BYTES)
     sink = scratch_path(spark, "sink")
     consumer.run_counts(stream, sink, scratch_path(spark, "ckpt"))
     return consumer.totals(spark, sink)
 
 
 def q_messagelog_batch_read(spark, sf):
-    """S5 through the Python data source: one queue, one tag range."""
-    datasource.register(spark)
+    """S5 through the source API: a slice of one source, its bodies decoded."""
     path = _published_log(spark, sf)
-    df = (
-        spark.read.format("messagelog")
-        .options(path=path, queues=READ_QUEUE, firstTag=str(READ_FIRST), lastTag=str(READ_LAST))
-        .load()
-    )
+    df = api.read_slice(spark, path, SourceKey(READ_QUEUE), READ_FIRST, READ_LAST)
     return df.select("delivery_tag", "message_id")
 
 
 def q_messagelog_stream(spark, sf):
-    """S3 through the Python stream reader: per-batch counts summed per queue."""
-    datasource.register(spark)
+    """S3 through the source API: several sources as one stream, per-batch counts summed per queue."""
     path = _published_log(spark, sf)
-    stream = (
-        spark.readStream.format("messagelog")
-        .options(path=path, queues=",".join(UNION_QUEUES), levelParallelism="2", maxMessagesPerPartition="1000")
-        .load()
+    stream = api.create_distributed_stream(
+        spark, path, [SourceKey(q) for q in UNION_QUEUES], {}, max_bytes_per_trigger=TRIGGER_BYTES
     )
     sink = scratch_path(spark, "sink")
     consumer.run_counts(stream, sink, scratch_path(spark, "ckpt"))
     return consumer.totals(spark, sink)
 
 
+def _envelope_text(delivery: handler.Delivery) -> str:
+    """The fixture's whole-message handler: every field it is given, in one line."""
+    user = (delivery.headers or {}).get("user", "-")
+    return f"{delivery.exchange}|{delivery.routing_key}|{delivery.delivery_tag}|{user}|{delivery.text}"
+
+
+def q_stream_handler(spark, sf):
+    """S3/P4 by content: a handler over the whole message, on a stream of every queue."""
+    path = _published_log(spark, sf)
+    stream = messagelog.stream_log(spark, path, max_bytes_per_trigger=TRIGGER_BYTES)
+    sink = scratch_path(spark, "handled")
+    handled = handler.handled_by(stream, _envelope_text, T.StringType()).select("message_id", "value", "outcome")
+    (
+        handled.writeStream.format("parquet")
+        .option("checkpointLocation", scratch_path(spark, "ckpt"))
+        .trigger(availableNow=True)
+        .start(sink)
+        .awaitTermination()
+    )
+    return spark.read.schema(handled.schema).parquet(sink)
+
+
 def q_stream_leases(spark, sf):
     """Q7 as a stream: session windows over every queue of the published log."""
     path = _published_log(spark, sf)
-    stream = messagelog.stream_log(spark, path, max_files_per_trigger=40)
+    stream = messagelog.stream_log(spark, path, max_bytes_per_trigger=TRIGGER_BYTES)
     sink = scratch_path(spark, "leases")
     (
         consumer.lease_stream(stream, f"{LEASE_EXPIRES_MS // 1000} seconds")
@@ -321,20 +337,11 @@ def q_stream_redelivery(spark, sf):
     """D2 as a stream: failed deliveries return through a retry log until they
     succeed or reach the attempt limit; one row per message and its last attempt."""
     path = _published_log(spark, sf)
-    ok, dead, retry, ck = (scratch_path(spark, x) for x in ("ok", "dead", "retry", "ckpt"))
-    for _ in range(MAX_ATTEMPTS + 1):  # each run consumes the retries the previous one wrote
-        stream = redelivery.delivery_stream(spark, path, READ_QUEUE, retry)
-        writer = redelivery.redelivery_writer(ok, retry, dead, redelivery.handler_fails_until(), MAX_ATTEMPTS)
-        run = stream.writeStream.foreachBatch(writer).option("checkpointLocation", ck).trigger(availableNow=True)
-        query = run.start()
-        query.awaitTermination()
-        batches = [p.batchId for p in query.recentProgress if p.numInputRows > 0]
-        requeued = spark.read.schema(redelivery.RETRY_LOG_SCHEMA).parquet(retry)
-        if not batches or requeued.where(F.col("batch_id").isin(batches)).isEmpty():
-            break  # nothing was requeued: every message is acked or dead
-    done = spark.read.parquet(ok).select("message_id", "attempt", F.lit("acked").alias("outcome"))
-    poison = spark.read.parquet(dead).select("message_id", "attempt", F.lit("dead").alias("outcome"))
-    return done.unionByName(poison)
+    ok, dead = redelivery.deliver_all(
+        spark, path, scratch_path(spark, "redelivery"), redelivery.handler_fails_until(), MAX_ATTEMPTS
+    )
+    done = ok.select("message_id", "attempt", F.lit("acked").alias("outcome"))
+    return done.unionByName(dead.select("message_id", "attempt", F.lit("dead").alias("outcome")))
 
 
 def q_stream_single_queue(spark, sf):
@@ -389,6 +396,7 @@ QUERIES: dict[str, Query] = {
     "stream_multi_queue": q_stream_multi_queue,
     "messagelog_batch_read": q_messagelog_batch_read,
     "messagelog_stream": q_messagelog_stream,
+    "stream_handler": q_stream_handler,
     "stream_leases": q_stream_leases,
     "stream_redelivery": q_stream_redelivery,
 }

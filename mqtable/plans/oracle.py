@@ -140,8 +140,9 @@ GROUP BY s.queue""",
     + """SELECT queue,
        CAST(round(k / CAST(0.1 AS DOUBLE)) AS BIGINT) AS mean,
        CAST(round(k / CAST(0.1 AS DOUBLE) - 1.959963984540054 * sqrt(k * CAST(0.9 AS DOUBLE)) / CAST(0.1 AS DOUBLE)) AS BIGINT) AS low,
-       CAST(round(k / CAST(0.1 AS DOUBLE) + 1.959963984540054 * sqrt(k * CAST(0.9 AS DOUBLE)) / CAST(0.1 AS DOUBLE)) AS BIGINT) AS high
-FROM (SELECT queue, count(*) AS k FROM m WHERE delivery_tag % 10 = 0 GROUP BY queue)""",
+       CAST(round(k / CAST(0.1 AS DOUBLE) + 1.959963984540054 * sqrt(k * CAST(0.9 AS DOUBLE)) / CAST(0.1 AS DOUBLE)) AS BIGINT) AS high,
+       CAST(0.95 AS DOUBLE) AS confidence
+FROM (SELECT queue, count(*) AS k FROM m WHERE message_id % 10 = 0 GROUP BY queue)""",
     "take_messages": _w(M)
     + "SELECT queue, delivery_tag, message_id FROM m ORDER BY queue, delivery_tag LIMIT 25",
     "partition_counts": _w(M)
@@ -253,5 +254,9 @@ FROM m""",
     "stream_redelivery": _w(M)
     + """SELECT message_id, CAST(least(fail_count + 1, 5) AS INT) AS attempt,
        CASE WHEN fail_count + 1 <= 5 THEN 'acked' ELSE 'dead' END AS outcome
-FROM m WHERE queue = 'click'""",
+FROM m""",
+    "stream_handler": _w(M)
+    + """SELECT message_id, 'ok' AS outcome,
+       exchange || '|' || routing_key || '|' || delivery_tag || '|' || coalesce(header_user, '-') || '|' || body AS value
+FROM m""",
 }

@@ -9,7 +9,7 @@ MESSAGE_SCHEMA = T.StructType(
         T.StructField("delivery_tag", T.LongType()),
         T.StructField("exchange", T.StringType()),
         T.StructField("routing_key", T.StringType()),
-        T.StructField("body", T.StringType()),
+        T.StructField("body", T.BinaryType()),
         T.StructField("headers", T.MapType(T.StringType(), T.StringType())),
         T.StructField("priority", T.IntegerType()),
         T.StructField("fail_count", T.IntegerType()),
@@ -49,6 +49,3 @@ SOURCE_SCHEMA = T.StructType(
         T.StructField("options", T.MapType(T.StringType(), T.StringType())),
     ]
 )
-
-# Columns a message log stores on disk (partitioned by ``queue``).
-LOG_COLUMNS = [f.name for f in MESSAGE_SCHEMA.fields]

@@ -32,9 +32,8 @@ def local_session(cores: int | str = "*", app: str = "mqtable") -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster this is a shared file system path set by the operator.  Only
-    when it is unset (local tests) a folder under the system temp dir is
-    chosen and registered, so ``DataFrame.checkpoint()`` works as well.
+    Only a local master, whose driver and executors are one process, may leave it unset; a folder
+    under the system temp dir is then chosen and registered.  On a cluster that raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -42,6 +41,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         import tempfile
 
         configured = os.path.join(tempfile.gettempdir(), "mqtable-checkpoints")

@@ -44,7 +44,7 @@ def message_view(spark: SparkSession, sf_dir: str, with_tag: bool = True) -> Dat
         ).alias("routing_key"),
         F.when(
             eid % 17 == 0, F.expr("substring(props, 1, length(props) - 1)")
-        ).otherwise(F.col("props")).alias("body"),
+        ).otherwise(F.col("props")).cast("binary").alias("body"),
         F.when(uid % 2 == 0, uid.cast("string")).alias("header_user"),
         F.when(uid % 5 != 0, uid % 7).cast("int").alias("priority"),
         F.when(eid % 34 == 0, F.lit(99))

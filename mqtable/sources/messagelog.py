@@ -1,15 +1,14 @@
-"""A replayable message log: Parquet partitioned by ``queue`` then ``publish_batch``.
+"""A replayable message log: Parquet partitioned by ``publish_batch`` then ``queue``.
 
-Publishing appends one batch: messages get the next dense per-queue
-``delivery_tag`` (current end of the queue + position in ``message_id``
-order).  Re-publishing the same batch id overwrites exactly that batch's
-partitions (dynamic partition overwrite), so a retried publish is idempotent.
+Publishing appends one batch: messages get the next dense per-queue ``delivery_tag`` (current end
+of the queue + position in ``message_id`` order).  Re-publishing a batch id replaces that batch's
+folder whole, so a retried publish is idempotent and leaves no partition of the first try behind.
+A table of queue ends per batch lies beside the log, so publishing never rescans earlier batches.
 Reads are partition-pruned on ``queue`` and filter-pushed on ``delivery_tag``.
 """
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mqtable.functions.time import floor_div
-from mqtable.operators.ordering import chunk_columns, join_side_table, ordinal, value_chunks
+from mqtable.operators.ordering import join_on, ordinal, value_chunks
 from mqtable.schema import MESSAGE_SCHEMA
 
 BATCH_COL = "publish_batch"
@@ -27,7 +26,6 @@ LOG_SCHEMA = T.StructType(
     [f for f in MESSAGE_SCHEMA.fields if f.name != "queue"]
     + [T.StructField(BATCH_COL, T.LongType()), T.StructField("queue", T.StringType())]
 )
-QUEUE_FILE_SCHEMA = T.StructType([f for f in LOG_SCHEMA.fields if f.name not in ("queue",)])
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -50,13 +48,21 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).option("basePath", path).parquet(path)
 
 
+ENDS_SCHEMA = "queue string, end long, publish_batch long"
+
+
+def _ends_path(path: str) -> str:
+    return path.rstrip("/") + "-ends"
+
+
 def queue_ends(spark: SparkSession, path: str, before_batch: int | None = None) -> DataFrame:
-    """Last delivery tag per queue over the batches before ``before_batch``
-    (reads only the tag column; the batch filter prunes partitions)."""
-    log = read_log(spark, path)
+    """Last delivery tag per queue over the batches before ``before_batch``."""
+    if not _exists(spark, _ends_path(path)):
+        return spark.createDataFrame([], "queue string, __end long")
+    ends = spark.read.schema(ENDS_SCHEMA).parquet(_ends_path(path))
     if before_batch is not None:
-        log = log.where(F.col(BATCH_COL) < before_batch)
-    return log.groupBy("queue").agg(F.max("delivery_tag").alias("__end"))
+        ends = ends.where(F.col(BATCH_COL) < before_batch)
+    return ends.groupBy("queue").agg(F.max("end").alias("__end"))
 
 
 def publish(
@@ -83,29 +89,26 @@ def publish(
     # batch gets the same tags and replaces its own partitions
     ends = queue_ends(spark, path, before_batch=batch_id)
     if dense_id_bucket:
-        buckets = [floor_div("message_id", F.lit(dense_id_bucket))]
+        chunks, buckets = [], [floor_div("message_id", F.lit(dense_id_bucket))]
     else:
-        fresh = value_chunks(fresh, ["queue"], F.col("message_id"), "__id_chunk")
-        buckets = [F.col(c) for c in chunk_columns("__id_chunk")]
+        fresh, chunks = value_chunks(fresh, ["queue"], F.col("message_id"), "__id_chunk")
+        buckets = [F.col(c) for c in chunks]
     numbered = ordinal(
         fresh,
         partition_by=["queue"],
         order_by=[F.col("message_id")],
         buckets=buckets,
         name="__pos",
-    ).drop(*chunk_columns("__id_chunk"))
-    numbered = join_side_table(numbered, ends, ["queue"], how="left")
-    out = numbered.withColumn(
-        "delivery_tag", (F.coalesce("__end", F.lit(0)) + F.col("__pos")).cast("long")
-    ).withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
-    (
-        out.select(*[f.name for f in LOG_SCHEMA.fields])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", max_records_per_file)
-        .partitionBy("queue", BATCH_COL)
-        .parquet(path)
-    )
+    ).drop(*chunks)
+    numbered = join_on(numbered, ends, ["queue"], how="left")
+    out = numbered.withColumn("delivery_tag", (F.coalesce("__end", F.lit(0)) + F.col("__pos")).cast("long"))
+    folder = f"{path.rstrip('/')}/{BATCH_COL}={int(batch_id)}"
+    out = out.select(*[f.name for f in LOG_SCHEMA.fields if f.name != BATCH_COL])
+    out.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).partitionBy("queue").parquet(folder)
+    # from the written tags: one narrow column of this batch alone
+    written = read_log(spark, path).where(F.col(BATCH_COL) == batch_id)
+    ends = written.groupBy("queue").agg(F.max("delivery_tag").alias("end"))
+    ends.write.mode("overwrite").parquet(f"{_ends_path(path)}/{BATCH_COL}={int(batch_id)}")
 
 
 def read_queue(spark: SparkSession, path: str, queue: str, first_tag: int | None = None, last_tag: int | None = None):
@@ -118,32 +121,32 @@ def read_queue(spark: SparkSession, path: str, queue: str, first_tag: int | None
     return df
 
 
-def stream_queue(spark: SparkSession, path: str, queue: str, max_files_per_trigger: int | None = None, max_bytes_per_trigger: str | None = None):
-    """An unbounded stream of one queue (reads only that queue's folder).
-
-    The queue is declared first (its folder is created when missing), so a
-    source with no messages yet gives empty batches instead of an error and
-    picks up what is published later."""
-    ensure_dir(spark, f"{path}/queue={queue}")
-    reader = spark.readStream.schema(QUEUE_FILE_SCHEMA).option("basePath", f"{path}/queue={queue}")
+def _reader(spark: SparkSession, path: str, max_files_per_trigger: int | None, max_bytes_per_trigger: int | None):
+    """A log that nothing was published to yet gives empty batches instead of an error."""
+    ensure_dir(spark, path)
+    reader = spark.readStream.schema(LOG_SCHEMA).option("basePath", path)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if max_bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
-    return reader.parquet(f"{path}/queue={queue}").withColumn("queue", F.lit(queue))
+    return reader.parquet(path)
 
 
-def stream_log(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def stream_log(
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None
+) -> DataFrame:
     """Every queue of the log as one stream (``queue`` comes from the folder names)."""
-    reader = spark.readStream.schema(LOG_SCHEMA).option("basePath", path)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(path)
+    return _reader(spark, path, max_files_per_trigger, max_bytes_per_trigger)
 
 
 def stream_queues(spark: SparkSession, path: str, queues: Iterable[str], **limits) -> DataFrame:
-    """Several queues as one stream (one file source per queue, unioned)."""
-    streams = [stream_queue(spark, path, q, **limits) for q in queues]
-    if not streams:
+    """Several queues as one stream: one file source, whose batches read only their folders."""
+    queues = list(queues)
+    if not queues:
         raise ValueError("no source queues: nothing to consume")
-    return reduce(DataFrame.unionByName, streams)
+    return stream_log(spark, path, **limits).where(F.col("queue").isin(queues))
+
+
+def stream_queue(spark: SparkSession, path: str, queue: str, **limits) -> DataFrame:
+    """An unbounded stream of one queue."""
+    return stream_queues(spark, path, [queue], **limits)

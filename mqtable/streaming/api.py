@@ -1,44 +1,30 @@
 """Stream factories with the consumer's option contract, over the message log.
 
-``create_stream`` (one queue) and ``create_distributed_stream`` (several
-queues / sources) return streaming DataFrames.  Without a handler the body is
-decoded to text (the string variants); with a handler each body goes through
-it in Arrow batches, and a failure marks the row ``failed`` instead of
-dropping it.  ``read_slice`` is the bounded batch read of one source.
+``create_stream`` (one queue) and ``create_distributed_stream`` (several queues / sources) return
+streaming DataFrames.  Without a handler the body is decoded to text (the string variants); with one,
+each whole message goes through it in Arrow batches, and a failure marks the row ``failed`` instead
+of dropping it.  ``read_slice`` is the bounded batch read of one source.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from typing import Callable, Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mqtable.functions.text import decode_body
-from mqtable.operators.handler import FAILED, OK, python_handler
+from mqtable.operators.handler import Delivery, handled_by
 from mqtable.options import OptionError, QueueOptions, SourceKey, source_keys
 from mqtable.sources import messagelog
+from mqtable.streaming.consumer import retain_batches_conf
 
 
-def _with_handler(df: DataFrame, handler: Callable[[str], object] | None, return_type: T.DataType) -> DataFrame:
-    text = decode_body("body")
+def _with_handler(df: DataFrame, handler: Callable[[Delivery], object] | None, return_type: T.DataType) -> DataFrame:
     if handler is None:
-        return df.withColumn("body", text)
-    from mqtable.session import workers_import_package
-
-    workers_import_package(df.sparkSession)
-    value = python_handler(handler, return_type)(text)
-    out = df.withColumn("value", value)
-    failed = F.col("value").isNull() & F.col("body").isNotNull()
-    return out.withColumn("outcome", F.when(failed, F.lit(FAILED)).otherwise(F.lit(OK)))
-
-
-def _key_stream(spark, log: str, key: SourceKey, opts: QueueOptions, limits: dict) -> DataFrame:
-    merged = opts.merged(key.options)  # the source's own options win
-    merged.policy_arguments()  # values that must parse are checked per source
-    return messagelog.stream_queue(spark, log, key.queue, **limits)
+        return df.withColumn("body", decode_body("body"))
+    return handled_by(df, handler, return_type)
 
 
 def create_distributed_stream(
@@ -46,10 +32,11 @@ def create_distributed_stream(
     log: str,
     keys: Sequence[SourceKey] | None,
     params: Mapping[str, str],
-    handler: Callable[[str], object] | None = None,
+    handler: Callable[[Delivery], object] | None = None,
     return_type: T.DataType = T.StringType(),
     max_files_per_trigger: int | None = None,
-    max_bytes_per_trigger: str | None = None,
+    max_bytes_per_trigger: int | None = None,
+    slide_ms: int = 1_000,
 ) -> DataFrame:
     """One stream over every source; with no keys, one source from
     ``queueName``; with neither there is nothing to read (an empty, static
@@ -60,18 +47,24 @@ def create_distributed_stream(
     if not resolved:
         empty = spark.createDataFrame([], messagelog.LOG_SCHEMA)
         return _with_handler(empty, handler, return_type)
-    streams = [
-        _key_stream(spark, log, k, opts, limits).withColumn("source_index", F.lit(i))
-        for i, k in enumerate(resolved)
-    ]
-    return _with_handler(reduce(DataFrame.unionByName, streams), handler, return_type)
+    for key in resolved:
+        opts.merged(key.options).policy_arguments()  # the source's own options win; bad values raise
+    if "rememberDuration" in params:
+        retain_batches_conf(spark, opts.remember_batches(slide_ms))
+    # a queue that several sources name is delivered to each of them
+    indexes: dict[str, list[int]] = {}
+    for i, key in enumerate(resolved):
+        indexes.setdefault(key.queue, []).append(i)
+    of = F.create_map(*[F.lit(x) if isinstance(x, str) else F.array(*map(F.lit, x)) for pair in indexes.items() for x in pair])
+    stream = messagelog.stream_queues(spark, log, list(indexes), **limits)
+    return _with_handler(stream.withColumn("source_index", F.explode(F.try_element_at(of, F.col("queue")))), handler, return_type)
 
 
 def create_stream(
     spark: SparkSession,
     log: str,
     params: Mapping[str, str],
-    handler: Callable[[str], object] | None = None,
+    handler: Callable[[Delivery], object] | None = None,
     return_type: T.DataType = T.StringType(),
     **limits,
 ) -> DataFrame:
@@ -87,7 +80,7 @@ def read_slice(
     key: SourceKey,
     first_tag: int | None = None,
     last_tag: int | None = None,
-    handler: Callable[[str], object] | None = None,
+    handler: Callable[[Delivery], object] | None = None,
     return_type: T.DataType = T.StringType(),
 ) -> DataFrame:
     """A bounded slice of one source as a batch DataFrame."""

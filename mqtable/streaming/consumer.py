@@ -63,8 +63,11 @@ def run_counts(
 
 
 def sink_batches(spark: SparkSession, sink: str) -> DataFrame:
-    """``batch_id, queue, n`` rows written by the counting query."""
-    return spark.read.parquet(sink)
+    """``batch_id, queue, n`` rows written by the counting query; none before its first batch."""
+    from mqtable.sources.messagelog import ensure_dir
+
+    ensure_dir(spark, sink)
+    return spark.read.schema("queue string, n long, batch_id long").option("basePath", sink).parquet(sink)
 
 
 def totals(spark: SparkSession, sink: str) -> DataFrame:
@@ -162,15 +165,15 @@ def ttl_writer(sink: str, ttl_ms: int, as_of_fn=None) -> Callable[[DataFrame, in
         when = as_of_fn(batch_id) if as_of_fn else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         as_of = F.lit(when.isoformat(sep=" ")).cast("timestamp_ntz")  # exact wall clock, no zone
         dead = F.coalesce(is_expired(F.lit(ttl_ms), as_of), F.lit(False))
-        flagged = batch.withColumn("__dead", dead).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        flagged = persist_batch(batch.withColumn("__dead", dead))
         for path, cond in ((sink, ~F.col("__dead")), (f"{sink}_expired", F.col("__dead"))):
             (
                 flagged.where(cond).drop("__dead")
                 .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("batch_id")
-                .parquet(path)
+                # the batch's folder is replaced whole, so a replay leaves nothing stale
+                .parquet(f"{path}/batch_id={batch_id}")
             )
+        flagged.unpersist()
 
     return write
 

@@ -18,9 +18,10 @@ from pyspark.sql import types as T
 
 from mqtable.operators.delivery import DEFAULT_MAX_ATTEMPTS
 from mqtable.sources import messagelog
+from mqtable.streaming.consumer import persist_batch
 
 RETRY_SCHEMA = T.StructType(
-    [f for f in messagelog.QUEUE_FILE_SCHEMA.fields] + [T.StructField("attempt", T.IntegerType())]
+    [f for f in messagelog.LOG_SCHEMA.fields] + [T.StructField("attempt", T.IntegerType())]
 )
 # the retry log on disk: one folder per writing micro-batch
 RETRY_LOG_SCHEMA = T.StructType(RETRY_SCHEMA.fields + [T.StructField("batch_id", T.LongType())])
@@ -36,17 +37,34 @@ def _overwrite(df: DataFrame, path: str, batch_id: int) -> None:
     )
 
 
-def delivery_stream(spark: SparkSession, log: str, queue: str, retry: str) -> DataFrame:
-    """Fresh deliveries of ``queue`` (attempt 1) plus its pending retries."""
+def delivery_stream(spark: SparkSession, log: str, retry: str, queues: list[str] | None = None) -> DataFrame:
+    """Fresh deliveries (attempt 1) of all queues, or of ``queues``, plus their pending retries."""
     messagelog.ensure_dir(spark, retry)
-    fresh = messagelog.stream_queue(spark, log, queue).withColumn("attempt", F.lit(1))
-    retried = (
-        spark.readStream.schema(RETRY_LOG_SCHEMA)
-        .option("basePath", retry)
-        .parquet(retry)
-        .withColumn("queue", F.lit(queue))
-    )
-    return fresh.unionByName(retried, allowMissingColumns=True)
+    source = messagelog.stream_queues(spark, log, queues) if queues else messagelog.stream_log(spark, log)
+    retried = spark.readStream.schema(RETRY_LOG_SCHEMA).option("basePath", retry).parquet(retry)
+    return source.withColumn("attempt", F.lit(1)).unionByName(retried, allowMissingColumns=True)
+
+
+def attempts_in(spark: SparkSession, sink: str) -> DataFrame:
+    """Deliveries a sink or retry log holds; none when nothing was written."""
+    messagelog.ensure_dir(spark, sink)
+    return spark.read.schema(RETRY_LOG_SCHEMA).option("basePath", sink).parquet(sink)
+
+
+def deliver_all(
+    spark: SparkSession, log: str, folder: str, succeeds: Callable[[DataFrame], Column], max_attempts: int = DEFAULT_MAX_ATTEMPTS
+) -> tuple[DataFrame, DataFrame]:
+    """Run the stream over what is there until no retry is pending; returns the acked and the dead.
+
+    A run consumes the retries that the one before wrote, so there are at most ``max_attempts`` runs.
+    """
+    ok, dead, retry, ckpt = (f"{folder}/{x}" for x in ("ok", "dead", "retry", "checkpoint"))
+    for _ in range(max_attempts):
+        stream = delivery_stream(spark, log, retry)
+        writer = redelivery_writer(ok, retry, dead, succeeds, max_attempts)
+        run = stream.writeStream.foreachBatch(writer).option("checkpointLocation", ckpt).trigger(availableNow=True)
+        run.start().awaitTermination()
+    return attempts_in(spark, ok), attempts_in(spark, dead)
 
 
 def handler_fails_until(fail_count: str = "fail_count") -> Callable[[DataFrame], Column]:
@@ -64,12 +82,14 @@ def redelivery_writer(
     """``foreachBatch`` function: ack the successes, requeue failures, stop poison."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        judged = batch.withColumn("__ok", succeeds(batch))
+        # judged once: the handler may be costly, and three writes follow
+        judged = persist_batch(batch.withColumn("__ok", succeeds(batch)))
         _overwrite(judged.where("__ok").drop("__ok"), ok_sink, batch_id)
         failed = judged.where(~F.col("__ok")).drop("__ok")
         again = failed.where(F.col("attempt") < max_attempts).withColumn("attempt", F.col("attempt") + 1)
         _overwrite(again.select(*RETRY_SCHEMA.fieldNames()), retry, batch_id)
         _overwrite(failed.where(F.col("attempt") >= max_attempts), dead_sink, batch_id)
+        judged.unpersist()
 
     return write
 

@@ -22,5 +22,7 @@ def messages(spark, rows):
             "published_at": T0 + dt.timedelta(seconds=i),
         }
         base.update(r)
+        if isinstance(base["body"], str):
+            base["body"] = base["body"].encode()
         out.append(tuple(base[f.name] for f in MESSAGE_SCHEMA.fields))
     return spark.createDataFrame(out, MESSAGE_SCHEMA)

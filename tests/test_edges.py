@@ -18,7 +18,7 @@ def test_decode_malformed_utf8(spark):
 
 
 def test_json_handler_outcomes(spark):
-    m = messages(spark, [{"body": b} for b in ['{"k": 5}', "{bad", "", None, '{"k": "x"}', '{"j": 1}']])
+    m = messages(spark, [{"body": b} for b in ['{"k": 5}', "{bad", "", None, '{"k": "x"}', '{"j": 1}', '{"k": null}']])
     rows = handler.split_outcomes(handler.handle_json(m)).orderBy("message_id").select("k", "outcome").collect()
     assert [(r.k, r.outcome) for r in rows] == [
         (5, "ok"),
@@ -27,6 +27,7 @@ def test_json_handler_outcomes(spark):
         (None, "ok"),  # no body: nothing to handle
         (None, "failed"),
         (None, "failed"),
+        (None, "ok"),  # a null result is a success
     ]
 
 

@@ -27,10 +27,13 @@ def _random_messages(spark, n, seed, queues=("a", "b", "c"), skew=0.6):
 
 
 @pytest.fixture(params=["broadcast", "shuffle"])
-def side_path(request, monkeypatch):
+def side_path(request, spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
     if request.param == "shuffle":
-        monkeypatch.setattr(ordering, "BROADCAST_MAX_ROWS", 0)
-    return request.param
+        spark.conf.set(key, "-1")
+    yield request.param
+    spark.conf.set(key, before)
 
 
 @pytest.mark.parametrize("seed", [1, 2])
@@ -59,7 +62,7 @@ def test_newest_within_equals_running_sum(spark, seed, side_path):
     kept = retention.max_length(m, limit, bucket_us=3_600_000_000).select("message_id").toPandas()
     kept_b = retention.max_length_bytes(m, byte_limit, bucket_us=3_600_000_000).select("message_id").toPandas()
     pdf = m.toPandas()
-    pdf["bytes"] = pdf.body.map(lambda b: 0 if b is None else len(b.encode()))
+    pdf["bytes"] = pdf.body.map(lambda b: 0 if b is None else len(b))
     pdf = pdf.sort_values(["queue", "published_at", "delivery_tag"], ascending=[True, False, False])
     pdf["rn"] = pdf.groupby("queue").cumcount() + 1
     pdf["cb"] = pdf.groupby("queue")["bytes"].cumsum()
@@ -94,28 +97,28 @@ def test_time_chunks_bounded_and_monotone(spark):
     m = _random_messages(spark, 400, 10, skew=0.9)
     from mqtable.functions.time import epoch_micros
 
-    c = ordering.time_chunks(m, ["queue"], epoch_micros("published_at"), 24 * 3_600_000_000, "ck", target_rows=20)
-    cols = ordering.chunk_columns("ck")
+    c, cols = ordering.time_chunks(
+        m, ["queue"], epoch_micros("published_at"), 24 * 3_600_000_000, "ck", target_rows=20, tiebreak=F.col("message_id")
+    )
     pdf = c.toPandas().sort_values(["queue", "published_at", "message_id"])
     for q, grp in pdf.groupby("queue"):
         ks = list(zip(*[grp[x] for x in cols]))
         assert ks == sorted(ks)  # grows with time
     sizes = pdf.groupby(["queue", *cols]).size()
-    assert len(sizes) > 20 and sizes.max() <= 60  # hot days were split (bursty data: ~target)
+    assert len(sizes) > 20 and sizes.max() <= 20  # hot days were split, ties by message id
 
 
 def test_value_chunks_sparse_ids(spark):
     rnd = random.Random(11)
     ids = rnd.sample(range(0, 2**50), 500) + list(range(10**12, 10**12 + 300))  # sparse + one dense cluster
     df = spark.createDataFrame([(i, "q" if k % 4 else "r") for k, i in enumerate(ids)], "id long, g string")
-    cols = ordering.chunk_columns("ck")
-    c = ordering.value_chunks(df, ["g"], F.col("id"), "ck", target_rows=50).toPandas().sort_values(["g", "id"])
+    chunked, cols = ordering.value_chunks(df, ["g"], F.col("id"), "ck", target_rows=50)
+    c = chunked.toPandas().sort_values(["g", "id"])
     for g, grp in c.groupby("g"):
         ks = list(zip(*[grp[x] for x in cols]))
         assert ks == sorted(ks)  # monotone in the value
     sizes = c.groupby(["g", *cols]).size()
     assert sizes.max() <= 100 and len(sizes) <= len(ids) // 3  # bounded rows per chunk, far fewer chunks than rows
-    chunked = ordering.value_chunks(df, ["g"], F.col("id"), "ck", target_rows=50)
     ranked = ordering.ordinal(chunked, ["g"], [F.col("id")], [F.col(x) for x in cols], "pos").toPandas()
     ranked["want"] = ranked.sort_values("id").groupby("g").cumcount() + 1
     assert (ranked.pos == ranked.want).all()
@@ -178,3 +181,14 @@ def test_routing_same_on_both_join_paths(spark, side_path):
     assert got == want
     unrouted = {r.message_id for r in routing.unroutable(m, b).collect()}
     assert unrouted == {r.message_id for r in m.collect()} - {mid for _, mid in want}
+
+
+def test_equal_timestamps_are_split_by_the_tiebreak(spark):
+    from mqtable.functions.time import epoch_micros
+
+    m = messages(spark, [{"message_id": i, "published_at": T0} for i in range(1000)])
+    c, cols = ordering.time_chunks(m, ["queue"], epoch_micros("published_at"), 3_600_000_000, "ck", 10, F.col("message_id"))
+    pdf = c.toPandas().sort_values("message_id")
+    assert pdf.groupby(cols).size().max() <= 10
+    keys = list(zip(*[pdf[x] for x in cols]))
+    assert keys == sorted(keys)

@@ -76,7 +76,7 @@ def test_stream_dedupe_within_watermark(spark):
     # redelivered copies carry the same (queue, delivery_tag)
     copies = raw.where("publish_batch = 1").withColumn("delivery_tag", F.col("message_id") - 1000)
     dup_log = scratch_path(spark, "t-log4b")
-    raw.where("publish_batch = 0").unionByName(copies).write.partitionBy("queue", "publish_batch").parquet(dup_log)
+    raw.where("publish_batch = 0").unionByName(copies).write.partitionBy("publish_batch", "queue").parquet(dup_log)
     stream = messagelog.stream_queue(spark, dup_log, "q")
     q = (
         consumer.dedupe_stream(stream, "1 hour")
@@ -143,7 +143,7 @@ def test_stream_factories(spark):
     single = drain(api.create_stream(spark, log, {"queueName": "a"}, max_files_per_trigger=1), "f_single")
     assert single.count() == 400 and single.where("body = '7'").count() == 1
     keys = [SourceKey("a"), SourceKey("b", options={"levelParallelism": "2"})]
-    typed = drain(api.create_distributed_stream(spark, log, keys, {}, int, T.LongType()), "f_multi")
+    typed = drain(api.create_distributed_stream(spark, log, keys, {}, lambda d: int(d.text), T.LongType()), "f_multi")
     got = {(r.source_index, r.outcome): r["count"] for r in typed.groupBy("source_index", "outcome").count().collect()}
     assert got == {(0, "ok"): 400, (1, "ok"): 270, (1, "failed"): 30}
     assert api.create_distributed_stream(spark, log, [], {}).count() == 0  # no source: nothing, no error
@@ -164,14 +164,7 @@ def test_stream_redelivery_matches_batch(spark):
         F.when(F.col("message_id") % 17 == 0, F.lit(99)).when(F.col("message_id") % 5 == 0, F.lit(2)).otherwise(F.lit(0)),
     )
     messagelog.publish(spark, msgs, log, 0, 50)
-    retry, ok, dead = (scratch_path(spark, x) for x in ("t-retry", "t-ok", "t-dead"))
-    ck = scratch_path(spark, "t-ck8")
-    for _ in range(6):  # each run picks up the retries the previous run wrote
-        s = rd.delivery_stream(spark, log, "q", retry)
-        w = rd.redelivery_writer(ok, retry, dead, rd.handler_fails_until(), max_attempts=5)
-        s.writeStream.foreachBatch(w).option("checkpointLocation", ck).trigger(availableNow=True).start().awaitTermination(120)
-    done = spark.read.parquet(ok)
-    poison = spark.read.parquet(dead)
+    done, poison = rd.deliver_all(spark, log, scratch_path(spark, "t-redelivery"), rd.handler_fails_until(), max_attempts=5)
     assert done.count() + poison.count() == 200  # every message ends exactly once
     assert poison.count() == msgs.where("fail_count = 99").count() and set(r.attempt for r in poison.collect()) == {5}
     attempts = done.unionByName(poison, allowMissingColumns=True).agg(F.sum("attempt")).first()[0]
@@ -241,3 +234,71 @@ def test_stream_of_empty_queue(spark):
     sink = scratch_path(spark, "t-sink13")
     consumer.run_counts(messagelog.stream_queues(spark, log, ["q", "ghost"]), sink, scratch_path(spark, "t-ck13"), timeout_s=60)
     assert {r.queue: r.n for r in consumer.totals(spark, sink).collect()} == {"q": 10}  # ghost: nothing, no error
+
+
+def test_queue_names_with_special_characters(spark):
+    from mqtable.options import SourceKey
+    from mqtable.streaming import api
+
+    log = scratch_path(spark, "t-log14")
+    messagelog.publish(spark, _reference_messages(spark, 10, "orders:eu").unionByName(_reference_messages(spark, 5, "a b/c=d")), log, 0)
+    sink = scratch_path(spark, "t-sink14")
+    stream = api.create_distributed_stream(spark, log, [SourceKey("orders:eu"), SourceKey("a b/c=d")], {})
+    consumer.run_counts(stream, sink, scratch_path(spark, "t-ck14"), timeout_s=60)
+    assert {r.queue: r.n for r in consumer.totals(spark, sink).collect()} == {"orders:eu": 10, "a b/c=d": 5}
+    assert messagelog.read_queue(spark, log, "orders:eu").count() == 10
+
+
+def test_handler_gets_the_message(spark):
+    from pyspark.sql import types as T
+
+    from helpers import messages
+    from mqtable.operators import handler
+
+    rows = [
+        {"body": "a", "headers": {"h": "1"}, "delivery_tag": 7, "routing_key": "r"},
+        {"body": b"\xff", "headers": None},
+        {"body": "none"},
+        {"body": "raise"},
+        {"body": "typed"},
+        {"body": None},
+    ]
+
+    def fn(d):
+        if d.text == "raise":
+            raise ValueError
+        if d.text in ("none", None):
+            return None
+        return "seven" if d.text == "typed" else (d.delivery_tag if d.body == b"a" and d.headers == {"h": "1"} else len(d.body))
+
+    got = handler.handled_by(messages(spark, rows), fn, T.LongType()).orderBy("message_id").collect()
+    assert [(r.value, r.outcome) for r in got] == [(7, "ok"), (1, "ok"), (None, "ok"), (None, "failed"), (None, "failed"), (None, "ok")]
+
+
+def test_republished_batch_leaves_nothing_behind(spark):
+    log = scratch_path(spark, "t-log15")
+    messagelog.publish(spark, _reference_messages(spark, 10, "a").unionByName(_reference_messages(spark, 10, "b")), log, 0)
+    messagelog.publish(spark, _reference_messages(spark, 4, "a"), log, 0)
+    messagelog.publish(spark, _reference_messages(spark, 3, "a"), log, 1)
+    rows = messagelog.read_log(spark, log).select("queue", "delivery_tag").collect()
+    assert sorted((r.queue, r.delivery_tag) for r in rows) == [("a", i) for i in range(1, 8)]
+
+
+def test_redelivery_without_poison(spark):
+    from mqtable.streaming import redelivery as rd
+
+    log = scratch_path(spark, "t-log16")
+    messagelog.publish(spark, _reference_messages(spark, 20, "q").withColumn("fail_count", F.lit(0)), log, 0)
+    ok, dead = rd.deliver_all(spark, log, scratch_path(spark, "t-redelivery2"), rd.handler_fails_until(), 3)
+    assert ok.count() == 20 and dead.count() == 0
+
+
+def test_print_stream(spark, capfd):
+    log = scratch_path(spark, "t-log17")
+    messagelog.publish(spark, _reference_messages(spark, 3, "q"), log, 0)
+    q = consumer.print_stream(messagelog.stream_log(spark, log).select("message_id"))
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert q.exception() is None
