@@ -243,12 +243,12 @@ def gap_sessions(
     df: DataFrame,
     partition_by: Sequence[str],
     ts: str,
-    gap_us: int,
+    gap_us: int | Column,
     chunk_us: int,
     tiebreak: Iterable[str] = (),
 ) -> DataFrame:
     """Gap sessions per group: a new session starts when the previous event of the
-    group is ``>= gap`` earlier (or there is none).  Returns
+    group is ``>= gap`` earlier (or there is none; a NULL gap never ends one).  Returns
     ``partition_by..., session_start (ts type), n``.
 
     Time is cut into chunks of ``chunk_us`` (hot chunks split further by
@@ -258,7 +258,8 @@ def gap_sessions(
     session of an earlier chunk, resolved on the per-(chunk, session) table.
     """
     tiebreak = list(tiebreak)
-    d = df.select(*partition_by, *tiebreak, F.col(ts).alias("__ts")).withColumn(
+    gap = gap_us if isinstance(gap_us, Column) else F.lit(gap_us)
+    d = df.select(*partition_by, *tiebreak, F.col(ts).alias("__ts"), gap.alias("__gap")).withColumn(
         "__us", epoch_micros("__ts")
     )
     d, cks = time_chunks(
@@ -272,7 +273,7 @@ def gap_sessions(
     d = join_on(d, chunks, keys)
     local = Window.partitionBy(*keys).orderBy("__us", *tiebreak)
     prev = F.coalesce(F.lag("__us").over(local), F.col("__pmax"))
-    d = d.withColumn("__start", prev.isNull() | (F.col("__us") - prev >= F.lit(gap_us)))
+    d = d.withColumn("__start", prev.isNull() | F.coalesce(F.col("__us") - prev >= F.col("__gap"), F.lit(False)))
     upto = local.rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn(
         "__sess",

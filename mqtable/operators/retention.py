@@ -95,8 +95,15 @@ def priority_positions(m: DataFrame, max_priority, batch_col: str = "batch_id")
     ).drop("__prio")
 
 
-def queue_leases(m: DataFrame, expires_ms: int, chunk_us: int = 24 * HOUR_US) -> DataFrame:
+def with_expiry(m: DataFrame, policies: DataFrame) -> DataFrame:
+    """``m`` with its queue's ``expires_ms`` (NULL: the queue never expires)."""
+    return join_on(m, policies.select("queue", "expires_ms"), ["queue"], how="left")
+
+
+def queue_leases(m: DataFrame, expires_ms: int | Column, chunk_us: int = 24 * HOUR_US) -> DataFrame:
     """Q7: a queue unused for ``expires`` is deleted; each run of activity with gaps
-    shorter than that is one lease: ``queue, lease_start, n``."""
-    s = gap_sessions(m, ["queue"], "published_at", expires_ms * MS, chunk_us, tiebreak=["message_id"])
+    shorter than that is one lease: ``queue, lease_start, n``.  The time may differ per queue
+    (``with_expiry``); where it is NULL the queue has one lease."""
+    gap = _lit_or_col(expires_ms).cast("long") * MS
+    s = gap_sessions(m, ["queue"], "published_at", gap, chunk_us, tiebreak=["message_id"])
     return s.withColumnRenamed("session_start", "lease_start")

@@ -35,7 +35,6 @@ TTL_MS = 86_400_000
 MAX_LENGTH = 100
 MAX_LENGTH_BYTES = 2_000
 MAX_PRIORITY = 5
-LEASE_EXPIRES_MS = 3_600_000
 TAKE_N = 25
 CAP = 10
 BACKLOG_CAP = 14
@@ -241,7 +240,8 @@ def q_priority_order(spark, sf):
 
 
 def q_queue_leases(spark, sf):
-    return retention.queue_leases(_m(spark, sf, False), LEASE_EXPIRES_MS)
+    m = retention.with_expiry(_m(spark, sf, False), policies_table(spark))
+    return retention.queue_leases(m, F.col("expires_ms"))
 
 
 def _published_log(spark, sf) -> str:
@@ -321,7 +321,7 @@ def q_stream_leases(spark, sf):
     stream = messagelog.stream_log(spark, path, max_bytes_per_trigger=TRIGGER_BYTES)
     sink = scratch_path(spark, "leases")
     (
-        consumer.lease_stream(stream, f"{LEASE_EXPIRES_MS // 1000} seconds")
+        consumer.lease_stream(retention.with_expiry(stream, policies_table(spark)), consumer.expiry_gap(F.col("expires_ms")))
         .select("queue", "lease_start", "n")
         .writeStream.outputMode("complete")
         .foreachBatch(consumer.complete_table_writer(sink))

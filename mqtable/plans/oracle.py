@@ -228,7 +228,7 @@ FROM m""",
     "queue_leases": _w(M)
     + """SELECT queue, min(published_at) AS lease_start, count(*) AS n FROM (
   SELECT queue, published_at,
-         sum(CASE WHEN prev IS NULL OR epoch_us(published_at) - epoch_us(prev) >= 3600000000 THEN 1 ELSE 0 END)
+         sum(CASE WHEN prev IS NULL OR (queue IN ('click', 'error', 'view') AND epoch_us(published_at) - epoch_us(prev) >= 3600000000) THEN 1 ELSE 0 END)
            OVER (PARTITION BY queue ORDER BY published_at, message_id ROWS UNBOUNDED PRECEDING) AS sid
   FROM (SELECT queue, message_id, published_at,
                lag(published_at) OVER (PARTITION BY queue ORDER BY published_at, message_id) AS prev FROM m)
@@ -246,7 +246,7 @@ FROM m""",
     "stream_leases": _w(M)
     + """SELECT queue, min(published_at) AS lease_start, count(*) AS n FROM (
   SELECT queue, published_at,
-         sum(CASE WHEN prev IS NULL OR epoch_us(published_at) - epoch_us(prev) >= 3600000000 THEN 1 ELSE 0 END)
+         sum(CASE WHEN prev IS NULL OR (queue IN ('click', 'error', 'view') AND epoch_us(published_at) - epoch_us(prev) >= 3600000000) THEN 1 ELSE 0 END)
            OVER (PARTITION BY queue ORDER BY published_at, message_id ROWS UNBOUNDED PRECEDING) AS sid
   FROM (SELECT queue, message_id, published_at,
                lag(published_at) OVER (PARTITION BY queue ORDER BY published_at, message_id) AS prev FROM m)

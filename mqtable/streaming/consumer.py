@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -101,9 +101,19 @@ def dedupe_stream(stream: DataFrame, delay: str = "10 minutes") -> DataFrame:
     )
 
 
-def lease_stream(stream: DataFrame, expires: str, delay: str = "0 seconds") -> DataFrame:
+#: Stands for "never" in a session gap.
+NEVER = "36500 days"
+
+
+def expiry_gap(expires_ms: Column) -> Column:
+    """Session gap of a per-queue expiry in milliseconds; NULL never expires."""
+    seconds = F.concat((expires_ms / 1000).cast("decimal(20,3)").cast("string"), F.lit(" seconds"))
+    return F.coalesce(seconds, F.lit(NEVER))
+
+
+def lease_stream(stream: DataFrame, expires: str | Column, delay: str = "0 seconds") -> DataFrame:
     """Q7 (stream): queue leases as session windows over the activity stream:
-    ``queue, lease (window), lease_start (wall clock), n``."""
+    ``queue, lease (window), lease_start (wall clock), n``; the gap may differ per queue."""
     return (
         stream.withColumn("__event_time", event_time())
         .withWatermark("__event_time", delay)
