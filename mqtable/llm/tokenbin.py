@@ -24,8 +24,8 @@ from mqtable.llm.common import known_id, materialize, open_fs, shown_id
 from mqtable.session import scratch_path
 
 MAGIC = b"TOKENIDX"
-#: Entries after which a worker's caches of encoded pieces start anew.
-CACHE_ENTRIES = 1 << 19
+#: Entries after which a worker's two caches of encoded pieces start anew: some 60 MB each.
+CACHE_ENTRIES = 1 << 18
 #: Bytes of ids that are written or returned at a time.
 CHUNK_BYTES = 4 << 20
 
@@ -81,8 +81,8 @@ class Encoder:
             return self.pack([t.id for t in model.tokenize(text.encode().decode("latin-1").translate(letters))])
 
         pieces = _Cached(piece)
-        self.first = _Cached(lambda text: b"".join(map(pieces.__getitem__, split(text))))
-        self.later = _Cached(lambda text: b"".join(map(pieces.__getitem__, split(" " + text))))
+        self.first = lambda text: b"".join(map(pieces.__getitem__, split(text)))
+        self.later = _Cached(lambda text: self.first(" " + text))
 
     def pack(self, ids: list[int]) -> bytes:
         return array.array(self.code, ids).tobytes()
@@ -91,7 +91,7 @@ class Encoder:
         if not self.plain or _UNUSUAL.search(text) or _RUNS.search(text) or any(s in text for s in self.special):
             return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
         first, *later = text.split(" ")
-        return self.first[first] + b"".join(map(self.later.__getitem__, later))
+        return self.first(first) + b"".join(map(self.later.__getitem__, later))
 
 
 _ENCODERS: dict[str, Encoder] = {}
