@@ -12,12 +12,6 @@ from mqtable.options import DEFAULT_LEVEL_PARALLELISM
 TAG_BUCKET = 1 << 20  # delivery tags per numbering bucket (bounds one task's rows)
 
 
-def _int_option(options: Column, key: str, default: int) -> Column:
-    """``Try(v.toInt).getOrElse(default)`` on a MAP<STRING,STRING> column."""
-    v = F.try_element_at(options, F.lit(key))
-    return F.coalesce(F.when(v.rlike(r"^[+-]?[0-9]+$"), v.try_cast("int")), F.lit(default))
-
-
 def slot_of(tag: Column, parallelism) -> Column:
     """Consumer slot of a message: dense tags dealt round-robin (tag 1 -> slot 0)."""
     p = parallelism if isinstance(parallelism, Column) else F.lit(parallelism)
@@ -29,30 +23,17 @@ def with_batch(m: DataFrame, slide_ms: int, receive_ms: int | None = None, name:
     return m.withColumn(name, batch_index("published_at", slide_ms, receive_ms))
 
 
-def source_parallelism(sources: DataFrame, stream_parallelism: int = DEFAULT_LEVEL_PARALLELISM) -> DataFrame:
-    """Per-source slot count: the source's ``levelParallelism`` wins over the stream's."""
-    return sources.withColumn(
-        "parallelism", _int_option(F.col("options"), "levelParallelism", stream_parallelism)
-    )
-
-
 def partition_plan(sources: DataFrame, stream_parallelism: int = DEFAULT_LEVEL_PARALLELISM) -> DataFrame:
-    """One input partition per (source, slot); indexes are dense in key order
-    (``parallelism * key_index + slot`` when all sources share one parallelism)."""
-    s = source_parallelism(sources, stream_parallelism).where(F.col("parallelism") > 0)
-    first = F.coalesce(
-        F.sum("parallelism").over(Window.orderBy("key_index").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0),
-    )
-    s = s.withColumn("__first", first)
-    return s.select(
+    """One input partition per (source, slot), ``parallelism * key_index + slot``.
+
+    The stream's ``levelParallelism`` holds for every source; a source's own option does not change it."""
+    return sources.select(
         "key_index",
         "queue",
-        "parallelism",
-        F.explode(F.sequence(F.lit(0), F.col("parallelism") - 1)).alias("slot"),
-        "__first",
+        F.lit(stream_parallelism).alias("parallelism"),
+        F.explode(F.sequence(F.lit(0), F.lit(stream_parallelism - 1))).alias("slot"),
     ).select(
-        (F.col("__first") + F.col("slot")).cast("int").alias("partition_index"),
+        (F.col("key_index") * F.col("parallelism") + F.col("slot")).cast("int").alias("partition_index"),
         "key_index",
         "queue",
         "slot",

@@ -37,6 +37,7 @@ MAX_LENGTH_BYTES = 2_000
 MAX_PRIORITY = 5
 TAKE_N = 25
 CAP = 10
+STREAM_PARALLELISM = 2
 BACKLOG_CAP = 14
 RATE_SLIDE_MS = 1_000
 RATE_PARTITIONS = 6
@@ -151,7 +152,7 @@ def q_running_total(spark, sf):
 
 
 def q_partition_plan(spark, sf):
-    plan = admission.partition_plan(sources_table(spark))
+    plan = admission.partition_plan(sources_table(spark), STREAM_PARALLELISM)
     return admission.partition_load(plan, _m(spark, sf))
 
 

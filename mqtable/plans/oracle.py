@@ -155,7 +155,7 @@ FROM m GROUP BY ALL""",
     "partition_plan": _w(
         M,
         """
-s(key_index, queue, p, first_index) AS (VALUES (0, 'click', 2, 0), (1, 'error', 1, 2), (2, 'view', 1, 3), (3, 'ghost', 1, 4)),
+s(key_index, queue, p, first_index) AS (VALUES (0, 'click', 2, 0), (1, 'error', 2, 2), (2, 'view', 2, 4), (3, 'ghost', 2, 6)),
 pl AS (SELECT key_index, queue, p, first_index, unnest(range(p)) AS slot FROM s),
 ld AS (SELECT m.queue, (m.delivery_tag - 1) % s.p AS slot, count(*) AS n FROM m JOIN s USING (queue) GROUP BY ALL)""",
     )

@@ -111,7 +111,7 @@ def test_partition_plan_indexes(spark):
         [(0, "a", None, None, None, {}), (1, "b", None, None, None, {"levelParallelism": "3"})], SOURCE_SCHEMA
     )
     rows = admission.partition_plan(s, stream_parallelism=1).orderBy("partition_index").collect()
-    assert [(r.partition_index, r.queue, r.slot) for r in rows] == [(0, "a", 0), (1, "b", 0), (2, "b", 1), (3, "b", 2)]
+    assert [(r.partition_index, r.queue, r.slot) for r in rows] == [(0, "a", 0), (1, "b", 0)]  # the stream's parallelism holds
     same = admission.partition_plan(
         spark.createDataFrame([(0, "a", None, None, None, {}), (1, "b", None, None, None, {})], SOURCE_SCHEMA), 2
     )
@@ -214,3 +214,23 @@ def test_per_batch_empty_and_gaps(spark):
     ts = [T0, T0 + dt.timedelta(seconds=5)]
     m = admission.with_batch(messages(spark, [{"published_at": t} for t in ts]), 1000)
     assert [r.n for r in admission.per_batch(m).orderBy("batch_id").collect()] == [1, 0, 0, 0, 0, 1]
+
+
+def test_trailing_commas_and_gaps_between_batches(spark):
+    s = spark.createDataFrame([(0, "a", "ex", "topic", "x,,y,,", {}), (1, "b", "ex", "topic", "", {}), (2, "c", "ex", "topic", ",", {})], SOURCE_SCHEMA)
+    got = sorted((r.queue, r.routing_key) for r in routing.topology_bindings(s).collect())
+    assert got == [("a", ""), ("a", "x"), ("a", "y"), ("b", "")]
+    far = messages(spark, [{"published_at": T0}, {"published_at": T0 + dt.timedelta(days=11574)}])
+    busy = admission.busy_batches(admission.with_batch(far, 1)).orderBy("batch_id").collect()
+    assert [(r.n, r.gap) for r in busy] == [(1, 0), (1, 11574 * 86_400_000 - 1)]
+
+
+def test_patterns_share_few_tokens_and_match_exactly(spark):
+    from mqtable.functions.topic import word_match
+
+    patterns = ["", "#", "*", "a.b", "a.#", "#.b", "*.#", "#.*.b.#", "a.*.b", "#.#", "x-y.#.é+", "a..b"]
+    keys = ["", "a", "b", "a.b", "a.x.b", "a..b", "x-y.é+", "x-y.q.é+", ".", "a."]
+    b = _bind(spark, [(f"q{i}", "ex", "topic", p) for i, p in enumerate(patterns)] + [("null", "ex", "topic", None)])
+    m = messages(spark, [{"routing_key": k} for k in keys])
+    got = {(r.bound_queue, r.message_id) for r in routing.route(m, b).collect()}
+    assert got == {(f"q{i}", j) for i, p in enumerate(patterns) for j, k in enumerate(keys) if word_match(p, k)}
