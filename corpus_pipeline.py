@@ -1,8 +1,8 @@
 """A training-corpus pipeline over ``documents``: five stages, each written and read again.
 
 Every stage is ``(spark, docs, sf_dir) -> DataFrame``; all but the last return the columns of ``docs``.
-Rows are matched to a stage's decisions by document id; rows without an id are judged by a group of
-their own id-less kind, as each operator's docstring defines.
+Rows are matched to a stage's decisions by document id, with null as a value of its own: rows without
+an id stay together if any of them does, but for near duplicates as that stage defines.
 """
 
 from __future__ import annotations
@@ -28,10 +28,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group: that with the smallest id; of rows that repeat its id, one."""
+    """One document of each SimHash group: that with the smallest id.
+
+    Rows that share an id are one document.  In a group without any id, rows of one text are one.
+    """
     groups = simhash.near_duplicates(docs, shingle=4, max_bits=4)
     first = _rows_of(docs, groups, F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return first.dropDuplicates(["doc_id"])
+    # grouped by the key of the join above, so the texts are not shuffled again
+    first = first.withColumn("__copy_id", known_id(F.col("doc_id")))
+    first = first.withColumn("__copy_text", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
+    return first.dropDuplicates(["__copy_id", "__copy_text"]).drop("__copy_id", "__copy_text")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
