@@ -30,7 +30,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     round.  Neighbour lists are never gathered: a round aggregates the least neighbour per node,
     with map-side partial minima, and joins it back.  An empty table gives no rows.
     """
-    now = materialize(_small_star(edges), "components")
+    now = materialize(_small_star(materialize(edges.select("u", "v"), "edges")), "components")
     state = None
     while True:
         sums = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
