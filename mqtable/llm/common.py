@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mqtable.session import scratch_path
+from mqtable.session import scratch_path, workers_import_package
 
 #: The ASCII white space \x20 \x09-\x0D, as a set for ``btrim``.
 WHITE = " \t\n\x0b\x0c\r"
@@ -45,6 +45,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
+    """``mapInArrow`` whose workers can import this package, however the driver found it."""
+    workers_import_package(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def open_fs(uri: str):
     """pyarrow file system and path of a folder in the shared store (``file:``, ``hdfs:``, ``s3:`` ...)."""
     from pyarrow import fs

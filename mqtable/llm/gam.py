@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mqtable.llm.common import materialize
+from mqtable.llm.common import map_arrow, materialize
 
 #: Labelled rows that a model is fitted on at most, the first by the hash of their id.
 SAMPLE_ROWS = 20_000
@@ -96,7 +96,7 @@ def feature_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 yield pa.RecordBatch.from_arrays([part.column(0), flat], names=["doc_id", "x"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(computed, "doc_id long, x array<float>")
+    return map_arrow(rows, computed, "doc_id long, x array<float>")
 
 
 def _split(g: np.ndarray, h: np.ndarray, leaves: int = 3, least: float = 2.0) -> np.ndarray:
@@ -255,7 +255,7 @@ def classify(
             x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(FEATURES))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(x))], names=["doc_id", "score"])
 
-    return table.mapInArrow(scored, "doc_id long, score double").select(
+    return map_arrow(table, scored, "doc_id long, score double").select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
         "score",

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mqtable.llm.common import materialize
+from mqtable.llm.common import map_arrow, materialize
 
 CURVES, DIMS, BITS = 16, 4, 12
 #: Share of an ordering that a query's window covers, and rows on either side at least.
@@ -87,7 +87,7 @@ def _ordered(classes: DataFrame, dim: int, curves: int, dims: int) -> DataFrame:
         yield pa.RecordBatch.from_pydict({"axis": np.arange(len(first)), "n": np.full(len(first), count), "a": first, "b": second})
 
     # one row per axis, however many rows there are
-    stats = classes.select("vec").mapInArrow(sums, "axis long, n long, a double, b double").groupBy("axis").agg(
+    stats = map_arrow(classes.select("vec"), sums, "axis long, n long, a double, b double").groupBy("axis").agg(
         F.sum("n").alias("n"), F.sum("a").alias("a"), F.sum("b").alias("b")
     ).orderBy("axis").toPandas()
     mean = (stats.a / stats.n).to_numpy()
@@ -113,8 +113,7 @@ def _ordered(classes: DataFrame, dim: int, curves: int, dims: int) -> DataFrame:
     vec = classes.schema["vec"].dataType.simpleString()
     parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = (
-        classes.select("rep", "vec", "asks")
-        .mapInArrow(keyed, f"curve int, key long, rep long, vec {vec}, asks boolean")
+        map_arrow(classes.select("rep", "vec", "asks"), keyed, f"curve int, key long, rep long, vec {vec}, asks boolean")
         .repartitionByRange(parts, "curve", "key", "rep")
         .sortWithinPartitions("curve", "key", "rep")
     )

@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mqtable.llm.common import materialize
+from mqtable.llm.common import map_arrow, materialize
 from mqtable.llm.components import connected_components
 
 #: Classes a shard should have about, and at most for one task's side.
@@ -70,7 +70,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps)], names=["doc_id", "fp"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(hashed, "doc_id long, fp long")
+    return map_arrow(rows, hashed, "doc_id long, fp long")
 
 
 def _masks() -> list[int]:

@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mqtable.llm.common import known_id, materialize, open_fs, shown_id
+from mqtable.llm.common import known_id, map_arrow, materialize, open_fs, shown_id
 from mqtable.session import scratch_path
 
 MAGIC = b"TOKENIDX"
@@ -165,8 +165,8 @@ def write_token_files(
     # the hash deals rows that share an id over several files
     ordered = rows.repartitionByRange(n, "id", F.xxhash64("text")).sortWithinPartitions("id", F.xxhash64("text"), "text")
     manifest = materialize(
-        ordered.mapInArrow(
-            _writer(folder, tokenizer_path, end_id), "part long, name string, width long, n_docs long, n_tokens long"
+        map_arrow(
+            ordered, _writer(folder, tokenizer_path, end_id), "part long, name string, width long, n_docs long, n_tokens long"
         ),
         "token-manifest",
     )
@@ -231,5 +231,5 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
     ``ids`` holds the document's ids as little-endian unsigned 32-bit integers.
     """
     spread = manifest.repartition(int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")), "part")
-    rows = spread.mapInArrow(_reader, "id long, start long, n_tokens long, ids binary")
+    rows = map_arrow(spread, _reader, "id long, start long, n_tokens long, ids binary")
     return rows.select(shown_id(F.col("id")).alias("doc_id"), "start", "n_tokens", "ids")

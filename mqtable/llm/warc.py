@@ -25,7 +25,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mqtable.llm.common import known_id, materialize, open_fs, shown_id
+from mqtable.llm.common import known_id, map_arrow, materialize, open_fs, shown_id
 from mqtable.session import scratch_path
 
 #: Payloads below this many bytes are always archived whole.
@@ -150,7 +150,7 @@ def write_archive(
         url_key(F.col("url")).alias("key"), "id", "url", "payload", "digest",
         F.when(F.col("first") != F.col("id"), F.col("first")).alias("refers_to"),
     )
-    captures = records.mapInArrow(_archive_writer(folder), "key string, id long, file string, offset long, length long")
+    captures = map_arrow(records, _archive_writer(folder), "key string, id long, file string, offset long, length long")
     return folder, materialize(captures, "warc-captures")
 
 
@@ -196,7 +196,7 @@ def build_index(captures: DataFrame, folder: str) -> DataFrame:
     parts = int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["key", "id", "file", "offset"]  # file and offset deal a capture that repeats over several files
     rows = captures.select(*order, "length").repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    return materialize(rows.mapInArrow(_index_writer(folder), "part long, index string, first_key string, first_id long"), "warc-index")
+    return materialize(map_arrow(rows, _index_writer(folder), "part long, index string, first_key string, first_id long"), "warc-index")
 
 
 class Index:
@@ -267,7 +267,7 @@ def lookup(requests: DataFrame, folder: str, index: DataFrame) -> DataFrame:
 
     parts = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = requests.select("key", "id").distinct().repartitionByRange(parts, "key", "id").sortWithinPartitions("key", "id")
-    return ordered.mapInArrow(search, "file string, offset long, length long")
+    return map_arrow(ordered, search, "file string, offset long, length long")
 
 
 def _record_reader(folder: str):
@@ -314,7 +314,8 @@ def read_records(places: DataFrame, folder: str) -> DataFrame:
     """
     parts = int(places.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = places.repartitionByRange(parts, "file", "offset").sortWithinPartitions("file", "offset")
-    rows = ordered.mapInArrow(
+    rows = map_arrow(
+        ordered,
         _record_reader(folder),
         "id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary",
     )
