@@ -19,6 +19,7 @@ from mqtable.sources import messagelog
 from mqtable.sources.fixtures import (
     TAG_BUCKET_IDS,
     bindings_table,
+    dead_bindings_table,
     message_view,
     policies_table,
     sources_table,
@@ -235,6 +236,12 @@ def q_dead_letter_key(spark, sf):
     return _dead(spark, sf).select("message_id", "routing_key")
 
 
+def q_dead_letter_routed(spark, sf):
+    """Q4: dead letters delivered onward through the dead-letter exchange."""
+    routed = routing.route(_dead(spark, sf), dead_bindings_table(spark))
+    return routed.select("bound_queue", "message_id", "reason")
+
+
 def q_priority_order(spark, sf):
     m = admission.with_batch(_m(spark, sf), DAY_MS)
     return retention.priority_positions(m, MAX_PRIORITY).select("batch_id", "queue", "pos", "message_id")
@@ -261,6 +268,16 @@ def q_publish_messages(spark, sf):
     return messagelog.read_log(spark, path).select("queue", "delivery_tag", "message_id")
 
 
+def q_publish_routed(spark, sf):
+    """K1 through an exchange: the topic bindings decide the queues, which number their own tags."""
+    path = scratch_path(spark, "log")
+    m = _m(spark, sf, False)
+    messagelog.publish_through(
+        spark, m, bindings_table(spark, routing.TOPIC), path, 0, dense_id_bucket=TAG_BUCKET_IDS
+    )
+    return messagelog.read_log(spark, path).select("queue", "delivery_tag", "message_id")
+
+
 def q_batch_read_queue(spark, sf):
     path = _published_log(spark, sf)
     return messagelog.read_queue(spark, path, READ_QUEUE, READ_FIRST, READ_LAST).select(
@@ -389,9 +406,11 @@ QUERIES: dict[str, Query] = {
     "max_length_bytes": q_max_length_bytes,
     "dead_letter": q_dead_letter,
     "dead_letter_key": q_dead_letter_key,
+    "dead_letter_routed": q_dead_letter_routed,
     "priority_order": q_priority_order,
     "queue_leases": q_queue_leases,
     "publish_messages": q_publish_messages,
+    "publish_routed": q_publish_routed,
     "batch_read_queue": q_batch_read_queue,
     "stream_single_queue": q_stream_single_queue,
     "stream_multi_queue": q_stream_multi_queue,

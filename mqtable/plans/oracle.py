@@ -219,6 +219,10 @@ WHERE epoch_us(published_at) + CAST(86400000 AS BIGINT) * 1000 > (SELECT epoch_u
     "dead_letter": _w(M, DEAD) + "SELECT message_id, reason, dlx AS exchange FROM dead WHERE dlx IS NOT NULL",
     "dead_letter_key": _w(M, DEAD)
     + "SELECT message_id, coalesce(dlrk, routing_key) AS routing_key FROM dead WHERE dlx IS NOT NULL",
+    "dead_letter_routed": _w(M, DEAD)
+    + """SELECT 'dead_all' AS bound_queue, message_id, reason FROM dead WHERE dlx IS NOT NULL
+UNION ALL
+SELECT 'dead_clicks', message_id, reason FROM dead WHERE dlx IS NOT NULL AND coalesce(dlrk, routing_key) = 'dead.click'""",
     "priority_order": _w(M)
     + f"""SELECT {DB} AS batch_id, queue,
        row_number() OVER (PARTITION BY {DB}, queue
@@ -234,6 +238,10 @@ FROM m""",
                lag(published_at) OVER (PARTITION BY queue ORDER BY published_at, message_id) AS prev FROM m)
 ) GROUP BY queue, sid""",
     "publish_messages": _w(M) + "SELECT queue, delivery_tag, message_id FROM m",
+    "publish_routed": _w(M, TOPIC_BINDINGS)
+    + """SELECT queue, row_number() OVER (PARTITION BY queue ORDER BY message_id) AS delivery_tag, message_id
+FROM (SELECT DISTINCT tb.queue, m.message_id
+      FROM m JOIN tb ON m.exchange = 'events' AND regexp_matches(m.routing_key, tb.rx))""",
     "batch_read_queue": _w(M)
     + "SELECT delivery_tag, message_id FROM m WHERE queue = 'click' AND delivery_tag BETWEEN 100 AND 199",
     "stream_single_queue": _w(M) + "SELECT queue, count(*) AS n FROM m WHERE queue = 'click' GROUP BY queue",

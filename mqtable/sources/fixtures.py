@@ -83,6 +83,11 @@ BINDINGS = [
     ("fan_b", "events", "fanout", "y"),
 ]
 
+DEAD_BINDINGS = [
+    ("dead_all", "dlx", "topic", "#"),
+    ("dead_clicks", "dlx", "direct", "dead.click"),
+]
+
 SOURCES = [
     (0, "click", "events", "topic", "events.click.*,#.u1", {"levelParallelism": "2"}),
     (1, "error", "events", None, "events.error.#", {}),
@@ -107,6 +112,10 @@ def bindings_table(spark: SparkSession, exchange_type: str | None = None, queues
     return spark.createDataFrame(rows, BINDING_SCHEMA)
 
 
+def dead_bindings_table(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(DEAD_BINDINGS, BINDING_SCHEMA)
+
+
 def sources_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(SOURCES, SOURCE_SCHEMA)
 

@@ -111,6 +111,19 @@ def publish(
     ends.write.mode("overwrite").parquet(f"{_ends_path(path)}/{BATCH_COL}={int(batch_id)}")
 
 
+def publish_through(
+    spark: SparkSession, messages: DataFrame, bindings: DataFrame, path: str, batch_id: int, **limits
+) -> None:
+    """K1 through an exchange: route ``messages`` by ``bindings`` and append them to the bound queues.
+
+    Messages no binding matches are dropped, as a broker drops them.
+    """
+    from mqtable.operators.routing import route
+
+    routed = route(messages.drop("queue"), bindings).withColumnRenamed("bound_queue", "queue")
+    publish(spark, routed, path, batch_id, **limits)
+
+
 def read_queue(spark: SparkSession, path: str, queue: str, first_tag: int | None = None, last_tag: int | None = None):
     """A bounded slice of one queue by delivery tag (pruned + pushed down)."""
     df = read_log(spark, path).where(F.col("queue") == queue)
