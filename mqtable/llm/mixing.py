@@ -15,25 +15,25 @@ from mqtable.llm.common import materialize
 
 DIMENSIONS = ("source", "lang", "topic")
 #: Sweeps at most, and the largest relative error of a marginal at which raking stops.
-SWEEPS, TOLERANCE = 12, 1e-3
+SWEEPS, TOLERANCE = 12, 1e-2
 
 
 def tokens_of(text: Column) -> Column:
     """Words between ASCII white space; 0 for null."""
-    words = F.split(F.btrim(F.coalesce(text.cast("string"), F.lit("")), F.lit(" \t\n\x0b\x0c\r")), r"[\x20\x09-\x0D]+", -1)
-    return F.when(F.get(words, F.lit(0)) == "", 0).otherwise(F.size(words)).cast("long")
+    return F.coalesce(F.regexp_count(text.cast("string"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
 def topic_of(text: Column) -> Column:
-    """A coarse topic by layout: ``data`` (digits), ``table``, ``web`` (addresses), ``legal``, ``prose``."""
+    """A coarse topic by layout: ``table`` (bars), ``data`` (digits), ``legal``, ``web`` (addresses), ``prose``."""
     t = F.coalesce(text.cast("string"), F.lit(""))
-    size = F.greatest(F.lit(1), F.char_length(t))
-    lower = F.lower(t)
+    size = F.octet_length(t)
+    bars = size - F.octet_length(F.replace(t, F.lit("|"), F.lit("")))
+    legal = t.contains("icense") | t.contains("opyright") | t.contains("ights reserved")
     return (
-        F.when(F.char_length(F.regexp_replace(t, "[^|]", "")) * 50 >= size, "table")
-        .when(F.char_length(F.regexp_replace(t, "[^0-9]", "")) * 20 >= size, "data")
-        .when(lower.contains("license") | lower.contains("copyright") | lower.contains("rights reserved"), "legal")
-        .when(lower.contains("http://") | lower.contains("https://") | lower.contains("@"), "web")
+        F.when((bars > 0) & (bars * 50 >= size), "table")
+        .when(F.regexp_count(t, F.lit("[0-9]")) * 20 > size, "data")
+        .when(legal, "legal")
+        .when(t.contains("http://") | t.contains("https://") | t.contains("@"), "web")
         .otherwise("prose")
     )
 
@@ -75,21 +75,24 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], budget: float, sweeps:
     goals = {d: _goals(now, d, target, budget) for d, target in targets.items()}
     last = float("inf")
     for _ in range(sweeps):
-        worst = F.lit(0.0)
+        off = F.lit(0.0)
         for d, goal in goals.items():
             factor = now.groupBy(d).agg(F.sum("weight").alias("have")).join(goal, d, "left").select(
                 d,
                 F.coalesce(F.col("want") / F.when(F.col("have") > 0, F.col("have")), F.lit(0.0)).alias("factor"),
                 F.coalesce(F.abs(F.col("have") - F.col("want")) / F.col("want"), F.lit(0.0)).alias(f"off_{d}"),
             )
-            now = now.join(factor, d).withColumn("weight", F.least(F.col("tokens") * 1.0, F.col("weight") * F.col("factor"))).drop("factor")
-            worst = F.greatest(worst, F.col(f"off_{d}"))
-        now = materialize(now.withColumn("off", worst).drop(*[f"off_{d}" for d in goals]), "mix-sweep")
-        off = now.agg(F.max("off")).first()[0]
-        now = now.drop("off")
-        if off is None or off <= tolerance or off > 0.95 * last:
+            # written after each dimension: the next would compute this join for its sums and again for its rows
+            now = materialize(
+                now.join(factor, d).withColumn("weight", F.least(F.col("tokens") * 1.0, F.col("weight") * F.col("factor"))).drop("factor"),
+                "mix-sweep",
+            )
+            off = F.greatest(off, F.col(f"off_{d}"))
+        worst = now.agg(F.max(off)).first()[0]
+        now = now.drop(*[f"off_{d}" for d in goals])
+        if worst is None or worst <= tolerance or worst > 0.95 * last:
             break
-        last = off
+        last = worst
     return now
 
 
