@@ -24,7 +24,7 @@ from mqtable.llm.common import known_id, map_arrow, materialize, open_fs, shown_
 from mqtable.session import scratch_path
 
 MAGIC = b"TOKENIDX"
-#: Entries after which a worker's two caches of encoded pieces start anew: some 60 MB each.
+#: Entries that each of a worker's two caches of encoded pieces holds at most: some 60 MB.
 CACHE_ENTRIES = 1 << 18
 #: Bytes of ids that are written or returned at a time.
 CHUNK_BYTES = 4 << 20
@@ -43,15 +43,23 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Cached(dict):
-    """A mapping that computes what it misses and starts anew when it is full."""
+    """A mapping that computes what it misses.
+
+    When half the entries are new, they become the old generation, so pieces that come back often
+    are never computed again.
+    """
 
     def __init__(self, compute: Callable[[str], bytes]):
         super().__init__()
         self.compute = compute
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, key: str) -> bytes:
-        value = self.compute(key)
-        if len(self) >= CACHE_ENTRIES:
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= CACHE_ENTRIES // 2:
+            self.old = dict(self)
             self.clear()
         self[key] = value
         return value
