@@ -121,6 +121,30 @@ def test_progress_counts_and_stream_leases(spark):
     assert streamed == batch and len(batch) == 6
 
 
+def _backward_log(spark, path, files=5):
+    """One file a queue and publish batch, each a day before the last."""
+    for i in range(files):
+        msgs = _reference_messages(spark, 100, f"q{i}").withColumn("message_id", F.col("message_id") + i * 1000)
+        messagelog.publish(spark, msgs.withColumn("published_at", F.expr(f"published_at - INTERVAL {i} DAY")), path, i)
+
+
+def test_stream_leases_of_backward_files(spark):
+    from mqtable.operators import retention
+
+    log = scratch_path(spark, "t-log18")
+    _backward_log(spark, log)
+    q = (
+        consumer.lease_stream(messagelog.stream_log(spark, log, max_files_per_trigger=1), "1 hour")
+        .writeStream.outputMode("complete").format("memory").queryName("backward_leases")
+        .option("checkpointLocation", scratch_path(spark, "t-ck18")).trigger(availableNow=True).start()
+    )
+    q.awaitTermination(120)
+    assert len({p.batchId for p in q.recentProgress if p.numInputRows}) == 5
+    streamed = sorted(tuple(r) for r in spark.sql("SELECT queue, lease_start, n FROM backward_leases").collect())
+    batch = retention.queue_leases(messagelog.read_log(spark, log), 3_600_000).select("queue", "lease_start", "n")
+    assert streamed == sorted(tuple(r) for r in batch.collect()) and len(streamed) == 5
+
+
 def test_stream_factories(spark):
     from pyspark.sql import types as T
 
