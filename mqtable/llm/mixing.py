@@ -8,14 +8,23 @@ factors back, so neither documents nor cells meet in one task or on the driver.
 
 from __future__ import annotations
 
+import logging
+from functools import reduce
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mqtable.llm.common import materialize
+from mqtable.session import workers_import_package
 
+log = logging.getLogger(__name__)
 DIMENSIONS = ("source", "lang", "topic")
-#: Sweeps at most, and the largest relative error of a marginal at which raking stops.
-SWEEPS, TOLERANCE = 12, 1e-2
+#: The largest relative error of a marginal at which raking stops, and the share of it that a sweep
+#: must move of all weight; below, full cells hold what error is left.
+TOLERANCE, STILL = 1e-3, 1e-3
+#: Up to so many cells are raked in one task; more are written once per dimension and sweep.
+TASK_CELLS = 1 << 16
 
 
 def tokens_of(text: Column) -> Column:
@@ -26,14 +35,14 @@ def tokens_of(text: Column) -> Column:
 def topic_of(text: Column) -> Column:
     """A coarse topic by layout: ``table`` (bars), ``data`` (digits), ``legal``, ``web`` (addresses), ``prose``."""
     t = F.coalesce(text.cast("string"), F.lit(""))
-    size = F.octet_length(t)
-    bars = size - F.octet_length(F.replace(t, F.lit("|"), F.lit("")))
-    legal = t.contains("icense") | t.contains("opyright") | t.contains("ights reserved")
+    size = F.greatest(F.lit(1), F.char_length(t))
+    bars = F.octet_length(t) - F.octet_length(F.replace(t, F.lit("|"), F.lit("")))
+    lower = F.lower(t)
     return (
-        F.when((bars > 0) & (bars * 50 >= size), "table")
-        .when(F.regexp_count(t, F.lit("[0-9]")) * 20 > size, "data")
-        .when(legal, "legal")
-        .when(t.contains("http://") | t.contains("https://") | t.contains("@"), "web")
+        F.when(bars * 50 >= size, "table")
+        .when(F.regexp_count(t, F.lit("[0-9]")) * 20 >= size, "data")
+        .when(lower.contains("license") | lower.contains("copyright") | lower.contains("rights reserved"), "legal")
+        .when(lower.contains("http://") | lower.contains("https://") | lower.contains("@"), "web")
         .otherwise("prose")
     )
 
@@ -64,36 +73,90 @@ def _goals(cells: DataFrame, dimension: str, shares: DataFrame, budget: float) -
     return values.select(dimension, F.least("there", F.col("share") * scale).alias("want"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], budget: float, sweeps: int = SWEEPS, tolerance: float = TOLERANCE) -> DataFrame:
+def _in_task(dimensions: list[str], sweeps: int | None, tolerance: float):
+    """Rakes a whole table of ``tokens``, dimensions and their ``want_`` columns; adds ``weight, error``."""
+
+    def run(table):
+        import pyarrow as pa
+
+        tokens = table.column("tokens").to_numpy().astype(float)
+        values = []
+        for d in dimensions:
+            coded = table.column(d).combine_chunks().dictionary_encode()
+            code = coded.indices.to_numpy()
+            want = np.zeros(len(coded.dictionary))
+            want[code] = table.column(f"want_{d}").to_numpy()
+            values.append((code, want))
+
+        def have(code: np.ndarray, want: np.ndarray) -> np.ndarray:
+            return np.bincount(code, weight, len(want))
+
+        def ratio(above: np.ndarray, below: np.ndarray) -> np.ndarray:
+            return np.divide(above, below, out=np.zeros(len(below)), where=below > 0)
+
+        def error() -> float:
+            return max(ratio(np.abs(have(*v) - v[1]), v[1]).max(initial=0.0) for v in values)
+
+        weight, done = tokens.copy(), 0
+        while sweeps is None or done < sweeps:
+            before, done = weight, done + 1
+            for code, want in values:
+                weight = np.minimum(tokens, weight * ratio(want, have(code, want))[code])
+            if error() <= tolerance or np.abs(weight - before).sum() <= STILL * tolerance * weight.sum():
+                break
+        out = {"weight": pa.array(weight), "error": pa.array(np.full(len(weight), error()))}
+        return pa.table({**{c: table.column(c) for c in (*dimensions, "tokens")}, **out})
+
+    return run
+
+
+def rake(
+    cells: DataFrame, targets: dict[str, DataFrame], budget: float, sweeps: int | None = None,
+    tolerance: float = TOLERANCE, task_cells: int = TASK_CELLS,
+) -> DataFrame:
     """``cells`` with ``weight``: tokens to take, whose sums meet ``budget`` times each target share.
 
     A cell never gives more than its tokens, so ``weight <= tokens``.  What a value lacks is spread over
     the others by their shares; values without a target give nothing.  Sweeps end when every
-    marginal is within ``tolerance`` of its goal, or when full cells keep the error from falling.
+    marginal is within ``tolerance`` of its goal, or when they move no weight any more, because full
+    cells hold the rest; ``sweeps`` may limit them.  ``error`` is the largest relative error left.
     """
     now = materialize(cells.where("tokens > 0").withColumn("weight", F.col("tokens") * 1.0), "mix-cells")
     goals = {d: _goals(now, d, target, budget) for d, target in targets.items()}
-    last = float("inf")
-    for _ in range(sweeps):
-        off = F.lit(0.0)
-        for d, goal in goals.items():
-            factor = now.groupBy(d).agg(F.sum("weight").alias("have")).join(goal, d, "left").select(
-                d,
-                F.coalesce(F.col("want") / F.when(F.col("have") > 0, F.col("have")), F.lit(0.0)).alias("factor"),
-                F.coalesce(F.abs(F.col("have") - F.col("want")) / F.col("want"), F.lit(0.0)).alias(f"off_{d}"),
-            )
+    for d, goal in goals.items():
+        now = now.join(goal.withColumnRenamed("want", f"want_{d}"), d, "left").na.fill(0.0, [f"want_{d}"])
+    now = materialize(now, "mix-goals")
+    n = now.count()
+    if n <= task_cells:
+        workers_import_package(now.sparkSession)
+        given = [f for f in now.schema.fields if f.name in (*goals, "tokens")]
+        order = {f.name: f.dataType.simpleString() for f in given}
+        schema = ", ".join(f"{c} {order[c]}" for c in (*goals, "tokens")) + ", weight double, error double"
+        raked = now.groupBy().applyInArrow(_in_task(list(goals), sweeps, tolerance), schema)
+        return materialize(raked, "mix-raked")
+
+    done, error = 0, 0.0
+    while sweeps is None or done < sweeps:
+        now, done = now.withColumn("before", F.col("weight")), done + 1
+        for d in goals:
+            have = now.groupBy(d).agg(F.sum("weight").alias("have"))
+            factor = F.coalesce(F.col(f"want_{d}") / F.when(F.col("have") > 0, F.col("have")), F.lit(0.0))
             # written after each dimension: the next would compute this join for its sums and again for its rows
             now = materialize(
-                now.join(factor, d).withColumn("weight", F.least(F.col("tokens") * 1.0, F.col("weight") * F.col("factor"))).drop("factor"),
+                now.join(have, d).withColumn("weight", F.least(F.col("tokens") * 1.0, F.col("weight") * factor)).drop("have"),
                 "mix-sweep",
             )
-            off = F.greatest(off, F.col(f"off_{d}"))
-        worst = now.agg(F.max(off)).first()[0]
-        now = now.drop(*[f"off_{d}" for d in goals])
-        if worst is None or worst <= tolerance or worst > 0.95 * last:
+        off = [
+            now.groupBy(d).agg(F.sum("weight").alias("have"), F.first(f"want_{d}").alias("want"))
+            .select(F.when(F.col("want") > 0, F.abs(F.col("have") - F.col("want")) / F.col("want")).alias("off"))
+            for d in goals
+        ]
+        moved = now.agg(F.sum(F.abs(F.col("weight") - F.col("before"))).alias("moved"), F.sum("weight").alias("all"))
+        error, moved, total = reduce(DataFrame.unionByName, off).agg(F.max("off").alias("off")).join(moved).first()
+        error, now = error or 0.0, now.drop("before")
+        if error <= tolerance or moved <= STILL * tolerance * total:
             break
-        last = worst
-    return now
+    return now.select(*goals, "tokens", "weight", F.lit(error).alias("error"))
 
 
 def mix(
@@ -132,7 +195,10 @@ def mix(
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     wanted = {d: (targets or {}).get(d) for d in DIMENSIONS}
     wanted = {d: flattened(cells.where("tokens > 0"), d, power) if t is None else t for d, t in wanted.items()}
-    raked = rake(cells, wanted, keep * total) if total else cells.withColumn("weight", F.lit(0.0))
+    raked = rake(cells, wanted, keep * total) if total else cells.withColumn("weight", F.lit(0.0)).withColumn("error", F.lit(0.0))
+    left = raked.agg(F.max("error")).first()[0] or 0.0
+    if left > TOLERANCE:
+        log.warning("full cells leave a marginal %.2f%% off its target", 100 * left)
     chances = raked.select(*DIMENSIONS, (F.col("weight") / F.when(F.col("tokens") > 0, F.col("tokens"))).alias("chance"))
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 11) / float(1 << 53)
     return (

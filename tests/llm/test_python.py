@@ -244,6 +244,39 @@ def test_raking_meets_its_targets(spark):
     assert got.weight.sum() == pytest.approx(0.3 * total)
 
 
+def _marginals(cells, column):
+    out = {}
+    for r in cells:
+        out[r[column]] = out.get(r[column], 0.0) + r.weight
+    return out
+
+
+def test_raking_goes_on_until_met_or_full(spark):
+    """Source and language nearly coincide, so that sweeps close in slowly; then a case that cells cannot meet."""
+    slow = [("a", "x", "t", 9900), ("a", "y", "t", 100), ("b", "x", "t", 100), ("b", "y", "t", 9900)]
+    full = [("a", "x", "t", 1000), ("b", "x", "t", 10), ("b", "y", "t", 990)]
+    schema = "source string, lang string, topic string, tokens long"
+
+    def shares(column, **of):
+        return spark.createDataFrame(list(of.items()), f"{column} string, share double")
+
+    for cells, lang, met in ((slow, {"x": 0.6, "y": 0.4}, True), (full, {"x": 0.1, "y": 0.9}, False)):
+        df = spark.createDataFrame(cells, schema)
+        targets = {"source": shares("source", a=0.5, b=0.5), "lang": shares("lang", **lang), "topic": shares("topic", t=1.0)}
+        got = [mixing.rake(df, targets, 1000.0, task_cells=n).orderBy("source", "lang").collect() for n in (1 << 16, 0)]
+        for one, other in zip(*got):
+            assert one.weight == pytest.approx(other.weight) and one.error == pytest.approx(other.error)
+        error = max(abs(_marginals(got[0], c)[v] / (1000.0 * s) - 1) for c, of in (("source", {"a": 0.5, "b": 0.5}), ("lang", lang)) for v, s in of.items())
+        assert got[0][0].error == pytest.approx(error)
+        assert (error <= 1e-3) == met
+
+
+def test_topics_by_layout_in_any_case(spark):
+    texts = ["All RIGHTS RESERVED here", "HTTP://EXAMPLE", "é" * 40 + "|", "x" * 19 + "1", "plain", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(mixing.topic_of(F.col("t"))).collect()
+    assert [r[0] for r in rows] == ["legal", "web", "table", "data", "prose", "prose"]
+
+
 def test_goals_spread_what_a_value_lacks(spark):
     cells = spark.createDataFrame([("a", 10), ("b", 100), ("c", 1000)], "source string, tokens long")
     shares = spark.createDataFrame([("a", 0.4), ("b", 0.4), ("c", 0.2), ("d", 1.0)], "source string, share double")
