@@ -83,8 +83,10 @@ def decontaminate(
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
+    hashes: bool = False,
 ) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, n_words, n_hit, spans, items``.
+    """One row per row of ``docs``: ``doc_id, n_words, n_hit, spans, items``;
+    with ``hashes`` also ``h1, h2`` of the text.
 
     ``spans`` are the disjoint hit intervals ``(start, end)`` in words, end exclusive; ``items`` the
     ids, as strings, of the items with an occurring window, sorted.  Null or wordless text has no
@@ -179,5 +181,6 @@ def decontaminate(
             F.coalesce(F.aggregate("spans", F.lit(0), lambda a, s: a + s["end"] - s["start"]), F.lit(0)).cast("long").alias("n_hit"),
             F.coalesce("spans", empty).alias("spans"),
             F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+            *(["h1", "h2"] if hashes else []),
         )
     )

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mqtable.llm.common import map_arrow, materialize
+from mqtable.llm.common import hash128, map_arrow, materialize
 
 #: Labelled rows that a model is fitted on at most, the first by the hash of their id.
 SAMPLE_ROWS = 20_000
@@ -82,8 +82,8 @@ def features(text: str | None) -> list[float]:
     ]
 
 
-def feature_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, x`` (the features as floats) per row of ``docs``."""
+def feature_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hashes: bool = False) -> DataFrame:
+    """``doc_id, x`` (the features as floats) per row of ``docs``; with ``hashes`` also ``h1, h2`` of the text."""
 
     def computed(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -93,10 +93,11 @@ def feature_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 part = batch.slice(lo, 256)
                 x = np.array([features(t.as_py()) for t in part.column(1)], np.float32)
                 flat = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), len(FEATURES)).cast(pa.list_(pa.float32()))
-                yield pa.RecordBatch.from_arrays([part.column(0), flat], names=["doc_id", "x"])
+                yield pa.RecordBatch.from_arrays([part.column(0), flat, *part.columns[2:]], names=["doc_id", "x", *part.schema.names[2:]])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return map_arrow(rows, computed, "doc_id long, x array<float>")
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), *(hash128(text) if hashes else []))
+    return map_arrow(rows, computed, "doc_id long, x array<float>" + ", h1 long, h2 long" * hashes)
 
 
 def _split(g: np.ndarray, h: np.ndarray, leaves: int = 3, least: float = 2.0) -> np.ndarray:
@@ -237,15 +238,15 @@ def train(table: DataFrame, labels: DataFrame, label_col: str = "quality", sampl
 
 def classify(
     docs: DataFrame, labels: DataFrame, threshold: float = 0.7, label_col: str = "quality",
-    id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS,
+    id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS, hashes: bool = False,
 ) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, held_out, score, predicted``.
+    """One row per row of ``docs``: ``doc_id, held_out, score, predicted``; with ``hashes`` also ``h1, h2`` of the text.
 
     Only the text decides the score, so repeated rows score alike; null text scores like empty
     text, whose statistics are zero; null ids are scored but never learnt from.  An empty table
     gives no rows; labels of unknown documents are ignored.  Other columns are not read.
     """
-    table = materialize(feature_table(docs, id_col, text_col), "quality-features")
+    table = materialize(feature_table(docs, id_col, text_col, hashes), "quality-features")
     model = train(table, labels, label_col, sample_rows)
 
     def scored(batches: Iterator) -> Iterator:
@@ -253,11 +254,14 @@ def classify(
 
         for batch in batches:
             x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(FEATURES))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(x))], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(model.score(x)), *batch.columns[2:]], names=["doc_id", "score", *batch.schema.names[2:]]
+            )
 
-    return map_arrow(table, scored, "doc_id long, score double").select(
+    return map_arrow(table, scored, "doc_id long, score double" + ", h1 long, h2 long" * hashes).select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
+        *(["h1", "h2"] if hashes else []),
     )

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mqtable.llm.common import materialize
+from mqtable.llm.common import hash128, materialize
 from mqtable.session import workers_import_package
 
 log = logging.getLogger(__name__)
@@ -170,24 +170,29 @@ def mix(
     source_col: str = "source",
     lang_col: str = "lang",
     topic: Column | None = None,
+    hashes: bool = False,
 ) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, source, lang, topic, tokens, probability, selected``.
+    """One row per row of ``docs``: ``doc_id, source, lang, topic, tokens, probability, selected``;
+    with ``hashes`` also ``h1, h2`` of the text.
 
     ``keep`` of all tokens are to be taken.  ``targets`` gives shares ``(dimension, share)`` for
     ``source``, ``lang`` and ``topic``; by default each value's tokens to ``power``, normalised.  The
     probability is the cell's raked weight over its tokens; a row is selected where a hash of its id
     and ``seed`` falls below it, so repeated rows are taken or left together.  Null and empty labels
-    count as the value ``''``; null or wordless text has no tokens and the probability ``keep``; a null id
-    hashes like ``''``.  An empty table gives no rows.  Other columns are not read.
+    count as the value ``''``; null or wordless text has no tokens and the probability ``keep``; without an
+    id the text is hashed.  An empty table gives no rows.  Other columns are not read.
     """
     def label(name: str) -> Column:
         return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
     text = F.col(text_col)
+    key = hash128(text.cast("string"))
+    drawn = F.coalesce(F.col(id_col).cast("string"), F.concat_ws(" ", F.lit("text"), *[h.cast("string") for h in key]))
     rows = materialize(
         docs.select(
             F.col(id_col).alias("doc_id"), label(source_col).alias("source"), label(lang_col).alias("lang"),
             (topic if topic is not None else topic_of(text)).alias("topic"), tokens_of(text).alias("tokens"),
+            F.xxhash64(F.lit(seed), drawn).alias("hashed"), *(key if hashes else []),
         ),
         "mix-rows",
     )
@@ -200,9 +205,9 @@ def mix(
     if left > TOLERANCE:
         log.warning("full cells leave a marginal %.2f%% off its target", 100 * left)
     chances = raked.select(*DIMENSIONS, (F.col("weight") / F.when(F.col("tokens") > 0, F.col("tokens"))).alias("chance"))
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 11) / float(1 << 53)
+    draw = F.shiftrightunsigned("hashed", 11) / float(1 << 53)
     return (
         rows.join(materialize(chances, "mix-chances"), list(DIMENSIONS), "left")
         .withColumn("probability", F.when(F.col("tokens") == 0, F.lit(float(keep))).otherwise(F.coalesce("chance", F.lit(0.0))))
-        .select("doc_id", *DIMENSIONS, "tokens", "probability", (draw < F.col("probability")).alias("selected"))
+        .select("doc_id", *DIMENSIONS, "tokens", "probability", (draw < F.col("probability")).alias("selected"), *(["h1", "h2"] if hashes else []))
     )

@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mqtable.llm.common import map_arrow, materialize
+from mqtable.llm.common import hash128, known_id, map_arrow, materialize
 from mqtable.llm.components import connected_components
 
 #: Classes a shard should have about, and at most for one task's side.
@@ -57,8 +57,10 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp`` (the fingerprint as a signed long) per row of ``docs``."""
+def fingerprints(
+    docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text", hashes: bool = False
+) -> DataFrame:
+    """``doc_id, fp`` (the fingerprint as a signed long) per row of ``docs``; with ``hashes`` also ``h1, h2`` of the text."""
 
     def hashed(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -67,10 +69,11 @@ def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 fps = np.array([fingerprint(t.as_py(), shingle) for t in part.column(1)], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps)], names=["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps), *part.columns[2:]], names=["doc_id", "fp", *part.schema.names[2:]])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return map_arrow(rows, hashed, "doc_id long, fp long")
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), *(hash128(text) if hashes else []))
+    return map_arrow(rows, hashed, "doc_id long, fp long" + ", h1 long, h2 long" * hashes)
 
 
 def _masks() -> list[int]:
@@ -204,7 +207,7 @@ def near_links(classes: DataFrame, max_bits: int = 4, shard: int = SHARD, chunk:
 
 
 def near_duplicates(
-    docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text", hashes: bool = False
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, fingerprint`` (16 hex digits), ``component_id``.
 
@@ -212,18 +215,30 @@ def near_duplicates(
     null where no member has an id.  Null, empty or wordless text has fingerprint zero and links
     like any other; repeated rows link to each other; an empty table gives no rows.  Other columns
     are not read.
+
+    With ``hashes`` also ``h1, h2`` of the text, and ``chosen``: whether the row is its group's least by
+    (id, ``h1, h2``), ids before null.
     """
-    rows = materialize(fingerprints(docs, shingle, id_col, text_col), "simhash-rows")
-    classes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-classes")
+    rows = materialize(fingerprints(docs, shingle, id_col, text_col, hashes), "simhash-rows")
+
+    def least_key(key: Column | str) -> list[Column]:
+        return [F.min(key).alias("least_key")] if hashes else []
+
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), known_id(F.col("doc_id")).alias("id"), "h1", "h2") if hashes else None
+    classes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"), *least_key(key)), "simhash-classes")
     nodes = connected_components(near_links(classes, max_bits))
     linked = materialize(
         nodes.select(F.col("node").alias("fp"), "component").join(classes, "fp"), "simhash-linked"
     )
-    least = linked.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    by_class = linked.join(least, "component").select("fp", "component_id", F.lit(True).alias("has"))
+    least = linked.groupBy("component").agg(F.min("first_id").alias("component_id"), *least_key("least_key"))
+    by_class = linked.drop("least_key").join(least, "component").select(
+        "fp", "component_id", F.lit(True).alias("has"), *([F.col("least_key").alias("group_key")] if hashes else [])
+    )
     groups = classes.join(by_class, "fp", "left").select(
-        "fp", F.when(F.col("has"), F.col("component_id")).otherwise(F.col("first_id")).alias("component_id")
+        "fp", F.when(F.col("has"), F.col("component_id")).otherwise(F.col("first_id")).alias("component_id"),
+        *([F.coalesce("group_key", "least_key").alias("least_key")] if hashes else []),
     )
     return rows.join(groups, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
-    )
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id",
+        *(["h1", "h2", (key == F.col("least_key")).alias("chosen")] if hashes else []),
+    )

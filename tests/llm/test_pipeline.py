@@ -51,3 +51,30 @@ def test_stages_take_odd_rows(spark, odd_docs, no_docs):
     assert tokens.count() == odd_docs.count()
     first = pipeline.near_duplicates(spark, odd_docs, SF001)
     assert first.where("doc_id = 1").count() == 1
+
+
+def test_texts_that_share_an_id_are_judged_apart(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    schema = "doc_id long, text string, lang string, source string"
+
+    def kept(stage, rows, onto=None):
+        made = spark.createDataFrame([(i, t, "en", "a") for i, t in rows], schema)
+        got = stage(spark, made if onto is None else onto.select(*made.columns).unionByName(made), SF001)
+        return sorted(((r.doc_id, r.text) for r in got.collect() if onto is None or r.doc_id in (None, -7)), key=repr)
+
+    a, b, c, d = (" ".join(f"{w}{i * i % 97}" for i in range(60)) for w in ("ant", "bee", "cat", "dog"))
+    rows = [(1, a), (2, a), (2, b), (None, a), (None, c), (None, c), (None, d)]
+    assert kept(pipeline.near_duplicates, rows) == sorted([(1, a), (2, b), (None, c), (None, d)], key=repr)
+
+    item = max((r.text for r in spark.read.parquet(f"{SF001}/benchmark.parquet").collect()), key=len)
+    rows = [(i, t) for i in (None, 7) for t in (a, f"{b} {item}")]
+    assert kept(pipeline.decontamination, rows) == [(7, a), (None, a)]
+
+    judged = {r.doc_id: r.predicted for r in gam.classify(docs, spark.read.parquet(f"{SF001}/labels.parquet")).collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    good, bad = (texts[next(i for i in sorted(judged) if judged[i] == p)] for p in (1, 0))
+    rows = [(i, t) for i in (None, -7) for t in (good, bad)]
+    assert kept(pipeline.quality, rows, docs) == sorted([(-7, good), (None, good)], key=repr)
+
+    rows = [(None, f"{a} {i}") for i in range(200)]
+    assert 120 < len(kept(pipeline.mixture, rows)) < 200
