@@ -362,6 +362,22 @@ def q_stream_redelivery(spark, sf):
     return done.unionByName(dead.select("message_id", "attempt", F.lit("dead").alias("outcome")))
 
 
+def q_stream_dedupe(spark, sf):
+    """D3 as a stream: every attempt of every message, reduced to the latest per message."""
+    path = _published_log(spark, sf)
+    stream = messagelog.stream_log(spark, path, max_bytes_per_trigger=TRIGGER_BYTES)
+    sink = scratch_path(spark, "latest")
+    (
+        delivery.redeliveries(stream, MAX_ATTEMPTS)
+        .writeStream.foreachBatch(consumer.latest_writer(sink))
+        .option("checkpointLocation", scratch_path(spark, "ckpt"))
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    return consumer.latest_deliveries(spark, sink)
+
+
 def q_stream_single_queue(spark, sf):
     return _stream_totals(spark, sf, [READ_QUEUE])
 
@@ -418,5 +434,6 @@ QUERIES: dict[str, Query] = {
     "messagelog_stream": q_messagelog_stream,
     "stream_handler": q_stream_handler,
     "stream_leases": q_stream_leases,
+    "stream_dedupe": q_stream_dedupe,
     "stream_redelivery": q_stream_redelivery,
 }

@@ -268,3 +268,4 @@ FROM m""",
        exchange || '|' || routing_key || '|' || delivery_tag || '|' || coalesce(header_user, '-') || '|' || body AS value
 FROM m""",
 }
+ORACLE["stream_dedupe"] = ORACLE["dedupe_redelivered"]

@@ -90,15 +90,33 @@ def wall_clock(ts):
     return F.timestamp_add("MICROSECOND", F.unix_micros(ts), F.lit(EPOCH_TEXT).cast("timestamp_ntz"))
 
 
-def dedupe_stream(stream: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """D3 (stream): drop repeated deliveries of one (queue, delivery_tag) within the watermark."""
-    ts = event_time()
-    return (
-        stream.withColumn("__event_time", ts)
-        .withWatermark("__event_time", delay)
-        .dropDuplicatesWithinWatermark(["queue", "delivery_tag"])
-        .drop("__event_time")
-    )
+def dedupe_stream(stream: DataFrame, delay: str | None = None) -> DataFrame:
+    """D3 (stream): the first copy read of each (queue, delivery_tag); state is one key per message.
+
+    ``delay`` is not used: a watermark would also drop first deliveries that are read late.  For the
+    latest attempt, as in batch, see ``latest_writer``."""
+    return stream.dropDuplicates(["queue", "delivery_tag"])
+
+
+def latest_writer(sink: str) -> Callable[[DataFrame, int], None]:
+    """D3 (stream): ``foreachBatch`` function that writes the latest attempt per message of each
+    micro-batch into the batch's own folder (a replayed batch replaces it); see ``latest_deliveries``."""
+    from mqtable.operators.delivery import dedupe_latest
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        dedupe_latest(batch).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+
+    return write
+
+
+def latest_deliveries(spark: SparkSession, sink: str) -> DataFrame:
+    """``queue, delivery_tag, attempt``: the latest attempt over all batches of ``latest_writer``, in any order of arrival."""
+    from mqtable.operators.delivery import dedupe_latest
+    from mqtable.sources.messagelog import ensure_dir
+
+    ensure_dir(spark, sink)
+    rows = spark.read.schema("queue string, delivery_tag long, attempt int, batch_id long").option("basePath", sink)
+    return dedupe_latest(rows.parquet(sink))
 
 
 #: Stands for "never" in a session gap.

@@ -145,6 +145,37 @@ def test_stream_leases_of_backward_files(spark):
     assert streamed == sorted(tuple(r) for r in batch.collect()) and len(streamed) == 5
 
 
+def test_stream_dedupe_of_backward_files(spark):
+    log = scratch_path(spark, "t-log19")
+    _backward_log(spark, log)
+    # every message once more, and the later attempts are read first
+    raw = messagelog.read_log(spark, log).select("queue", "delivery_tag", "published_at")
+    deliveries, names = scratch_path(spark, "t-deliveries"), [f"q{i}" for i in range(5)]
+    for attempt in (2, 1):
+        for name in names:
+            raw.where(F.col("queue") == name).withColumn("attempt", F.lit(attempt)).coalesce(1).write.mode("append").parquet(deliveries)
+    schema = "queue string, delivery_tag long, published_at timestamp_ntz, attempt int"
+
+    def stream():
+        return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(deliveries)
+
+    sink = scratch_path(spark, "t-latest")
+    q = stream().writeStream.foreachBatch(consumer.latest_writer(sink)).option(
+        "checkpointLocation", scratch_path(spark, "t-ck19")
+    ).trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert len(q.recentProgress) >= 10
+    got = [tuple(r) for r in consumer.latest_deliveries(spark, sink).collect()]
+    assert sorted(got) == [(name, tag, 2) for name in names for tag in range(1, 101)]
+
+    (
+        consumer.dedupe_stream(stream()).writeStream.format("memory").queryName("backward_first")
+        .option("checkpointLocation", scratch_path(spark, "t-ck20")).trigger(availableNow=True).start().awaitTermination(120)
+    )
+    first = spark.table("backward_first").groupBy("queue").count().collect()
+    assert {r.queue: r["count"] for r in first} == dict.fromkeys(names, 100)
+
+
 def test_stream_factories(spark):
     from pyspark.sql import types as T
 
