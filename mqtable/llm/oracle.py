@@ -44,6 +44,25 @@ FROM d LEFT JOIN p USING (doc_id) LEFT JOIN t USING (doc_id)
 """
 
 
+OP11 = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), {_UPPER}), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, hash(array_to_string(w[i:i + 4], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS root, doc_id AS node FROM n UNION SELECT r.root, e.b FROM r JOIN e ON e.a = r.node),
+c AS (SELECT node AS doc_id, min(root) AS component_id FROM r GROUP BY node)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component_id, w.doc_id) AS component_id,
+  coalesce(c.component_id, w.doc_id) = w.doc_id AS kept
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
+"""
+
+
 def _op4() -> str:
     kinds = secrets.STRONG + secrets.WEAK
     n = len(secrets.STRONG)
@@ -111,4 +130,5 @@ def oracle(shard_bytes: int) -> dict[str, str]:
         "op5_line_dedup": OP5,
         "op8_decontamination": OP8,
         "op10_sharding": _op10(shard_bytes),
+        "op11_minhash": OP11,
     }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mqtable.llm import decontam, gam, hilbert, linededup, mixing, secrets, sharding, simhash, tokenbin, warc
+from mqtable.llm import decontam, gam, hilbert, linededup, minhash, mixing, runs, secrets, sharding, simhash, spelling, tokenbin, warc
 from mqtable.llm.oracle import oracle
 from mqtable.session import workers_import_package
 
@@ -81,6 +81,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "n_bytes", "depth", "shard")
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=5, percent=85)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.detect_runs(table(spark, sf_dir, "documents"), plant=True)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_hilbert_neighbours": op2_hilbert_neighbours,
@@ -92,6 +104,9 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_quality": op9_quality,
     "op10_sharding": op10_sharding,
+    "op11_minhash": op11_minhash,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE = oracle(SHARD_BYTES)
