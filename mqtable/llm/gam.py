@@ -67,9 +67,10 @@ def features(text: str | None) -> list[float]:
     n = len(words)
     same = sum(map(eq, words, islice(words, 1, None)))
     least_distinct, most_same = 1.0, 0.0
-    for lo in range(0, max(1, n - BLOCK_WORDS // 2), BLOCK_WORDS):
+    # the last block overlaps the one before, so every word is in a block of the full width
+    for lo in sorted({*range(0, n - BLOCK_WORDS, BLOCK_WORDS), max(0, n - BLOCK_WORDS)}):
         some = words[lo : lo + BLOCK_WORDS]
-        if len(some) > 8 or lo == 0:
+        if some:
             least_distinct = min(least_distinct, len(set(some)) / max(1, len(some)))
             most_same = max(most_same, sum(map(eq, some, islice(some, 1, None))) / max(1, len(some)))
     letters = sum(map(len, words))
@@ -228,10 +229,15 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(table: DataFrame, labels: DataFrame, label_col: str = "quality", sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Fit to at most ``sample_rows`` labelled rows that are not held out; null labels are left out."""
+    """Fit to at most ``sample_rows`` labelled rows that are not held out.
+
+    Null labels are left out, and so are ids with both labels.  The rows come by a hash of their id, those that
+    share an id by their features, so a repeated run learns from the same rows.
+    """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y"))
-    known = known.where(~held_out(F.col("doc_id")) & F.col("y").isin(0, 1)).dropDuplicates(["doc_id"])
-    rows = table.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(sample_rows).select("x", "y")
+    known = known.where(~held_out(F.col("doc_id")) & F.col("y").isin(0, 1)).groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("other"))
+    known = known.where("y = other").drop("other")
+    rows = table.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "x").limit(sample_rows).select("x", "y")
     held = rows.toArrow()
     return fit(np.array(held.column("x").to_pylist(), np.float32), held.column("y").to_numpy())
 
