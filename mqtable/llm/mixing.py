@@ -1,9 +1,10 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Documents are summed to cells (source, language, topic); the cells' token weights are raked in turn
-to the target marginals; a document is sampled with the probability its cell then has.  All of it is
-DataFrame work: a sweep aggregates the cells per dimension, with map-side partial sums, and joins the
-factors back, so neither documents nor cells meet in one task or on the driver.
+to the target marginals; a document is sampled with the probability its cell then has.  Documents are
+only ever aggregated.  The cells, one row per combination, are raked in one task up to ``TASK_CELLS`` of
+them; more are raked by DataFrame sweeps that aggregate them per dimension, with map-side partial sums,
+and join the factors back, one written table per dimension and sweep.  Both do the same arithmetic.
 """
 
 from __future__ import annotations
