@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import uuid
 from statistics import NormalDist
 
 from pyspark.sql import DataFrame, Window
@@ -45,6 +47,8 @@ def count_approx(
 ) -> DataFrame:
     """A2: per-queue count estimated from a deterministic 1/``sample_mod`` sample
     of message ids, with a normal-approximation interval (rounded) and its ``confidence``.
+    A queue of which no message is sampled has the estimate 0, and as its upper end the largest count
+    that leaves so empty a sample that often.
 
     When the batch was already counted (``counted``: ``queue, n``), the answer is
     exact: ``mean = low = high = n`` with confidence 1.0, and nothing is scanned."""
@@ -53,25 +57,43 @@ def count_approx(
         return counted.select("queue", n.alias("mean"), n.alias("low"), n.alias("high"), F.lit(1.0).alias("confidence"))
     p = 1.0 / sample_mod
     z = z_score(confidence)
-    k = F.count(F.lit(1))
-    sampled = m.where(F.pmod("message_id", F.lit(sample_mod)) == 0).groupBy("queue").agg(k.alias("__k"))
+    sampled = m.groupBy("queue").agg(F.count_if(F.pmod("message_id", F.lit(sample_mod)) == 0).alias("__k"))
+    unseen = math.log(1.0 - confidence) / math.log(1.0 - p) if p < 1.0 else 0.0
     mean = F.col("__k") / F.lit(p)
     half = F.lit(z) * F.sqrt(F.col("__k") * F.lit(1.0 - p)) / F.lit(p)
     return sampled.select(
         "queue",
         F.round(mean).cast("long").alias("mean"),
         F.round(mean - half).cast("long").alias("low"),
-        F.round(mean + half).cast("long").alias("high"),
+        F.when(F.col("__k") == 0, F.lit(math.floor(unseen))).otherwise(F.round(mean + half)).cast("long").alias("high"),
         F.lit(float(confidence)).alias("confidence"),
     )
 
 
+def count_within(m: DataFrame, timeout_ms: int, confidence: float = 0.95) -> tuple[float, float, float, float]:
+    """A2 under a time limit: ``(mean, low, high, confidence)`` of the number of messages.
+
+    Partitions that are counted when the time is up give the estimate and its interval; if all are, it is
+    exact with confidence 1.0.  What is still running is then cancelled.  Rows are counted in the JVM."""
+    sc = m.sparkSession.sparkContext
+    tag = f"count-within-{uuid.uuid4().hex}"
+    sc.addJobTag(tag)
+    try:
+        bound = m._jdf.queryExecution().toRdd().countApprox(int(timeout_ms), float(confidence)).initialValue()
+        return bound.mean(), max(0.0, bound.low()), bound.high(), bound.confidence()
+    finally:
+        sc.removeJobTag(tag)
+        sc.cancelJobsWithTag(tag)
+
+
 def take_messages(m: DataFrame, n: int) -> DataFrame:
-    """A4: the first ``n`` messages in (queue, message_id) order with their ``delivery_tag``.
+    """A4: the first ``n`` messages in (queue, ``delivery_tag``) order; a top-k without a global sort.
 
-    A top-k without a global sort.  The result begins each queue it reaches at its first message, so
-    the tags of these few rows are their positions and the log is not numbered."""
-    first = m.drop("delivery_tag").orderBy("queue", "message_id").limit(n)
+    Messages that have no tags yet are taken in (queue, message_id) order.  The result then begins each
+    queue it reaches at its first message, so the tags of these few rows are their positions."""
+    if "delivery_tag" in m.columns:
+        return m.orderBy("queue", "delivery_tag").limit(n)
+    first = m.orderBy("queue", "message_id").limit(n)
     return first.withColumn("delivery_tag", F.row_number().over(Window.partitionBy("queue").orderBy("message_id")).cast("long"))
 
 

@@ -42,9 +42,9 @@ def _recency_bucket(bucket_us: int) -> Column:
     return floor_div(epoch_micros("published_at"), F.lit(bucket_us))
 
 
-def _newest() -> list[Column]:
-    """Newest first; within a queue the tag rises with the id, so no numbering is needed to break ties."""
-    return [F.col("published_at").desc(), F.col("message_id").desc()]
+def _newest(m: DataFrame) -> list[Column]:
+    """Newest first, ties by the tag; messages without tags are not numbered for it: their tags would rise with the id."""
+    return [F.col("published_at").desc(), F.col("delivery_tag" if "delivery_tag" in m.columns else "message_id").desc()]
 
 
 def max_length(m: DataFrame, limit, keep: bool = True, bucket_us: int = SECOND_US) -> DataFrame:
@@ -54,13 +54,13 @@ def max_length(m: DataFrame, limit, keep: bool = True, bucket_us: int = SECOND_U
     one second per queue that straddles it.
     """
     budget = [(F.lit(1), _lit_or_col(limit))]
-    return newest_within(m, ["queue"], _recency_bucket(bucket_us), _newest(), budget, keep)
+    return newest_within(m, ["queue"], _recency_bucket(bucket_us), _newest(m), budget, keep)
 
 
 def max_length_bytes(m: DataFrame, limit, keep: bool = True, bucket_us: int = SECOND_US) -> DataFrame:
     """Q3: longest newest suffix per queue whose body bytes total <= ``limit``."""
     budget = [(_body_bytes(), _lit_or_col(limit))]
-    return newest_within(m, ["queue"], _recency_bucket(bucket_us), _newest(), budget, keep)
+    return newest_within(m, ["queue"], _recency_bucket(bucket_us), _newest(m), budget, keep)
 
 
 def dead_lettered(m: DataFrame, policies: DataFrame, as_of: Column | None = None) -> DataFrame:
@@ -73,7 +73,7 @@ def dead_lettered(m: DataFrame, policies: DataFrame, as_of: Column | None = None
     expired = mp.where(dead_exp).withColumn("reason", F.lit(EXPIRED))
     live = mp.where(~dead_exp)
     budgets = [(F.lit(1), F.col("max_length")), (_body_bytes(), F.col("max_length_bytes"))]
-    over = newest_within(live, ["queue"], _recency_bucket(SECOND_US), _newest(), budgets, False)
+    over = newest_within(live, ["queue"], _recency_bucket(SECOND_US), _newest(m), budgets, False)
     over = over.withColumn("reason", F.lit(MAXLEN))
     dead = expired.unionByName(over).where(F.col("dead_letter_exchange").isNotNull())
     return dead.withColumn("exchange", F.col("dead_letter_exchange")).withColumn(

@@ -24,7 +24,7 @@ from mqtable.sources.fixtures import (
     policies_table,
     sources_table,
 )
-from mqtable.streaming import api, consumer, redelivery
+from mqtable.streaming import api, capped, consumer, redelivery
 
 # --- fixed values: parameters of the registered queries -----------------------
 SLIDE_MS = 3_600_000  # batch interval: 1 h
@@ -50,6 +50,8 @@ READ_QUEUE, READ_FIRST, READ_LAST = "click", 100, 199
 PUBLISH_SPLIT = "2024-01-16 00:00:00"
 LOG_FILE_RECORDS = messagelog.MAX_RECORDS_PER_FILE
 TRIGGER_BYTES = 1 << 30  # of log files per micro-batch
+CAPPED_STREAM = {"maxMessagesPerPartition": "4000", "levelParallelism": "2"}
+CAPPED_SOURCES = [("click", "800"), ("error", None), ("view", "1200"), ("click", None)]
 # -------------------------------------------------------------------------------
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -378,6 +380,18 @@ def q_stream_dedupe(spark, sf):
     return consumer.latest_deliveries(spark, sink)
 
 
+def q_stream_capped(spark, sf):
+    """Four sources under their own caps; which micro-batch delivers each message to each source."""
+    path = _published_log(spark, sf)
+    keys = [SourceKey(q, options={"maxMessagesPerPartition": cap} if cap else {}) for q, cap in CAPPED_SOURCES]
+    stream = capped.CappedStream(spark, path, scratch_path(spark, "capped"), keys, CAPPED_STREAM, slide_ms=1)
+    sink = scratch_path(spark, "delivered")
+    messagelog.ensure_dir(spark, sink)
+    stream.drain(capped.folder_writer(sink, "source_index", "queue", "slot", "message_id"))
+    schema = "source_index int, queue string, slot int, message_id long, batch_id long"
+    return spark.read.schema(schema).option("basePath", sink).parquet(sink)
+
+
 def q_stream_single_queue(spark, sf):
     return _stream_totals(spark, sf, [READ_QUEUE])
 
@@ -433,6 +447,7 @@ QUERIES: dict[str, Query] = {
     "messagelog_batch_read": q_messagelog_batch_read,
     "messagelog_stream": q_messagelog_stream,
     "stream_handler": q_stream_handler,
+    "stream_capped": q_stream_capped,
     "stream_leases": q_stream_leases,
     "stream_dedupe": q_stream_dedupe,
     "stream_redelivery": q_stream_redelivery,

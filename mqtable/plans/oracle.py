@@ -263,6 +263,16 @@ FROM (SELECT DISTINCT tb.queue, m.message_id
     + """SELECT message_id, CAST(least(fail_count + 1, 5) AS INT) AS attempt,
        CASE WHEN fail_count + 1 <= 5 THEN 'acked' ELSE 'dead' END AS outcome
 FROM m""",
+    "stream_capped": _w(
+        M,
+        """
+s(source_index, queue, cap) AS (VALUES (0, 'click', 800), (1, 'error', 4000), (2, 'view', 1200), (3, 'click', 4000))""",
+    )
+    + """SELECT CAST(s.source_index AS INT) AS source_index, queue, CAST((delivery_tag - 1) % 2 AS INT) AS slot, message_id,
+  CAST(((delivery_tag - 1) // 2) // cap AS BIGINT) AS batch_id
+FROM (SELECT queue, message_id, CAST(row_number() OVER (
+        PARTITION BY queue ORDER BY published_at >= TIMESTAMP '2024-01-16', message_id) AS BIGINT) AS delivery_tag FROM m)
+JOIN s USING (queue)""",
     "stream_handler": _w(M)
     + """SELECT message_id, 'ok' AS outcome,
        exchange || '|' || routing_key || '|' || delivery_tag || '|' || coalesce(header_user, '-') || '|' || body AS value

@@ -1,10 +1,12 @@
 """A replayable message log: Parquet partitioned by ``publish_batch`` then ``queue``.
 
 Publishing appends one batch: messages get the next dense per-queue ``delivery_tag`` (current end
-of the queue + position in ``message_id`` order).  Re-publishing a batch id replaces that batch's
-folder whole, so a retried publish is idempotent and leaves no partition of the first try behind.
-A table of queue ends per batch lies beside the log, so publishing never rescans earlier batches.
-Reads are partition-pruned on ``queue`` and filter-pushed on ``delivery_tag``.
+of the queue + position in ``message_id`` order).  A batch is written beside the log together with its
+manifest (per queue the tags, the number of messages and a digest of the whole batch) and then moved into
+place: readers see it once and whole.  Publishing a batch again with the same messages does nothing, so no
+stream reads it twice; with other messages it replaces the batch's folder.  A publish that was cut off is
+either finished or forgotten by the next one.  The manifests also hold the queues' ends, so publishing
+never rescans earlier batches.  Reads are partition-pruned on ``queue`` and filter-pushed on ``delivery_tag``.
 """
 
 from __future__ import annotations
@@ -28,17 +30,35 @@ LOG_SCHEMA = T.StructType(
 )
 
 
+def _fs(spark: SparkSession, path: str):
+    """The file system of ``path`` (local, HDFS, object store) and the path on it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
 
 
 def ensure_dir(spark: SparkSession, path: str) -> None:
-    """Create ``path`` on its file system (local, HDFS, object store) if missing."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+    """Create ``path`` on its file system if missing."""
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    """Put ``source`` in the place of ``target``, whole."""
+    fs, to = _fs(spark, target)
+    fs.mkdirs(to.getParent())
+    fs.delete(to, True)
+    if not fs.rename(_fs(spark, source)[1], to):
+        raise OSError(f"cannot move {source} to {target}")
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
@@ -48,13 +68,45 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).option("basePath", path).parquet(path)
 
 
-ENDS_SCHEMA = "queue string, end long, publish_batch long"
+ENDS_SCHEMA = "queue string, first long, end long, n long, digest string, publish_batch long"
 
 
 def _ends_path(path: str) -> str:
     return path.rstrip("/") + "-ends"
 
 
+def _staging_path(path: str, batch_id: int) -> str:
+    return f"{path.rstrip('/')}-staging/{BATCH_COL}={int(batch_id)}"
+
+
+def _settle(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Move a staged batch into place if its manifest was written; every step may be repeated."""
+    staging, name = _staging_path(path, batch_id), f"{BATCH_COL}={int(batch_id)}"
+    if _exists(spark, f"{staging}/ends/_SUCCESS"):
+        if _exists(spark, f"{staging}/data"):
+            _move(spark, f"{staging}/data", f"{path.rstrip('/')}/{name}")
+        _move(spark, f"{staging}/ends", f"{_ends_path(path)}/{name}")
+    _remove(spark, staging)
+
+
+def settle_all(spark: SparkSession, path: str) -> None:
+    """Finish the publishes that were cut off after their manifest, and forget those before it."""
+    fs, folder = _fs(spark, path.rstrip("/") + "-staging")
+    if fs.exists(folder):
+        for status in fs.listStatus(folder):
+            _settle(spark, path, int(status.getPath().getName().split("=")[1]))
+
+
+def _row_hash() -> F.Column:
+    """A hash of everything a publisher gives of a message."""
+    given = [f.name for f in MESSAGE_SCHEMA.fields if f.name not in ("delivery_tag", "headers")]
+    return F.xxhash64(*given, F.map_entries("headers")).cast("decimal(38,0)")
+
+
+def _digest(rows: int | None, total) -> str:
+    return f"{rows or 0}:{total or 0}"
+
+
 def queue_ends(spark: SparkSession, path: str, before_batch: int | None = None) -> DataFrame:
     """Last delivery tag per queue over the batches before ``before_batch``."""
     if not _exists(spark, _ends_path(path)):
@@ -83,8 +135,16 @@ def publish(
     caller whose ids are known to be dense may pass ``dense_id_bucket`` (ids
     per bucket) instead and save those passes.
     """
+    from pyspark.sql import Observation
+
+    settle_all(spark, path)
     cols = [f.name for f in MESSAGE_SCHEMA.fields if f.name != "delivery_tag"]
     fresh = messages.select(*cols)
+    sums = (F.count(F.lit(1)).alias("n"), F.sum(_row_hash()).alias("total"))
+    if _exists(spark, f"{_ends_path(path)}/{BATCH_COL}={int(batch_id)}"):
+        committed = spark.read.schema(ENDS_SCHEMA).parquet(_ends_path(path)).where(F.col(BATCH_COL) == batch_id).first()
+        if committed and committed.digest == _digest(*fresh.agg(*sums).first()):
+            return
     # numbering continues after the earlier batches only, so a retry of this
     # batch gets the same tags and replaces its own partitions
     ends = queue_ends(spark, path, before_batch=batch_id)
@@ -102,13 +162,19 @@ def publish(
     ).drop(*chunks)
     numbered = join_on(numbered, ends, ["queue"], how="left")
     out = numbered.withColumn("delivery_tag", (F.coalesce("__end", F.lit(0)) + F.col("__pos")).cast("long"))
-    folder = f"{path.rstrip('/')}/{BATCH_COL}={int(batch_id)}"
-    out = out.select(*[f.name for f in LOG_SCHEMA.fields if f.name != BATCH_COL])
-    out.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).partitionBy("queue").parquet(folder)
+    staging = _staging_path(path, batch_id)
+    seen = Observation()
+    out = out.select(*[f.name for f in LOG_SCHEMA.fields if f.name != BATCH_COL]).observe(seen, *sums)
+    data = f"{staging}/data"
+    out.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).partitionBy("queue").parquet(data)
     # from the written tags: one narrow column of this batch alone
-    written = read_log(spark, path).where(F.col(BATCH_COL) == batch_id)
-    ends = written.groupBy("queue").agg(F.max("delivery_tag").alias("end"))
-    ends.write.mode("overwrite").parquet(f"{_ends_path(path)}/{BATCH_COL}={int(batch_id)}")
+    written = spark.read.schema(LOG_SCHEMA).parquet(data)
+    ends = written.groupBy("queue").agg(
+        F.min("delivery_tag").alias("first"), F.max("delivery_tag").alias("end"), F.count(F.lit(1)).alias("n")
+    )
+    digest = _digest(seen.get["n"], seen.get["total"])
+    ends.withColumn("digest", F.lit(digest)).write.mode("overwrite").parquet(f"{staging}/ends")
+    _settle(spark, path, batch_id)
 
 
 def publish_through(

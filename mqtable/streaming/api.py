@@ -21,7 +21,7 @@ from mqtable.sources import messagelog
 from mqtable.streaming.consumer import retain_batches_conf
 
 
-def _with_handler(df: DataFrame, handler: Callable[[Delivery], object] | None, return_type: T.DataType) -> DataFrame:
+def with_handler(df: DataFrame, handler: Callable[[Delivery], object] | None, return_type: T.DataType) -> DataFrame:
     if handler is None:
         return df.withColumn("body", decode_body("body"))
     return handled_by(df, handler, return_type)
@@ -40,15 +40,21 @@ def create_distributed_stream(
 ) -> DataFrame:
     """One stream over every source; with no keys, one source from
     ``queueName``; with neither there is nothing to read (an empty, static
-    DataFrame, not an error)."""
+    DataFrame, not an error).
+
+    A streaming DataFrame is bounded by files or bytes a batch.  Sources with ``maxMessagesPerPartition`` need
+    ``capped.CappedStream``; here that option raises instead of being ignored."""
     opts = QueueOptions(dict(params))
     resolved = source_keys(opts, list(keys or []))
     limits = {"max_files_per_trigger": max_files_per_trigger, "max_bytes_per_trigger": max_bytes_per_trigger}
     if not resolved:
         empty = spark.createDataFrame([], messagelog.LOG_SCHEMA)
-        return _with_handler(empty, handler, return_type)
+        return with_handler(empty, handler, return_type)
     for key in resolved:
-        opts.merged(key.options).policy_arguments()  # the source's own options win; bad values raise
+        merged = opts.merged(key.options)  # the source's own options win
+        merged.policy_arguments()  # bad values raise
+        if merged.max_messages_per_partition is not None:
+            raise OptionError("maxMessagesPerPartition: use mqtable.streaming.capped.CappedStream")
     if "rememberDuration" in params:
         retain_batches_conf(spark, opts.remember_batches(slide_ms))
     # a queue that several sources name is delivered to each of them
@@ -57,7 +63,7 @@ def create_distributed_stream(
         indexes.setdefault(key.queue, []).append(i)
     of = F.create_map(*[F.lit(x) if isinstance(x, str) else F.array(*map(F.lit, x)) for pair in indexes.items() for x in pair])
     stream = messagelog.stream_queues(spark, log, list(indexes), **limits)
-    return _with_handler(stream.withColumn("source_index", F.explode(F.try_element_at(of, F.col("queue")))), handler, return_type)
+    return with_handler(stream.withColumn("source_index", F.explode(F.try_element_at(of, F.col("queue")))), handler, return_type)
 
 
 def create_stream(
@@ -85,4 +91,4 @@ def read_slice(
 ) -> DataFrame:
     """A bounded slice of one source as a batch DataFrame."""
     df = messagelog.read_queue(spark, log, key.queue, first_tag, last_tag)
-    return _with_handler(df, handler, return_type)
+    return with_handler(df, handler, return_type)

@@ -4,8 +4,8 @@ D2: every micro-batch runs the handler; deliveries that fail go to a retry
 log with ``attempt + 1`` (a second stream input, ``unionByName``), poison
 messages stop at ``max_attempts`` and land in a dead sink.  K1: a stream of
 messages is published into a message log, one publish batch per micro-batch.
-All writes overwrite their own ``batch_id`` partition, so a replayed
-micro-batch never duplicates rows.
+All writes replace their own ``batch_id`` folder, so a replayed
+micro-batch leaves nothing of its first try.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ from mqtable.operators.delivery import DEFAULT_MAX_ATTEMPTS
 from mqtable.sources import messagelog
 from mqtable.streaming.consumer import persist_batch
 
+TRIGGER_BYTES = 1 << 30  # of files per micro-batch and input
+
 RETRY_SCHEMA = T.StructType(
     [f for f in messagelog.LOG_SCHEMA.fields] + [T.StructField("attempt", T.IntegerType())]
 )
@@ -28,20 +30,19 @@ RETRY_LOG_SCHEMA = T.StructType(RETRY_SCHEMA.fields + [T.StructField("batch_id",
 
 
 def _overwrite(df: DataFrame, path: str, batch_id: int) -> None:
-    (
-        df.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(path)
-    )
+    """The batch's folder is replaced whole, so a replay that writes no rows leaves none of the first try."""
+    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
-def delivery_stream(spark: SparkSession, log: str, retry: str, queues: list[str] | None = None) -> DataFrame:
-    """Fresh deliveries (attempt 1) of all queues, or of ``queues``, plus their pending retries."""
+def delivery_stream(
+    spark: SparkSession, log: str, retry: str, queues: list[str] | None = None, max_bytes_per_trigger: int = TRIGGER_BYTES
+) -> DataFrame:
+    """Fresh deliveries (attempt 1) of all queues, or of ``queues``, plus their pending retries, bounded by bytes a batch."""
     messagelog.ensure_dir(spark, retry)
-    source = messagelog.stream_queues(spark, log, queues) if queues else messagelog.stream_log(spark, log)
-    retried = spark.readStream.schema(RETRY_LOG_SCHEMA).option("basePath", retry).parquet(retry)
+    limit = {"max_bytes_per_trigger": max_bytes_per_trigger}
+    source = messagelog.stream_queues(spark, log, queues, **limit) if queues else messagelog.stream_log(spark, log, **limit)
+    pending = spark.readStream.schema(RETRY_LOG_SCHEMA).option("basePath", retry).option("maxBytesPerTrigger", max_bytes_per_trigger)
+    retried = pending.parquet(retry)
     return source.withColumn("attempt", F.lit(1)).unionByName(retried, allowMissingColumns=True)
 
 
@@ -56,14 +57,23 @@ def deliver_all(
 ) -> tuple[DataFrame, DataFrame]:
     """Run the stream over what is there until no retry is pending; returns the acked and the dead.
 
-    A run consumes the retries that the one before wrote, so there are at most ``max_attempts`` runs.
+    A run consumes the retries that the ones before wrote; when it adds none, nothing is pending.
     """
     ok, dead, retry, ckpt = (f"{folder}/{x}" for x in ("ok", "dead", "retry", "checkpoint"))
-    for _ in range(max_attempts):
+    write = redelivery_writer(ok, retry, dead, succeeds, max_attempts)
+    pending = True
+    while pending:
+        ran: list[int] = []
+
+        def writer(batch: DataFrame, batch_id: int) -> None:
+            write(batch, batch_id)
+            ran.append(batch_id)
+
         stream = delivery_stream(spark, log, retry)
-        writer = redelivery_writer(ok, retry, dead, succeeds, max_attempts)
         run = stream.writeStream.foreachBatch(writer).option("checkpointLocation", ckpt).trigger(availableNow=True)
         run.start().awaitTermination()
+        # what these batches requeued is still to be read
+        pending = bool(ran) and not attempts_in(spark, retry).where(F.col("batch_id") >= min(ran)).isEmpty()
     return attempts_in(spark, ok), attempts_in(spark, dead)
 
 
