@@ -6,6 +6,7 @@ Column names equal those of the matching DuckDB statement in ``oracle.py``.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,7 @@ from mqtable.sources.fixtures import (
     policies_table,
     sources_table,
 )
-from mqtable.streaming import api, capped, consumer, redelivery
+from mqtable.streaming import acks, api, capped, consumer, redelivery, state
 
 # --- fixed values: parameters of the registered queries -----------------------
 SLIDE_MS = 3_600_000  # batch interval: 1 h
@@ -335,22 +336,39 @@ def q_stream_handler(spark, sf):
     return spark.read.schema(handled.schema).parquet(sink)
 
 
+def _run(stream, write, checkpoint: str) -> None:
+    run = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    run.start().awaitTermination()
+
+
 def q_stream_leases(spark, sf):
-    """Q7 as a stream: session windows over every queue of the published log."""
-    path = _published_log(spark, sf)
-    stream = messagelog.stream_log(spark, path, max_bytes_per_trigger=TRIGGER_BYTES)
-    sink = scratch_path(spark, "leases")
-    (
-        consumer.lease_stream(retention.with_expiry(stream, policies_table(spark)), consumer.expiry_gap(F.col("expires_ms")))
-        .select("queue", "lease_start", "n")
-        .writeStream.outputMode("complete")
-        .foreachBatch(consumer.complete_table_writer(sink))
-        .option("checkpointLocation", scratch_path(spark, "ckpt"))
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
+    """Q7 as a stream: the leases of every queue of the published log, kept as runs of activity."""
+    path, folder = _published_log(spark, sf), scratch_path(spark, "leases")
+    stream = retention.with_expiry(
+        messagelog.stream_log(spark, path, max_bytes_per_trigger=TRIGGER_BYTES), policies_table(spark)
     )
-    return spark.read.parquet(sink)
+    _run(stream, state.lease_writer(folder, F.col("expires_ms")), f"{folder}/checkpoint")
+    return state.leases(spark, folder)
+
+
+def q_stream_distinct(spark, sf):
+    """D3 as a stream: the log read by two inputs at different paces, each message kept at its first reading."""
+    path, folder = _published_log(spark, sf), scratch_path(spark, "distinct")
+    twice = messagelog.stream_log(spark, path, max_bytes_per_trigger=TRIGGER_BYTES)
+    twice = twice.unionByName(messagelog.stream_log(spark, path, max_bytes_per_trigger=2 * TRIGGER_BYTES))
+    twice = twice.select("queue", "delivery_tag", "message_id")
+    _run(twice, state.distinct_writer(folder), f"{folder}/checkpoint")
+    return state.distinct_messages(spark, folder, twice.schema)
+
+
+def q_stream_acks(spark, sf):
+    """D1/D2 as a stream: what becomes of every message under each ack type, by a user handler's outcome."""
+    path, parts = _published_log(spark, sf), []
+    for kind in ACK_TYPES:
+        folder = scratch_path(spark, f"acks-{kind}")
+        done = acks.deliver(spark, path, folder, {"ackType": kind}, handler.json_k, T.LongType(), MAX_ATTEMPTS)
+        parts.append(done.select(F.lit(kind).alias("ack_type"), "queue", "delivery_tag", "attempt", "state"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def q_stream_redelivery(spark, sf):
@@ -450,5 +468,7 @@ QUERIES: dict[str, Query] = {
     "stream_capped": q_stream_capped,
     "stream_leases": q_stream_leases,
     "stream_dedupe": q_stream_dedupe,
+    "stream_distinct": q_stream_distinct,
+    "stream_acks": q_stream_acks,
     "stream_redelivery": q_stream_redelivery,
 }

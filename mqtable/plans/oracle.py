@@ -273,6 +273,16 @@ s(source_index, queue, cap) AS (VALUES (0, 'click', 800), (1, 'error', 4000), (2
 FROM (SELECT queue, message_id, CAST(row_number() OVER (
         PARTITION BY queue ORDER BY published_at >= TIMESTAMP '2024-01-16', message_id) AS BIGINT) AS delivery_tag FROM m)
 JOIN s USING (queue)""",
+    "stream_distinct": _w(M)
+    + """SELECT queue, message_id, CAST(row_number() OVER (
+  PARTITION BY queue ORDER BY published_at >= TIMESTAMP '2024-01-16', message_id) AS BIGINT) AS delivery_tag FROM m""",
+    "stream_acks": _w(M)
+    + """SELECT ack_type, queue, delivery_tag,
+  CAST(CASE WHEN ack_type = 'basic' AND k IS NULL THEN 5 ELSE 1 END AS INT) AS attempt,
+  CASE ack_type WHEN 'auto' THEN 'auto' WHEN 'other' THEN 'unacked' ELSE CASE WHEN k IS NULL THEN 'dead' ELSE 'acked' END END AS state
+FROM (SELECT queue, k, CAST(row_number() OVER (
+        PARTITION BY queue ORDER BY published_at >= TIMESTAMP '2024-01-16', message_id) AS BIGINT) AS delivery_tag FROM mk)
+CROSS JOIN (VALUES ('auto'), ('basic'), ('other')) a(ack_type)""",
     "stream_handler": _w(M)
     + """SELECT message_id, 'ok' AS outcome,
        exchange || '|' || routing_key || '|' || delivery_tag || '|' || coalesce(header_user, '-') || '|' || body AS value

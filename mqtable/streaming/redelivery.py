@@ -52,16 +52,14 @@ def attempts_in(spark: SparkSession, sink: str) -> DataFrame:
     return spark.read.schema(RETRY_LOG_SCHEMA).option("basePath", sink).parquet(sink)
 
 
-def deliver_all(
-    spark: SparkSession, log: str, folder: str, succeeds: Callable[[DataFrame], Column], max_attempts: int = DEFAULT_MAX_ATTEMPTS
-) -> tuple[DataFrame, DataFrame]:
-    """Run the stream over what is there until no retry is pending; returns the acked and the dead.
+def drain_retries(
+    spark: SparkSession, log: str, retry: str, checkpoint: str, write: Callable[[DataFrame, int], None]
+) -> int | None:
+    """Run the stream over what is there until no retry is pending; returns the last batch's id, if there was one.
 
-    A run consumes the retries that the ones before wrote; when it adds none, nothing is pending.
+    A run consumes the retries that the ones before wrote.
     """
-    ok, dead, retry, ckpt = (f"{folder}/{x}" for x in ("ok", "dead", "retry", "checkpoint"))
-    write = redelivery_writer(ok, retry, dead, succeeds, max_attempts)
-    pending = True
+    pending, last = True, None
     while pending:
         ran: list[int] = []
 
@@ -70,10 +68,20 @@ def deliver_all(
             ran.append(batch_id)
 
         stream = delivery_stream(spark, log, retry)
-        run = stream.writeStream.foreachBatch(writer).option("checkpointLocation", ckpt).trigger(availableNow=True)
+        run = stream.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint).trigger(availableNow=True)
         run.start().awaitTermination()
         # what these batches requeued is still to be read
         pending = bool(ran) and not attempts_in(spark, retry).where(F.col("batch_id") >= min(ran)).isEmpty()
+        last = max(ran, default=last)
+    return last
+
+
+def deliver_all(
+    spark: SparkSession, log: str, folder: str, succeeds: Callable[[DataFrame], Column], max_attempts: int = DEFAULT_MAX_ATTEMPTS
+) -> tuple[DataFrame, DataFrame]:
+    """Deliver all that is there until no retry is pending; returns the acked and the dead."""
+    ok, dead, retry, ckpt = (f"{folder}/{x}" for x in ("ok", "dead", "retry", "checkpoint"))
+    drain_retries(spark, log, retry, ckpt, redelivery_writer(ok, retry, dead, succeeds, max_attempts))
     return attempts_in(spark, ok), attempts_in(spark, dead)
 
 
