@@ -1,10 +1,11 @@
 """Exchange routing (J1-J4) and topology declaration.
 
 Routes are resolved once per *distinct* (exchange, routing key), never per message, by an equi-join
-on (exchange, token).  A binding has one token: its key (direct), any key (fanout), and for a topic
-pattern the number of words it asks for or, with ``#``, its literal first or last word.  A routing
-key has the few tokens of the bindings that may match it, so a key meets few patterns; the pattern
-itself, compiled to a regular expression as a column, decides.
+on (exchange, token).  A direct binding's token is its key, a fanout binding's a constant.  A topic
+pattern could be looked up by any of its literal words at its place: counted from the front before the
+first ``#``, from the back after the last, with the key's length where there is none, and anywhere between
+two.  Its token is that of these signatures which the fewest keys have, so a key meets hardly more
+patterns than it matches; the pattern itself, compiled to a regular expression as a column, decides.
 """
 
 from __future__ import annotations
@@ -48,49 +49,94 @@ def _comma_list(text: Column) -> Column:
     return F.when((kept == "") & (text != ""), F.array().cast("array<string>")).otherwise(F.split(kept, ",", -1))
 
 
-def _binding_tokens(bindings: DataFrame) -> DataFrame:
-    """Bindings with ``token`` and, for topic patterns, ``regex``."""
-    unknown = bindings.where(F.col("exchange_type").isNull() | ~F.col("exchange_type").isin(*EXCHANGE_TYPES)).limit(1)
-    if not unknown.isEmpty():
+def _types(bindings: DataFrame) -> set[str]:
+    """The exchange types that occur: three at most, else an error."""
+    found = {r[0] for r in bindings.select("exchange_type").distinct().limit(len(EXCHANGE_TYPES) + 1).collect()}
+    if not found <= set(EXCHANGE_TYPES):
         raise TopologyError(f"an exchange type is none of {', '.join(EXCHANGE_TYPES)}")
-    words = key_word_list(F.col("routing_key"))
-    first, last = F.get(words, F.lit(0)), F.get(words, F.size(words) - 1)
-    topic = (
-        F.when(~F.array_contains(words, "#"), F.concat(F.lit("n:"), F.size(words).cast("string")))
-        .when(~first.isin("*", "#"), F.concat(F.lit("f:"), first))
-        .when(~last.isin("*", "#"), F.concat(F.lit("l:"), last))
-        .otherwise(F.lit("any:"))
-    )
-    is_topic = F.col("exchange_type") == TOPIC
-    return bindings.withColumn(
-        "token",
-        F.when(is_topic, topic).when(F.col("exchange_type") == DIRECT, F.concat(F.lit("d:"), "routing_key")).otherwise(F.lit("x:")),
-    ).withColumn("regex", F.when(is_topic, topic_regex_column(F.col("routing_key"))))
+    return found
+
+
+def _at(kind: str, place: Column, word: Column) -> Column:
+    """The token of a word at its place."""
+    return F.concat(F.lit(kind), place.cast("string"), F.lit(":"), word)
+
 
+def _signatures(pattern: Column) -> Column:
+    """Tokens of a topic pattern: every key that matches has all of them."""
+    words = key_word_list(pattern)
+    size, first = F.size(words), F.array_position(words, "#") - 1
+    last = F.size(words) - F.array_position(F.reverse(words), "#")
+    sized = F.concat(F.lit("n"), size.cast("string"), F.lit("@"))
 
-def _key_tokens(keys: DataFrame) -> DataFrame:
-    """``k_exchange, k_key`` and the other columns of ``keys``, once per token of the routing key."""
+    def token(word: Column, i: Column) -> Column:
+        place = (
+            F.when(first < 0, F.concat(sized, i.cast("string"), F.lit(":"), word))
+            .when(i < first, _at("p", i, word))
+            .when(i > last, _at("s", size - i, word))
+            .otherwise(F.concat(F.lit("w:"), word))
+        )
+        return F.when(~word.isin("*", "#"), place)
+
+    literal = F.filter(F.transform(words, token), lambda t: t.isNotNull())
+    return F.when(F.size(literal) > 0, literal).otherwise(F.array(F.when(first < 0, sized).otherwise(F.lit("any"))))
+
+
+def _key_tokens(keys: DataFrame, types: set[str]) -> DataFrame:
+    """``k_exchange, k_key, k_token`` and the other columns of ``keys``: once per token that a binding may have."""
     words = key_word_list(F.col("routing_key"))
-    tokens = F.array(
-        F.lit("x:"),
-        F.lit("any:"),
-        F.concat(F.lit("d:"), "routing_key"),
-        F.concat(F.lit("n:"), F.size(words).cast("string")),
-        F.concat(F.lit("f:"), F.get(words, F.lit(0))),
-        F.concat(F.lit("l:"), F.get(words, F.size(words) - 1)),
-    )
+    size = F.size(words)
+    sized = F.concat(F.lit("n"), size.cast("string"), F.lit("@"))
+    parts = [F.array().cast("array<string>")]
+    if FANOUT in types:
+        parts.append(F.array(F.lit("x:")))
+    if DIRECT in types:
+        parts.append(F.array(F.concat(F.lit("d:"), "routing_key")))
+    if TOPIC in types:
+        placed = [
+            F.transform(words, lambda w, i: F.concat(sized, i.cast("string"), F.lit(":"), w)),
+            F.transform(words, lambda w, i: _at("p", i, w)),
+            F.transform(words, lambda w, i: _at("s", size - i, w)),
+            F.array_distinct(F.transform(words, lambda w: F.concat(F.lit("w:"), w))),
+        ]
+        topic = F.concat(F.array(F.lit("any"), sized), *placed)
+        parts.append(F.coalesce(topic, F.array().cast("array<string>")))
     rest = [c for c in keys.columns if c not in ("exchange", "routing_key")]
-    return keys.select(
-        F.col("exchange").alias("k_exchange"), F.col("routing_key").alias("k_key"), *rest, F.explode(tokens).alias("k_token")
-    )
+    tokens = F.filter(F.concat(*parts), lambda t: t.isNotNull())
+    return keys.select(F.col("exchange").alias("k_exchange"), F.col("routing_key").alias("k_key"), *rest, F.explode(tokens).alias("k_token"))
+
+
+def _topic_tokens(bindings: DataFrame, k: DataFrame) -> DataFrame:
+    """Topic bindings with ``token``: of their signatures that which the fewest keys have; those no key has are left out."""
+    names = bindings.columns
+    each = bindings.distinct().withColumn("token", F.explode(_signatures(F.col("routing_key"))))
+    asked = each.select(F.col("exchange").alias("k_exchange"), F.col("token").alias("k_token")).distinct()
+    counts = k.join(asked, ["k_exchange", "k_token"], "left_semi").groupBy("k_exchange", "k_token").agg(F.count(F.lit(1)).alias("__keys"))
+    known = each.join(counts, (F.col("exchange") == F.col("k_exchange")) & (F.col("token") == F.col("k_token")), "left")
+    rarest = F.min(F.struct(F.coalesce("__keys", F.lit(0)).alias("keys"), F.col("token").alias("token"))).alias("rarest")
+    # bindings of whatever columns, some of them null
+    chosen = known.groupBy(*names).agg(rarest).where(F.col("rarest.keys") > 0)
+    return chosen.select(*names, F.col("rarest.token").alias("token"))
+
+
+def _candidates(keys: DataFrame, bindings: DataFrame) -> DataFrame:
+    """Pairs of keys and bindings with a common token, with the binding's ``regex`` if it is a pattern."""
+    types = _types(bindings)
+    k = _key_tokens(keys, types)
+    is_topic = F.col("exchange_type") == TOPIC
+    named = (F.col("exchange_type") == FANOUT) | F.col("routing_key").isNotNull()
+    plain = F.when(F.col("exchange_type") == DIRECT, F.concat(F.lit("d:"), "routing_key")).otherwise(F.lit("x:"))
+    b = bindings.where(named & ~is_topic).withColumn("token", plain).withColumn("regex", F.lit(None).cast("string"))
+    if TOPIC in types:
+        topic = _topic_tokens(bindings.where(named & is_topic), k)
+        b = b.unionByName(topic.withColumn("regex", topic_regex_column(F.col("routing_key"))))
+    return k.join(b, (F.col("k_exchange") == F.col("exchange")) & (F.col("k_token") == F.col("token")))
 
 
 def _matched(keys: DataFrame, bindings: DataFrame) -> DataFrame:
     """Every (key, binding) pair that matches; a null routing key matches fanout bindings only."""
-    k, b = _key_tokens(keys), _binding_tokens(bindings)
-    b = b.where((F.col("exchange_type") == FANOUT) | F.col("routing_key").isNotNull())
     fits = F.col("regex").isNull() | F.coalesce(F.rlike(topic_key_words(F.col("k_key")), F.col("regex")), F.lit(False))
-    return k.join(b, (F.col("k_exchange") == F.col("exchange")) & (F.col("k_token") == F.col("token"))).where(fits)
+    return _candidates(keys, bindings).where(fits)
 
 
 def resolve_routes(keys: DataFrame, bindings: DataFrame) -> DataFrame:
