@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mqtable.functions.time import batch_index, floor_div
-from mqtable.operators.ordering import join_on, ordinal
+from mqtable.operators.ordering import group_key, join_on, ordinal
 from mqtable.options import DEFAULT_LEVEL_PARALLELISM
 
 TAG_BUCKET = 1 << 20  # delivery tags per numbering bucket (bounds one task's rows)
@@ -130,6 +130,29 @@ def backlog(batches: DataFrame, cap: int) -> DataFrame:
     ).drop("__s")
 
 
+def delivery_batches(m: DataFrame, cap: int | Column, batch_col: str = "batch_id") -> DataFrame:
+    """W7 per message: ``delivery_batch``, in which a queue that delivers at most ``cap`` messages a batch, in tag
+    order, delivers each one; ``m`` has its arrival batch and dense tags.
+
+    Number the places of all batches, ``cap`` a batch: a message takes its own batch's first place or the
+    one after its predecessor's, whichever is later.  So its place is its position plus the running maximum of
+    (first place - position), which needs no iteration.  The maxima are taken per (queue, ``TAG_BUCKET`` tags);
+    those of earlier buckets come from a row a bucket.
+    """
+    cap = cap if isinstance(cap, Column) else F.lit(cap)
+    position = F.col("delivery_tag") - 1
+    d = m.withColumn("__cap", cap.cast("long")).withColumn("__bucket", floor_div("delivery_tag", F.lit(TAG_BUCKET)))
+    d = d.withColumn("__lead", F.col(batch_col) * F.col("__cap") - position).withColumn("__key", group_key("queue", "__bucket"))
+    earlier = Window.partitionBy("queue").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = d.groupBy("__key", "queue", "__bucket").agg(F.max("__lead").alias("__most"))
+    buckets = buckets.select(F.col("__key").alias("__okey"), F.max("__most").over(earlier).alias("__before"))
+    d = d.join(buckets, d["__key"] == buckets["__okey"], "left")
+    upto = Window.partitionBy("__key").orderBy("delivery_tag").rowsBetween(Window.unboundedPreceding, 0)
+    place = F.greatest("__before", F.max("__lead").over(upto)) + position
+    out = d.withColumn("delivery_batch", floor_div(place, F.col("__cap")))
+    return out.drop("__cap", "__bucket", "__lead", "__key", "__okey", "__before")
+
+
 def remember_batches(batches: DataFrame, keep: int) -> DataFrame:
     """The last ``keep`` batches (those a stream still remembers)."""
     last = batches.select(F.max("batch_id")).scalar()

@@ -41,6 +41,7 @@ TAKE_N = 25
 CAP = 10
 STREAM_PARALLELISM = 2
 BACKLOG_CAP = 14
+QUEUE_CAP = 3
 RATE_SLIDE_MS = 1_000
 RATE_PARTITIONS = 6
 RATE_USER_CAP = 10
@@ -194,6 +195,12 @@ def q_backlog(spark, sf):
     return admission.backlog(_batches(spark, sf), BACKLOG_CAP)
 
 
+def q_backlog_messages(spark, sf):
+    """W7 per message: when each arrives and in which batch its queue delivers it under a cap."""
+    delivered = admission.delivery_batches(_hourly(_m(spark, sf)), QUEUE_CAP)
+    return delivered.select("queue", "message_id", F.col("batch_id").alias("arrival_batch"), "delivery_batch")
+
+
 def q_remember_batches(spark, sf):
     keep = QueueOptions({"rememberDuration": str(REMEMBER_S)}).remember_batches(SLIDE_MS)
     return admission.remember_batches(_batches(spark, sf), keep)
@@ -445,6 +452,7 @@ QUERIES: dict[str, Query] = {
     "tumbling_counts": q_tumbling_counts,
     "rate_cap": q_rate_cap,
     "backlog": q_backlog,
+    "backlog_messages": q_backlog_messages,
     "remember_batches": q_remember_batches,
     "ack_disposition": q_ack_disposition,
     "redelivery": q_redelivery,

@@ -182,6 +182,14 @@ FROM (SELECT batch_id, CASE WHEN lag(batch_id) OVER w = batch_id - 1 THEN lag(n)
     "backlog": _w(M, BATCHES)
     + """SELECT batch_id, n, CAST(s - least(0, min(s) OVER (ORDER BY batch_id ROWS UNBOUNDED PRECEDING)) AS BIGINT) AS backlog
 FROM (SELECT batch_id, n, sum(n - 14) OVER (ORDER BY batch_id ROWS UNBOUNDED PRECEDING) AS s FROM d)""",
+    "backlog_messages": "WITH RECURSIVE " + M.lstrip() + rf""",
+a AS (SELECT queue, message_id, delivery_tag, {HB} AS batch_id FROM m),
+r(queue, delivery_tag, message_id, batch_id, place) AS (
+  SELECT queue, delivery_tag, message_id, batch_id, batch_id * 3 FROM a WHERE delivery_tag = 1
+  UNION ALL
+  SELECT a.queue, a.delivery_tag, a.message_id, a.batch_id, greatest(a.batch_id * 3, r.place + 1)
+  FROM r JOIN a ON a.queue = r.queue AND a.delivery_tag = r.delivery_tag + 1)
+SELECT queue, message_id, batch_id AS arrival_batch, CAST(place // 3 AS BIGINT) AS delivery_batch FROM r""",
     "remember_batches": _w(M, BATCHES)
     + "SELECT batch_id, n FROM d WHERE batch_id > (SELECT max(batch_id) FROM d) - 8",
     "ack_disposition": _w(M)

@@ -12,7 +12,7 @@ from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from mqtable.options import QueueOptions
 
@@ -159,6 +159,56 @@ def progress_counts(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     return df.withColumn("reported_n", F.lag("n").over(Window.orderBy("batch_id")))
 
 
+PROGRESS_SCHEMA = "query_id string, batch_id long, n long, batch_ms long, at string"
+
+
+class ProgressLog(StreamingQueryListener):
+    """A6 (live): keeps every progress report of the session's streams as a small file below ``folder``.
+
+    ``spark.streams.addListener(ProgressLog(spark, folder))`` before the streams start.  A file is named by
+    query and batch, so a batch that is reported again after a restart replaces its report.  Only reports are
+    written, no job is run."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        from mqtable.sources.messagelog import ensure_dir
+
+        self.spark, self.folder = spark, folder.rstrip("/")
+        ensure_dir(spark, self.folder)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        import json
+
+        from mqtable.sources.messagelog import _fs
+
+        p = event.progress
+        row = {"query_id": str(p.id), "batch_id": p.batchId, "n": p.numInputRows, "batch_ms": p.batchDuration, "at": p.timestamp}
+        fs, path = _fs(self.spark, f"{self.folder}/{p.id}-{p.batchId}.json")
+        out = fs.create(path, True)
+        try:
+            out.write(bytearray(json.dumps(row).encode()))
+        finally:
+            out.close()
+
+
+def logged_progress(spark: SparkSession, folder: str, query_id: str | None = None) -> DataFrame:
+    """``query_id, batch_id, n, batch_ms, at`` of all reports kept, with the count a batch reports (the previous one's)."""
+    from pyspark.sql import Window
+
+    rows = spark.read.schema(PROGRESS_SCHEMA).json(folder)
+    if query_id is not None:
+        rows = rows.where(F.col("query_id") == str(query_id))
+    return rows.withColumn("reported_n", F.lag("n").over(Window.partitionBy("query_id").orderBy("batch_id")))
+
+
 def print_stream(stream: DataFrame, rows: int = 20, processing_time: str = "1 second") -> StreamingQuery:
     """K3: print every micro-batch to the console."""
     return (

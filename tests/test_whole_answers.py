@@ -160,3 +160,45 @@ def test_caps_are_never_ignored(spark):
         api.create_distributed_stream(spark, "x", [SourceKey("a", options={"maxMessagesPerPartition": "2"})], {})
     with pytest.raises(ValueError):
         capped.CappedStream(spark, "x", "y", [SourceKey("a")], {"maxMessagesPerPartition": "0"})
+
+
+def test_every_report_is_kept(spark):
+    log, sink, ck, reports = (scratch_path(spark, x) for x in ("w-log", "w-sink", "w-ck", "w-reports"))
+    messagelog.publish(spark, _reference_messages(spark, 120, "q"), log, 0, 10)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    listener = consumer.ProgressLog(spark, reports)
+    spark.streams.addListener(listener)
+    try:
+        q = consumer.run_counts(messagelog.stream_log(spark, log, max_files_per_trigger=1), sink, ck, timeout_s=120)
+        deadline = time.time() + 20
+        while consumer.logged_progress(spark, reports, q.id).where("n > 0").count() < 12 and time.time() < deadline:
+            time.sleep(0.5)
+    finally:
+        spark.streams.removeListener(listener)
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    rows = consumer.logged_progress(spark, reports, q.id).where("n > 0").orderBy("batch_id").collect()
+    assert len(q.recentProgress) <= 3 and [r.batch_id for r in rows] == list(range(12)) and sum(r.n for r in rows) == 120
+    assert [r.reported_n for r in rows] == [None, *(r.n for r in rows[:-1])]
+
+
+@pytest.mark.parametrize("cap", [1, 3, 100])
+def test_delivery_batches_against_iteration(spark, monkeypatch, cap):
+    import random
+
+    from mqtable.operators import admission
+
+    monkeypatch.setattr(admission, "TAG_BUCKET", 7)
+    rnd, rows, want = random.Random(cap), [], {}
+    for queue, n in (("hot", 90), ("q", 11), (None, 5)):
+        batch, taken, at = 0, {}, 0
+        for tag in range(1, n + 1):
+            batch += rnd.choice([0, 0, 0, 0, 1, 2, -1 if batch else 0])
+            at = max(at, batch)
+            while taken.get(at, 0) >= cap:
+                at += 1
+            taken[at] = taken.get(at, 0) + 1
+            rows.append((queue, tag, batch))
+            want[queue, tag] = at
+    m = spark.createDataFrame(rows, "queue string, delivery_tag long, batch_id long")
+    got = admission.delivery_batches(m, cap).collect()
+    assert {(r.queue, r.delivery_tag): r.delivery_batch for r in got} == want and len(got) == len(rows)
