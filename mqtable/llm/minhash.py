@@ -37,6 +37,8 @@ SYMBOLS, BITS = 64, 16
 CHUNK_ERRORS, MISS = 1, 1e-6
 #: Classes and bytes of sets that one task takes of a group.
 GROUP_ROWS, GROUP_BYTES = 512, 16 << 20
+#: Parts that a group's rows are dealt to where they meet its facts.
+SALTS = 64
 #: Distinct words whose hashes a worker keeps.
 CACHE_WORDS = 1 << 18
 SEED = 42
@@ -252,13 +254,20 @@ def _search(grouped: DataFrame, percent: int) -> DataFrame:
     return map_arrow(rows.repartition(n, *keys).sortWithinPartitions(*keys, "c"), _linked(percent), "u long, v long")
 
 
+def _by_leader(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    """Left join with one row per large group; a group's rows are dealt to many tasks."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(F.lit("salt"), "c"), F.lit(SALTS)).cast("int"))
+    return salted.join(facts.select("*", salts), ["leader", "salt"], "left").drop("salt")
+
+
 def near_links(found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Edges ``u, v`` that connect exactly the similar classes within the groups of ``found(leader, c)``."""
     sizes = found.join(sets.select("c", F.octet_length("shingles").alias("bytes")), "c").groupBy("leader").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / GROUP_ROWS), F.ceil(F.sum("bytes") / GROUP_BYTES)).cast("int").alias("m")
     )
     own = F.pmod(F.xxhash64("c"), F.col("m")).cast("int")
-    placed = found.join(sizes, "leader").withColumn("own", own)
+    placed = _by_leader(found, sizes.where("m > 1")).withColumn("m", F.coalesce("m", F.lit(1))).withColumn("own", own)
     leads = F.col("c") == F.col("leader")
     # the leader goes to every chunk of its group
     chunks = F.explode(F.when(leads, F.sequence(F.lit(0), F.col("m") - 1)).otherwise(F.array("own")))
@@ -272,7 +281,7 @@ def near_links(found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     within = cut.join(nodes.withColumnRenamed("node", "c"), "c", "left").withColumn("component", F.coalesce("component", "c"))
     counts = within.groupBy("leader", "component").agg(F.count(F.lit(1)).alias("n"))
     main = counts.groupBy("leader").agg(F.max(F.struct("n", "component"))["component"].alias("main"))
-    within = materialize(within.join(main, "leader").withColumn("apart", F.col("component") != F.col("main")), "minhash-within")
+    within = materialize(_by_leader(within, main).withColumn("apart", F.col("component") != F.col("main")), "minhash-within")
     open_ = within.groupBy("leader", F.col("own").alias("i")).agg(F.max("apart").alias("any")).where("any").drop("any")
 
     # classes apart of chunk i ask all of chunk j; those apart of j ask i in the pair the other way round
