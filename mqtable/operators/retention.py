@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mqtable.functions.time import MS, epoch_micros, floor_div
 from mqtable.operators.ordering import gap_sessions, join_on, newest_within, ordinal
+from mqtable.operators.routing import resolve_routes
+from mqtable.session import scratch_path
 
 SECOND_US, HOUR_US = 1_000 * MS, 3_600_000 * MS
 TAG_BUCKET = 1 << 20
@@ -81,6 +85,59 @@ def dead_lettered(m: DataFrame, policies: DataFrame, as_of: Column | None = None
     )
 
 
+def dead_letter_hops(m: DataFrame, policies: DataFrame, bindings: DataFrame, as_of: Column) -> DataFrame:
+    """Q4/Q5 over several hops: ``message_id, hop, queue, reason, to_queue, cycle``, a row per dead letter and queue it is
+    routed to (NULL: none).
+
+    A dead letter enters the queues that its dead-letter exchange binds, where it meets the messages there and
+    the queue's own policies, until none moves.  It is dropped, with ``cycle``, from a queue it has been in
+    before, so a message makes at most as many hops as there are queues.  An expired message enters at the time
+    it expired, one over a limit keeps its time.  Each hop is written to the shared folder: what stays
+    and what moved; the next hop reads only the queues that something entered.
+    """
+    spark = m.sparkSession
+    folder = scratch_path(spark, "dead-letter-hops")
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    columns = ["message_id", "queue", "routing_key", "body", "published_at", "path"]
+    entered = m.withColumn("path", F.array("queue")).select(*columns)
+    stayed, letters, hop = None, [], 0
+    expiry = F.timestamp_add("MILLISECOND", F.col("message_ttl_ms").cast("long"), F.col("published_at"))
+    newest = [F.col("published_at").desc(), F.col("message_id").desc(), F.array_join("path", "/").desc()]
+    while True:
+        there = entered
+        if stayed is not None:
+            there = there.unionByName(join_on(stayed, entered.select("queue").distinct(), ["queue"], how="left_semi"))
+        there = kept(join_on(there, policies, ["queue"]), f"there-{hop}")
+        dead = F.coalesce(is_expired(F.col("message_ttl_ms"), as_of), F.lit(False))
+        expired = there.where(dead).withColumn("reason", F.lit(EXPIRED)).withColumn("published_at", expiry)
+        budgets = [(F.lit(1), F.col("max_length")), (_body_bytes(), F.col("max_length_bytes"))]
+        live = there.where(~dead)
+        over = newest_within(live, ["queue"], _recency_bucket(SECOND_US), newest, budgets, False).withColumn("reason", F.lit(MAXLEN))
+        moved = expired.unionByName(over).withColumn("exchange", F.col("dead_letter_exchange"))
+        moved = moved.withColumn("routing_key", F.coalesce("dead_letter_routing_key", "routing_key"))
+        routes = resolve_routes(moved.where("exchange IS NOT NULL"), bindings)
+        routed = join_on(moved, routes, ["exchange", "routing_key"], how="left").withColumn("hop", F.lit(hop))
+        cycle = F.coalesce(F.array_contains("path", F.col("bound_queue")), F.lit(False))
+        routed = kept(routed.withColumn("cycle", cycle).select(*columns, "hop", "reason", "bound_queue", "cycle"), f"moved-{hop}")
+        letters.append(routed)
+        # a path names a message's place in a queue
+        left = join_on(live, routed.select("message_id", "path").distinct(), ["message_id", "path"], how="left_anti").select(*columns)
+        # what was not looked at this time stays too
+        quiet = None if stayed is None else join_on(stayed, entered.select("queue").distinct(), ["queue"], how="left_anti")
+        entered = routed.where("bound_queue IS NOT NULL AND NOT cycle").withColumn("path", F.concat("path", F.array("bound_queue")))
+        entered = entered.withColumn("queue", F.col("bound_queue")).select(*columns)
+        if entered.isEmpty():
+            break
+        stayed = kept(left if quiet is None else left.unionByName(quiet), f"stayed-{hop}")
+        hop += 1
+    events = reduce(DataFrame.unionByName, letters)
+    return events.select("message_id", "hop", "queue", "reason", F.col("bound_queue").alias("to_queue"), "cycle")
+
+
 def priority_positions(m: DataFrame, max_priority, batch_col: str = "batch_id") -> DataFrame:
     """Q6: delivery position inside each (batch, queue): higher effective priority
     first (``least(coalesce(priority, 0), max)``), then arrival order."""

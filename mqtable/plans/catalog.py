@@ -21,6 +21,8 @@ from mqtable.sources.fixtures import (
     TAG_BUCKET_IDS,
     bindings_table,
     dead_bindings_table,
+    hop_bindings_table,
+    hop_policies_table,
     message_view,
     policies_table,
     sources_table,
@@ -252,6 +254,14 @@ def q_dead_letter_routed(spark, sf):
     return routed.select("bound_queue", "message_id", "reason")
 
 
+def q_dead_letter_hops(spark, sf):
+    """Q4/Q5 through queues that dead-letter in turn, with a cycle."""
+    m = _m(spark, sf, False)
+    as_of = retention.latest_publish(m)
+    hops = retention.dead_letter_hops(m, hop_policies_table(spark), hop_bindings_table(spark), as_of)
+    return hops.select("message_id", "hop", "queue", "reason", "to_queue", "cycle")
+
+
 def q_priority_order(spark, sf):
     m = admission.with_batch(_m(spark, sf), DAY_MS)
     return retention.priority_positions(m, MAX_PRIORITY).select("batch_id", "queue", "pos", "message_id")
@@ -463,6 +473,7 @@ QUERIES: dict[str, Query] = {
     "dead_letter": q_dead_letter,
     "dead_letter_key": q_dead_letter_key,
     "dead_letter_routed": q_dead_letter_routed,
+    "dead_letter_hops": q_dead_letter_hops,
     "priority_order": q_priority_order,
     "queue_leases": q_queue_leases,
     "publish_messages": q_publish_messages,

@@ -79,6 +79,32 @@ dead AS (
 )"""
 
 
+def _hops(n: int) -> str:
+    """The rounds of dead-lettering written out: what is in the queues, what leaves them, where it goes."""
+    rounds = ["""
+p(queue, max_length, ttl, dlx, dlrk) AS (VALUES
+  ('click', 100, NULL, 'dlx', 'hop.one'), ('error', NULL, 86400000, 'dlx', NULL), ('first', 400, NULL, 'dlx', 'hop.two'),
+  ('second', NULL, 604800000, 'dlx', 'hop.three'), ('third', 50, NULL, 'dlx', 'hop.one'), ('view', 1000, NULL, 'dlx', 'nowhere'),
+  ('signup', NULL, NULL, NULL, NULL), ('purchase', 500, NULL, NULL, NULL)),
+b(to_queue, rx) AS (VALUES ('first', '^hop[.]one$'), ('first', '^events[.]error([.].*)?$'), ('second', '^hop[.]two$'), ('third', '^hop[.]three$')),
+now AS (SELECT epoch_us(max(published_at)) AS us FROM m),
+in0 AS (SELECT message_id, queue, routing_key, epoch_us(published_at) AS us, queue AS path FROM m)"""]
+    for h in range(n):
+        rounds.append(f"""
+x{h} AS (SELECT i.*, p.* EXCLUDE (queue), coalesce(i.us + CAST(ttl AS BIGINT) * 1000 <= (SELECT us FROM now), false) AS expired FROM in{h} i JOIN p USING (queue)),
+y{h} AS (SELECT *, row_number() OVER (PARTITION BY queue, expired ORDER BY us DESC, message_id DESC, path DESC) AS rn FROM x{h}),
+dead{h} AS (SELECT message_id, queue, path, dlx, coalesce(dlrk, routing_key) AS routing_key,
+    CASE WHEN expired THEN us + CAST(ttl AS BIGINT) * 1000 ELSE us END AS us, CASE WHEN expired THEN 'expired' ELSE 'maxlen' END AS reason
+  FROM y{h} WHERE expired OR rn > max_length),
+out{h} AS (SELECT d.*, r.to_queue, coalesce(list_contains(string_split(path, '/'), r.to_queue), false) AS cycle
+  FROM dead{h} d LEFT JOIN (SELECT DISTINCT k.routing_key, b.to_queue FROM (SELECT DISTINCT routing_key FROM dead{h}) k
+    JOIN b ON regexp_matches(k.routing_key, b.rx)) r ON d.dlx IS NOT NULL AND r.routing_key = d.routing_key),
+in{h + 1} AS (SELECT message_id, queue, routing_key, us, path FROM y{h} WHERE NOT expired AND (max_length IS NULL OR rn <= max_length)
+  UNION ALL SELECT message_id, to_queue, routing_key, us, path || '/' || to_queue FROM out{h} WHERE to_queue IS NOT NULL AND NOT cycle)""")
+    union = " UNION ALL ".join(f"SELECT message_id, CAST({h} AS INT) AS hop, queue, reason, to_queue, cycle FROM out{h}" for h in range(n))
+    return _w(M, *rounds) + union
+
+
 def _w(*ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n"
 
@@ -231,6 +257,7 @@ WHERE epoch_us(published_at) + CAST(86400000 AS BIGINT) * 1000 > (SELECT epoch_u
     + """SELECT 'dead_all' AS bound_queue, message_id, reason FROM dead WHERE dlx IS NOT NULL
 UNION ALL
 SELECT 'dead_clicks', message_id, reason FROM dead WHERE dlx IS NOT NULL AND coalesce(dlrk, routing_key) = 'dead.click'""",
+    "dead_letter_hops": _hops(6),
     "priority_order": _w(M)
     + f"""SELECT {DB} AS batch_id, queue,
        row_number() OVER (PARTITION BY {DB}, queue

@@ -88,6 +88,24 @@ DEAD_BINDINGS = [
     ("dead_clicks", "dlx", "direct", "dead.click"),
 ]
 
+# queues that pass dead letters on: first -> second -> third -> first
+HOP_POLICIES = [
+    ("click", 100, None, None, None, "dlx", "hop.one", None),
+    ("error", None, 86400000, None, None, "dlx", None, None),
+    ("first", 400, None, None, None, "dlx", "hop.two", None),
+    ("second", None, 604800000, None, None, "dlx", "hop.three", None),
+    ("third", 50, None, None, None, "dlx", "hop.one", None),
+    ("view", 1000, None, None, None, "dlx", "nowhere", None),
+    ("signup", None, None, None, None, None, None, None),
+    ("purchase", 500, None, None, None, None, None, None),
+]
+HOP_BINDINGS = [
+    ("first", "dlx", "direct", "hop.one"),
+    ("first", "dlx", "topic", "events.error.#"),
+    ("second", "dlx", "direct", "hop.two"),
+    ("third", "dlx", "direct", "hop.three"),
+]
+
 SOURCES = [
     (0, "click", "events", "topic", "events.click.*,#.u1", {"levelParallelism": "2"}),
     (1, "error", "events", None, "events.error.#", {}),
@@ -116,6 +134,14 @@ def dead_bindings_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(DEAD_BINDINGS, BINDING_SCHEMA)
 
 
+def hop_policies_table(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(HOP_POLICIES, POLICY_SCHEMA)
+
+
+def hop_bindings_table(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(HOP_BINDINGS, BINDING_SCHEMA)
+
+
 def sources_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(SOURCES, SOURCE_SCHEMA)
 
