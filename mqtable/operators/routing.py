@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from mqtable.functions.topic import key_word_list, topic_key_words, topic_regex_column
 from mqtable.operators.ordering import join_on
+from mqtable.session import scratch_path
 
 DIRECT, FANOUT, TOPIC = "direct", "fanout", "topic"
 EXCHANGE_TYPES = (DIRECT, FANOUT, TOPIC)
@@ -107,7 +108,9 @@ def _key_tokens(keys: DataFrame, types: set[str]) -> DataFrame:
 
 
 def _topic_tokens(bindings: DataFrame, k: DataFrame) -> DataFrame:
-    """Topic bindings with ``token``: of their signatures that which the fewest keys have; those no key has are left out."""
+    """Topic bindings with ``token``: of their signatures that which the fewest keys have; those no key has are left out.
+
+    The choice is written to the shared folder, so that Spark knows its size when it joins it with the keys."""
     names = bindings.columns
     each = bindings.distinct().withColumn("token", F.explode(_signatures(F.col("routing_key"))))
     asked = each.select(F.col("exchange").alias("k_exchange"), F.col("token").alias("k_token")).distinct()
@@ -116,7 +119,10 @@ def _topic_tokens(bindings: DataFrame, k: DataFrame) -> DataFrame:
     rarest = F.min(F.struct(F.coalesce("__keys", F.lit(0)).alias("keys"), F.col("token").alias("token"))).alias("rarest")
     # bindings of whatever columns, some of them null
     chosen = known.groupBy(*names).agg(rarest).where(F.col("rarest.keys") > 0)
-    return chosen.select(*names, F.col("rarest.token").alias("token"))
+    chosen = chosen.select(*names, F.col("rarest.token").alias("token"))
+    path = scratch_path(chosen.sparkSession, "topic-tokens")
+    chosen.write.parquet(path)
+    return chosen.sparkSession.read.schema(chosen.schema).parquet(path)
 
 
 def _candidates(keys: DataFrame, bindings: DataFrame) -> DataFrame:
