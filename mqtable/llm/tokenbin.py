@@ -14,7 +14,8 @@ from __future__ import annotations
 import array
 import re
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -24,82 +25,130 @@ from mqtable.llm.common import known_id, map_arrow, materialize, open_fs, shown_
 from mqtable.session import scratch_path
 
 MAGIC = b"TOKENIDX"
-#: Entries that each of a worker's two caches of encoded pieces holds at most: some 60 MB.
-CACHE_ENTRIES = 1 << 18
-#: Bytes of ids that are written or returned at a time.
+#: Parts that a worker's cache holds about, in two generations: some 100 MB.
+CACHE_ENTRIES = 1 << 20
+#: Bytes of ids that are returned at a time, about.
 CHUNK_BYTES = 4 << 20
 
+#: Characters of text whose parts are looked up at once, and the longest part that stays in the cache.
+CHUNK_CHARS, CACHED_CHARS = 1 << 21, 64
+
 # Texts of these characters alone take the cached path; any other goes to the tokenizer whole.
 _UNUSUAL = re.compile("[^\t\n\x20-\x7e\xa1-ɏ]")
 # A space between white space would belong to a longer run than the cached path can see.
 _RUNS = re.compile(r"  |\s \s")
-
-
-def _byte_letters() -> dict[int, str]:
-    """The printable stand-ins of byte-level vocabularies: printable Latin-1 bytes are themselves."""
-    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in set(own)]
-    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
-
-
-class _Cached(dict):
-    """A mapping that computes what it misses.
-
-    When half the entries are new, they become the old generation, so pieces that come back often
-    are never computed again.
-    """
-
-    def __init__(self, compute: Callable[[str], bytes]):
-        super().__init__()
-        self.compute = compute
-        self.old: dict[str, bytes] = {}
-
-    def __missing__(self, key: str) -> bytes:
-        value = self.old.get(key)
-        if value is None:
-            value = self.compute(key)
-        if len(self) >= CACHE_ENTRIES // 2:
-            self.old = dict(self)
-            self.clear()
-        self[key] = value
-        return value
+_WHITE = re.compile(r"\s")
+# Marks at the end of a word are always a piece of their own (an apostrophe may not be).
+MARKS = ".,;:!?)"
 
 
 class Encoder:
-    """Ids of a text as packed integers, equal to ``Tokenizer.encode(text, add_special_tokens=False)``.
+    """Ids of texts as packed integers, equal to ``Tokenizer.encode(text, add_special_tokens=False)``.
 
-    For a byte-level BPE without a normalizer, pieces of the pre-tokenizer's pattern are encoded
-    independently; the tokenizer's model encodes each distinct piece once per worker.
+    For a byte-level BPE without a normalizer, the parts of a text between single spaces are encoded
+    independently.  A cache holds the parts that came up lately; what a chunk of texts asks for beyond it is
+    cut into words and marks, and the new words are joined to one text that one call of the library
+    encodes.  Only the first token of a word begins with its space, which cuts the result apart again.
     """
 
     def __init__(self, path: str):
-        import regex
         from tokenizers import Tokenizer
 
-        import public_tokenizers
-
         self.tokenizer = Tokenizer.from_file(path)
-        self.code = "H" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "I"
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.code = "H" if len(vocabulary) <= 1 << 16 else "I"
         self.special = [str(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.plain = self.tokenizer.normalizer is None and '"ByteLevel"' in str(self.tokenizer.pre_tokenizer.__getstate__())
-        letters, model = _byte_letters(), self.tokenizer.model
-        split = regex.compile(public_tokenizers.PATTERN).findall
-
-        def piece(text: str) -> bytes:
-            return self.pack([t.id for t in model.tokenize(text.encode().decode("latin-1").translate(letters))])
-
-        pieces = _Cached(piece)
-        self.first = lambda text: b"".join(map(pieces.__getitem__, split(text)))
-        self.later = _Cached(lambda text: self.first(" " + text))
+        kind = str(self.tokenizer.pre_tokenizer.__getstate__())
+        self.plain = self.tokenizer.normalizer is None and '"ByteLevel"' in kind and '"use_regex":true' in kind
+        # byte-level vocabularies write a space and a line feed as these letters
+        self.spaced, self.feed = np.zeros(max(vocabulary.values()) + 1, bool), vocabulary.get("\u010a")
+        self.spaced[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
+        self.now: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
     def pack(self, ids: list[int]) -> bytes:
         return array.array(self.code, ids).tobytes()
 
-    def __call__(self, text: str) -> bytes:
+    def whole(self, text: str) -> bytes:
+        return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _parts(self, text: str) -> list[str] | None:
+        """The parts of a text, all but the first after a space, or None for a text that must be encoded whole."""
         if not self.plain or _UNUSUAL.search(text) or _RUNS.search(text) or any(s in text for s in self.special):
-            return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        first, *later = text.split(" ")
-        return self.first(first) + b"".join(map(self.later.__getitem__, later))
+            return None
+        return text.split(" ")
+
+    def _joined(self, words: list[str], sep: str) -> Iterator[bytes]:
+        """The ids of every word: with its space before it, or, for ``sep`` a line feed, of the word alone."""
+        ids = np.array(self.tokenizer.encode(sep + sep.join(words), add_special_tokens=False).ids, "<u2" if self.code == "H" else "<u4")
+        flat, step = ids.tobytes(), ids.itemsize
+        at = (np.flatnonzero(self.spaced[ids] if sep == " " else ids == self.feed) * step).tolist()
+        skip = 0 if sep == " " else step
+        return (flat[lo + skip : hi] for lo, hi in zip(at, [*at[1:], len(flat)]))
+
+    def _mark(self, marks: str) -> bytes:
+        if marks not in self.marks:
+            if len(self.marks) >= 1 << 12:
+                self.marks.clear()
+            self.marks[marks] = self.whole(marks)
+        return self.marks[marks]
+
+    def _learn(self, parts: set[str]) -> set[str]:
+        """Put the ids of " " + part into the cache for all ``parts``; returns what should not stay there."""
+        now, old = self.now, self.old
+        missing = parts - now.keys()
+        again = missing & old.keys()
+        now.update((p, old[p]) for p in again)
+        missing -= again
+        words, marked, broken = [], [], []
+        for p in missing:
+            if p.isalpha():
+                words.append(p)
+            elif (word := p.rstrip(MARKS)).isalpha():
+                marked.append((p, word))
+            elif not _WHITE.search(p) and p:
+                words.append(p)
+            else:
+                above, feed, below = p.partition("\n")
+                if feed and above and below and not _WHITE.search(above) and not _WHITE.search(below):
+                    broken.append((p, above, below))
+                else:
+                    now[p] = self.whole(" " + p)
+        # a line break stands alone between its two words
+        extra = {above for _, above, _ in broken}
+        extra.update(word for _, word in marked)
+        extra -= now.keys()
+        extra.difference_update(words)
+        words.extend(extra)
+        if words:
+            now.update(zip(words, self._joined(words, " ")))
+        for p, word in marked:
+            now[p] = now[word] + self._mark(p[len(word) :])
+        if broken:
+            below = list({b for _, _, b in broken})
+            bare, feed = dict(zip(below, self._joined(below, "\n"))), self.pack([self.feed])
+            now.update((p, now[a] + feed + bare[b]) for p, a, b in broken)
+        return {p for p in chain(missing, extra) if len(p) > CACHED_CHARS}
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The packed ids of every text."""
+        split = [self._parts(text) for text in texts]
+        brief = self._learn(set(chain.from_iterable(parts[1:] for parts in split if parts)))
+        found, join = self.now.__getitem__, b"".join
+        out = [
+            self.whole(text) if parts is None else self.whole(parts[0]) + join(map(found, parts[1:]))
+            for text, parts in zip(texts, split)
+        ]
+        for p in brief:
+            self.now.pop(p, None)
+        if len(self.now) >= CACHE_ENTRIES // 2:
+            # what the old generation holds is taken over when it is asked for, else it goes
+            self.old, self.now = self.now, {}
+        return out
+
+    def __call__(self, text: str) -> bytes:
+        return self.encode([text])[0]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -112,13 +161,25 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def _chunks(column) -> Iterator[list[str]]:
+    """Texts of a column, as many at a time as have ``CHUNK_CHARS``, at least one."""
+    held, size = [], 0
+    for text in column:
+        held.append(text.as_py())
+        size += len(held[-1])
+        if size >= CHUNK_CHARS:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def _writer(folder: str, tokenizer_path: str, end_id: int):
     def write(batches: Iterator) -> Iterator:
         import pyarrow as pa
         from pyspark import TaskContext
 
-        encode = encoder(tokenizer_path)
-        end = encode.pack([end_id])
+        end = encoder(tokenizer_path).pack([end_id])
         width = len(end)
         store, root = open_fs(folder)
         store.create_dir(root, recursive=True)
@@ -127,18 +188,12 @@ def _writer(folder: str, tokenizer_path: str, end_id: int):
         with store.open_output_stream(f"{root}/{name}.bin", compression=None) as out:
             for batch in batches:
                 ids.extend(batch.column("id").to_pylist())
-                held: list[bytes] = []
-                size = 0
-                for text in batch.column("text"):
-                    packed = encode(text.as_py()) + end
-                    held.append(packed)
-                    size += len(packed)
-                    total += len(packed) // width
-                    ends.append(total)
-                    if size >= CHUNK_BYTES:
-                        out.write(b"".join(held))
-                        held, size = [], 0
-                out.write(b"".join(held))
+                for texts in _chunks(batch.column("text")):
+                    for packed in encoder(tokenizer_path).encode(texts):
+                        out.write(packed)
+                        out.write(end)
+                        total += len(packed) // width + 1
+                        ends.append(total)
         with store.open_output_stream(f"{root}/{name}.idx", compression=None) as out:
             out.write(MAGIC + array.array("q", [len(ids)]).tobytes())
             out.write(ends.tobytes())
