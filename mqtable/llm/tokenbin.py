@@ -12,6 +12,7 @@ manifest count, so retried and speculative attempts leave nothing that a reader
 from __future__ import annotations
 
 import array
+import os
 import re
 import uuid
 from collections.abc import Iterator
@@ -54,7 +55,10 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
+        # the library's own cache of words costs more than it saves: it is asked for new words only
+        self.tokenizer.model._resize_cache(0)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.code = "H" if len(vocabulary) <= 1 << 16 else "I"
         self.special = [str(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -70,8 +74,12 @@ class Encoder:
     def pack(self, ids: list[int]) -> bytes:
         return array.array(self.code, ids).tobytes()
 
+    def _ids(self, text: str) -> list[int]:
+        # the call that keeps no offsets
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
     def whole(self, text: str) -> bytes:
-        return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return self.pack(self._ids(text))
 
     def _parts(self, text: str) -> list[str] | None:
         """The parts of a text, all but the first after a space, or None for a text that must be encoded whole."""
@@ -81,7 +89,7 @@ class Encoder:
 
     def _joined(self, words: list[str], sep: str) -> Iterator[bytes]:
         """The ids of every word: with its space before it, or, for ``sep`` a line feed, of the word alone."""
-        ids = np.array(self.tokenizer.encode(sep + sep.join(words), add_special_tokens=False).ids, "<u2" if self.code == "H" else "<u4")
+        ids = np.array(self._ids(sep + sep.join(words)), "<u2" if self.code == "H" else "<u4")
         flat, step = ids.tobytes(), ids.itemsize
         at = (np.flatnonzero(self.spaced[ids] if sep == " " else ids == self.feed) * step).tolist()
         skip = 0 if sep == " " else step
@@ -97,7 +105,8 @@ class Encoder:
     def _learn(self, parts: set[str]) -> set[str]:
         """Put the ids of " " + part into the cache for all ``parts``; returns what should not stay there."""
         now, old = self.now, self.old
-        missing = parts - now.keys()
+        # difference() with a dict walks the parts, the operator would walk the whole cache
+        missing = parts.difference(now)
         again = missing & old.keys()
         now.update((p, old[p]) for p in again)
         missing -= again
@@ -118,7 +127,7 @@ class Encoder:
         # a line break stands alone between its two words
         extra = {above for _, above, _ in broken}
         extra.update(word for _, word in marked)
-        extra -= now.keys()
+        extra = extra.difference(now)
         extra.difference_update(words)
         words.extend(extra)
         if words:
