@@ -179,6 +179,8 @@ def newest_within(
     newest_first: Sequence[Column],
     budgets: Sequence[tuple[Column, Column]],
     keep: bool = True,
+    splits: Sequence[Column] = (),
+    target_rows: int | None = None,
 ) -> DataFrame:
     """Rows of the longest newest suffix per group that fits every budget.
 
@@ -191,8 +193,14 @@ def newest_within(
     Buckets wholly inside or outside all budgets are decided on the small
     per-bucket table; the exact running sums run only in the one bucket per
     group that straddles the cut.  ``keep=False`` returns the dropped rows.
+
+    ``splits`` are the two numbers that ``newest_first`` sorts by first, both descending.  A straddling
+    bucket of over ``target_rows`` rows is then cut into parts by ``_newest_parts``, and the running sums
+    start from the sums of the newer parts, so no task sees the whole bucket.
     """
     d = df.withColumn("__bk", bucket)
+    for name, value in zip(("__t", "__i"), splits):
+        d = d.withColumn(name, value.cast("long"))
     ws, ls = [], []
     for i, (weight, limit) in enumerate(budgets):
         d = d.withColumn(f"__w{i}", F.coalesce(weight, F.lit(0)).cast("long"))
@@ -203,6 +211,7 @@ def newest_within(
     per = d.groupBy(*keys).agg(
         *[F.sum(w).alias(f"__bw{i}") for i, w in enumerate(ws)],
         *[F.max(lim).alias(f"__L{i}") for i, lim in enumerate(ls)],
+        F.count(F.lit(1)).alias("__cnt"),
     )
     newer = Window.partitionBy(*partition_by).orderBy(F.col("__bk").desc()).rowsBetween(
         Window.unboundedPreceding, -1
@@ -220,8 +229,10 @@ def newest_within(
         *keys,
         *[f"__before{i}" for i in range(len(budgets))],
         F.when(all_in, F.lit("in")).when(any_out, F.lit("out")).otherwise(F.lit("cut")).alias("__cls"),
+        "__cnt",
     )
-    in_run = Window.partitionBy(*keys).orderBy(*newest_first).rowsBetween(Window.unboundedPreceding, 0)
+    parts = ["__part"] if splits else []
+    in_run = Window.partitionBy(*keys, *parts).orderBy(*newest_first).rowsBetween(Window.unboundedPreceding, 0)
     fits = reduce(
         lambda a, b: a & b,
         [
@@ -229,16 +240,54 @@ def newest_within(
             for i in range(len(budgets))
         ],
     )
-    drop_cols = ["__bk", "__cls", "__fits", *ws, *ls, *[f"__before{i}" for i in range(len(budgets))]]
+    drop_cols = ["__bk", "__cls", "__cnt", "__fits", "__t", "__i", *parts, *ws, *ls, *[f"__before{i}" for i in range(len(budgets))]]
 
     # only the straddling rows reach a window; Spark computes ``per`` once for both branches
     joined = join_on(d, per, keys)
     whole = joined.where(F.col("__cls") == ("in" if keep else "out"))
-    cut = joined.where(F.col("__cls") == "cut").withColumn("__fits", fits)
+    cut = joined.where(F.col("__cls") == "cut")
+    if splits:
+        hot = join_on(d, per.where((F.col("__cls") == "cut") & (F.col("__cnt") > (target_rows or CHUNK_TARGET_ROWS))), keys)
+        cut = _newest_parts(cut, hot, keys, ws)
+    cut = cut.withColumn("__fits", fits)
     cut = cut.where(F.col("__fits") if keep else ~F.col("__fits"))
     return whole.drop(*drop_cols).unionByName(cut.drop(*drop_cols))
 
 
+_PARTS = 64  # parts of a hot straddling bucket; each holds about this share of its rows at most
+
+
+def _newest_parts(cut: DataFrame, hot: DataFrame, keys: Sequence[str], weights: Sequence[str]) -> DataFrame:
+    """``cut`` with ``__part``, ordered like (``__t``, ``__i``), and ``__before*`` raised by the newer parts' sums.
+
+    Quantile sketches of both numbers over a bucket's ``hot`` rows give the bounds.  A time between two
+    bounds belongs to the part between them, which has few rows.  A time that is a bound itself may have any
+    number of rows: it is a part of its own, cut again by the bounds of ``__i``, which is its order.  Buckets
+    without hot rows are one part.
+    """
+    shares = F.array(*[F.lit(i / _PARTS) for i in range(1, _PARTS)])
+    bounds = hot.groupBy(*keys).agg(
+        F.percentile_approx("__t", shares, 10 * _PARTS).alias("__tb"), F.percentile_approx("__i", shares, 10 * _PARTS).alias("__ib")
+    )
+
+    def placed(df: DataFrame, how: str) -> DataFrame:
+        df = join_on(df, bounds, keys, how=how)
+        below = F.size(F.filter("__tb", lambda b: b < F.col("__t")))
+        inner = F.when(F.array_contains("__tb", F.col("__t")), 1 + F.coalesce(F.size(F.filter("__ib", lambda b: b < F.col("__i"))), F.lit(0))).otherwise(0)
+        # a bound's own rows are newer than those below it, older than those above
+        own = F.when(inner > 0, below * 2 + 1).otherwise(below * 2)
+        known = F.col("__tb").isNotNull() & F.col("__t").isNotNull()  # no time sorts last
+        return df.withColumn("__part", F.when(known, own * (_PARTS + 1) + inner).otherwise(-1)).drop("__tb", "__ib")
+
+    sums = placed(hot, "inner").groupBy(*keys, "__part").agg(*[F.sum(w).alias(f"__s{w}") for w in weights])
+    newer = Window.partitionBy(*keys).orderBy(F.col("__part").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*keys, "__part", *[F.coalesce(F.sum(f"__s{w}").over(newer), F.lit(0)).alias(f"__n{w}") for w in weights])
+    cut = join_on(placed(cut, "left"), sums, [*keys, "__part"], how="left")
+    for i, w in enumerate(weights):
+        cut = cut.withColumn(f"__before{i}", F.col(f"__before{i}") + F.coalesce(F.col(f"__n{w}"), F.lit(0)))
+    return cut.drop(*[f"__n{w}" for w in weights])
+
+
 def gap_sessions(
     df: DataFrame,
     partition_by: Sequence[str],

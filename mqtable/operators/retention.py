@@ -51,23 +51,33 @@ def _newest(m: DataFrame) -> list[Column]:
     return [F.col("published_at").desc(), F.col("delivery_tag" if "delivery_tag" in m.columns else "message_id").desc()]
 
 
-def max_length(m: DataFrame, limit, keep: bool = True, bucket_us: int = SECOND_US) -> DataFrame:
+def _newest_numbers(m: DataFrame) -> list[Column]:
+    """What ``_newest`` sorts by, as numbers."""
+    return [epoch_micros("published_at"), F.col("delivery_tag" if "delivery_tag" in m.columns else "message_id")]
+
+
+def max_length(m: DataFrame, limit, keep: bool = True, bucket_us: int = SECOND_US, target_rows: int | None = None) -> DataFrame:
     """Q2: newest ``limit`` messages per queue (drop-head overflow), for any limit.
 
     Whole seconds inside or outside the limit are decided on their counts; a window sees only the
-    one second per queue that straddles it.
+    one second per queue that straddles it, in parts if that has over ``target_rows`` rows, even if
+    all of them share an instant.
     """
     budget = [(F.lit(1), _lit_or_col(limit))]
-    return newest_within(m, ["queue"], _recency_bucket(bucket_us), _newest(m), budget, keep)
+    return newest_within(m, ["queue"], _recency_bucket(bucket_us), _newest(m), budget, keep, _newest_numbers(m), target_rows)
 
 
-def max_length_bytes(m: DataFrame, limit, keep: bool = True, bucket_us: int = SECOND_US) -> DataFrame:
+def max_length_bytes(
+    m: DataFrame, limit, keep: bool = True, bucket_us: int = SECOND_US, target_rows: int | None = None
+) -> DataFrame:
     """Q3: longest newest suffix per queue whose body bytes total <= ``limit``."""
     budget = [(_body_bytes(), _lit_or_col(limit))]
-    return newest_within(m, ["queue"], _recency_bucket(bucket_us), _newest(m), budget, keep)
+    return newest_within(m, ["queue"], _recency_bucket(bucket_us), _newest(m), budget, keep, _newest_numbers(m), target_rows)
 
 
-def dead_lettered(m: DataFrame, policies: DataFrame, as_of: Column | None = None) -> DataFrame:
+def dead_lettered(
+    m: DataFrame, policies: DataFrame, as_of: Column | None = None, target_rows: int | None = None
+) -> DataFrame:
     """Q4/Q5: messages a queue's policies remove, re-addressed to the dead-letter
     exchange (``reason`` expired / maxlen); without one they are gone.
     Expiry is applied first, then the length and byte limits to what is left."""
@@ -77,7 +87,7 @@ def dead_lettered(m: DataFrame, policies: DataFrame, as_of: Column | None = None
     expired = mp.where(dead_exp).withColumn("reason", F.lit(EXPIRED))
     live = mp.where(~dead_exp)
     budgets = [(F.lit(1), F.col("max_length")), (_body_bytes(), F.col("max_length_bytes"))]
-    over = newest_within(live, ["queue"], _recency_bucket(SECOND_US), _newest(m), budgets, False)
+    over = newest_within(live, ["queue"], _recency_bucket(SECOND_US), _newest(m), budgets, False, _newest_numbers(m), target_rows)
     over = over.withColumn("reason", F.lit(MAXLEN))
     dead = expired.unionByName(over).where(F.col("dead_letter_exchange").isNotNull())
     return dead.withColumn("exchange", F.col("dead_letter_exchange")).withColumn(
@@ -116,7 +126,8 @@ def dead_letter_hops(m: DataFrame, policies: DataFrame, bindings: DataFrame, as_
         expired = there.where(dead).withColumn("reason", F.lit(EXPIRED)).withColumn("published_at", expiry)
         budgets = [(F.lit(1), F.col("max_length")), (_body_bytes(), F.col("max_length_bytes"))]
         live = there.where(~dead)
-        over = newest_within(live, ["queue"], _recency_bucket(SECOND_US), newest, budgets, False).withColumn("reason", F.lit(MAXLEN))
+        numbers = [epoch_micros("published_at"), F.col("message_id")]
+        over = newest_within(live, ["queue"], _recency_bucket(SECOND_US), newest, budgets, False, numbers).withColumn("reason", F.lit(MAXLEN))
         moved = expired.unionByName(over).withColumn("exchange", F.col("dead_letter_exchange"))
         moved = moved.withColumn("routing_key", F.coalesce("dead_letter_routing_key", "routing_key"))
         routes = resolve_routes(moved.where("exchange IS NOT NULL"), bindings)
