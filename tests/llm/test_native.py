@@ -55,6 +55,15 @@ def test_line_dedup_odd(odd_docs, no_docs):
     assert linededup.drop_common_lines(no_docs).count() == 0
 
 
+def test_line_dedup_rows_that_share_an_id_share_no_drop_list(spark):
+    docs = [(i, f"shared line {n}") for n in range(60) for i in (None, 1, 2)] + [(3, "\n".join(f"shared line {n}" for n in range(60)))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = rows(linededup.drop_common_lines(df, 5, 3), "doc_id", "n_lines", "n_dropped", "kept")
+    assert got == dedup(docs, 5, 3)
+    d = df.selectExpr("coalesce(doc_id, -1) AS id", "xxhash64(text) AS t1", "xxhash64(1, text) AS t2", "text")
+    assert {(r.id, len(r.drops)) for r in linededup._drop_lists(d, 5, 3).collect()} == {(-1, 1), (1, 1), (2, 1)}
+
+
 # --- secrets ----------------------------------------------------------------------------------
 
 
