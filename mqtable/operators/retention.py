@@ -80,14 +80,17 @@ def dead_lettered(
 ) -> DataFrame:
     """Q4/Q5: messages a queue's policies remove, re-addressed to the dead-letter
     exchange (``reason`` expired / maxlen); without one they are gone.
-    Expiry is applied first, then the length and byte limits to what is left."""
+    Expiry is applied first, then the length and byte limits to what is left.
+
+    With ``target_rows`` a straddling second of more rows is split, as in ``max_length``.  That reads the
+    messages a few times more, so without it such a second of a queue is one task."""
     as_of = latest_publish(m) if as_of is None else as_of
     mp = join_on(m, policies, ["queue"])  # one row per queue
     dead_exp = F.coalesce(is_expired(F.col("message_ttl_ms"), as_of), F.lit(False))
     expired = mp.where(dead_exp).withColumn("reason", F.lit(EXPIRED))
     live = mp.where(~dead_exp)
     budgets = [(F.lit(1), F.col("max_length")), (_body_bytes(), F.col("max_length_bytes"))]
-    over = newest_within(live, ["queue"], _recency_bucket(SECOND_US), _newest(m), budgets, False, _newest_numbers(m), target_rows)
+    over = newest_within(live, ["queue"], _recency_bucket(SECOND_US), _newest(m), budgets, False, _newest_numbers(m) if target_rows else (), target_rows)
     over = over.withColumn("reason", F.lit(MAXLEN))
     dead = expired.unionByName(over).where(F.col("dead_letter_exchange").isNotNull())
     return dead.withColumn("exchange", F.col("dead_letter_exchange")).withColumn(
