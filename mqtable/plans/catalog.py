@@ -55,6 +55,7 @@ PUBLISH_SPLIT = "2024-01-16 00:00:00"
 LOG_FILE_RECORDS = messagelog.MAX_RECORDS_PER_FILE
 TRIGGER_BYTES = 1 << 30  # of log files per micro-batch
 CAPPED_STREAM = {"maxMessagesPerPartition": "4000", "levelParallelism": "2"}
+CAPPED_CATCH_UP = 1 << 18  # messages per trigger
 CAPPED_SOURCES = [("click", "800"), ("error", None), ("view", "1200"), ("click", None)]
 # -------------------------------------------------------------------------------
 
@@ -419,12 +420,13 @@ def q_stream_capped(spark, sf):
     """Four sources under their own caps; which micro-batch delivers each message to each source."""
     path = _published_log(spark, sf)
     keys = [SourceKey(q, options={"maxMessagesPerPartition": cap} if cap else {}) for q, cap in CAPPED_SOURCES]
-    stream = capped.CappedStream(spark, path, scratch_path(spark, "capped"), keys, CAPPED_STREAM, slide_ms=1)
+    stream = capped.CappedStream(spark, path, scratch_path(spark, "capped"), keys, CAPPED_STREAM, slide_ms=1, catch_up=CAPPED_CATCH_UP)
     sink = scratch_path(spark, "delivered")
     messagelog.ensure_dir(spark, sink)
-    stream.drain(capped.folder_writer(sink, "source_index", "queue", "slot", "message_id"))
+    columns = ("source_index", "queue", "slot", "message_id", "batch_id")
+    stream.drain(capped.trigger_writer(sink, *columns))
     schema = "source_index int, queue string, slot int, message_id long, batch_id long"
-    return spark.read.schema(schema).option("basePath", sink).parquet(sink)
+    return spark.read.schema(schema).option("basePath", sink).parquet(sink).select(*columns)
 
 
 def q_stream_single_queue(spark, sf):

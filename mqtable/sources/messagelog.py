@@ -47,6 +47,17 @@ def ensure_dir(spark: SparkSession, path: str) -> None:
     fs.mkdirs(p)
 
 
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, there whole or not at all."""
+    fs, p = _fs(spark, path)
+    part = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p.getParent(), f"_{p.getName()}")
+    out = fs.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(part, p):
+        raise OSError(f"cannot write {path}")
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
@@ -107,6 +118,14 @@ def _digest(rows: int | None, total) -> str:
     return f"{rows or 0}:{total or 0}"
 
 
+def published(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """The batches of the log with the times they were moved into place: another list if anything was published."""
+    fs, folder = _fs(spark, _ends_path(path))
+    if not fs.exists(folder):
+        return []
+    return sorted((s.getPath().getName(), s.getModificationTime()) for s in fs.listStatus(folder))
+
+
 def queue_ends(spark: SparkSession, path: str, before_batch: int | None = None) -> DataFrame:
     """Last delivery tag per queue over the batches before ``before_batch``."""
     if not _exists(spark, _ends_path(path)):

@@ -4,18 +4,24 @@ Every micro-batch takes at most the cap from each (source, slot) and leaves the
 Tags are dense per queue, so a slot is an arithmetic progression of tags and its cursor is one number: a
 batch's share is a range of tags, read from the log by a pushed-down filter, and no message is numbered.
 
-The shares of a batch are written below ``<folder>/shares/batch_id=<id>`` before the batch is read; the
-cursor is the sum of the shares of earlier batches.  A batch that is replayed after a crash finds its shares
-and delivers the same messages again, whatever has been published meanwhile, so with a sink that replaces
-what a batch wrote, nothing is lost or delivered twice.  The shares grow with sources and batches, not with
-messages.  Structured Streaming runs the batches and keeps their ids in its checkpoint.
+The shares of a trigger are written to ``<folder>/shares/trigger-<id>.json`` before it reads; the cursor is the
+sum of all earlier shares.  A trigger that is replayed after a crash finds its shares and delivers the same
+messages again, whatever has been published meanwhile, so with a sink that replaces what a trigger wrote,
+nothing is lost or delivered twice.  The shares grow with sources and batches, not with messages, and are read
+back once per start.  Structured Streaming runs the triggers and keeps their ids in its checkpoint.
+
+A trigger delivers one batch.  With a small cap and a long log that is many triggers, each of which costs some
+tenths of a second, so a stream that has fallen behind may catch up: a trigger then delivers several batches in a
+row, each with its own shares and id, as a scheduler that is late finds several slides due.
 """
 
 from __future__ import annotations
 
+import json
 import threading
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,11 +34,25 @@ from mqtable.options import QueueOptions, SourceKey, source_keys
 from mqtable.sources import messagelog
 
 #: What one batch takes: the ``n`` messages of a slot that follow the first ``done`` of it.
-SHARE_SCHEMA = "source_index int, queue string, slot int, slots int, done long, n long"
+SHARE_SCHEMA = "batch_id long, source_index int, queue string, slot int, slots int, done long, n long"
+#: Batches that one trigger delivers at most when it catches up.
+CATCH_UP_BATCHES = 256
 #: Queues whose tag ranges are pushed down one by one; with more, one range is.
 RANGES = 64
 
 
+class Share(NamedTuple):
+    """A row of ``SHARE_SCHEMA``."""
+
+    batch_id: int
+    source_index: int
+    queue: str
+    slot: int
+    slots: int
+    done: int
+    n: int
+
+
 class CappedStream:
     """The messages of several sources in micro-batches under each source's own cap.
 
@@ -40,6 +60,9 @@ class CappedStream:
     wins over the stream's; without one, a batch takes all there is.  ``storageLevel`` keeps a batch while
     ``write`` uses it, ``rememberDuration`` keeps checkpoints.  A queue that several sources name is delivered to
     each of them at its own pace.
+
+    With ``catch_up`` a trigger delivers as many whole batches as hold that many messages together, at least one;
+    ``write`` then gets them with a column ``batch_id``, and the trigger's id.
     """
 
     def __init__(
@@ -52,47 +75,86 @@ class CappedStream:
         handler: Callable[[Delivery], object] | None = None,
         return_type: T.DataType = T.StringType(),
         slide_ms: int = 1_000,
+        catch_up: int | None = None,
     ):
         self.spark, self.log, self.folder = spark, log, folder.rstrip("/")
         self.options = QueueOptions(dict(params))
         self.handler, self.return_type, self.slide_ms = handler, return_type, slide_ms
+        self.catch_up = catch_up
         self.sources = source_keys(self.options, list(keys or []))
         merged = [self.options.merged(k.options) for k in self.sources]
         for o in merged:
             o.policy_arguments()  # bad values raise
         self.caps = [o.max_messages_per_partition for o in merged]
+        if catch_up is not None and catch_up < 1:
+            raise ValueError("catch_up must be positive: give None for one batch per trigger")
         if any(c is not None and c < 1 for c in self.caps):
             raise ValueError("maxMessagesPerPartition must be positive: no batch would take anything")
         self.slots = max(1, self.options.parallelism)
 
-    def _shares_path(self, batch_id: int) -> str:
-        return f"{self.folder}/shares/batch_id={batch_id}"
-
-    def shares(self, batch_id: int) -> list:
-        """The rows of ``SHARE_SCHEMA`` that batch ``batch_id`` takes, decided once and written."""
-        path = self._shares_path(batch_id)
-        if messagelog._exists(self.spark, f"{path}/_SUCCESS"):
-            return self.spark.read.schema(SHARE_SCHEMA).parquet(path).collect()
-        messagelog.ensure_dir(self.spark, f"{self.folder}/shares")
-        earlier = self.spark.read.schema(f"{SHARE_SCHEMA}, batch_id long").option("basePath", f"{self.folder}/shares").parquet(f"{self.folder}/shares")
-        cursor = earlier.where(F.col("batch_id") < batch_id).groupBy("source_index", "slot").agg(F.sum("n").alias("done"))
-        rows = [(i, k.queue, s, self.slots, self.caps[i]) for i, k in enumerate(self.sources) for s in range(self.slots)]
-        wanted = self.spark.createDataFrame(rows, "source_index int, queue string, slot int, slots int, cap int")
-        ends = messagelog.queue_ends(self.spark, self.log)
-        done, end = F.coalesce("done", F.lit(0)), F.coalesce("__end", F.lit(0))
-        # tags slot + 1, slot + 1 + slots, ... up to the queue's end
-        there = F.greatest(F.lit(0), F.floor((end - F.col("slot") - 1 + F.col("slots")) / F.col("slots")))
-        left = there - done
-        taken = (
-            wanted.join(cursor, ["source_index", "slot"], "left").join(ends, "queue", "left")
-            .withColumn("n", F.least(left, F.coalesce("cap", left)).cast("long")).withColumn("done", done.cast("long"))
-            .where("n > 0").select("source_index", "queue", "slot", "slots", "done", "n")
-        )
-        taken.coalesce(1).write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(SHARE_SCHEMA).parquet(path).collect()
-
-    def messages(self, shares: list) -> DataFrame:
-        """The messages of some shares with ``source_index`` and ``slot``."""
+        self._after: int | None = None  # the trigger that the cursor stands after
+        self._cursor: dict[tuple[int, int], int] = {}
+        self._last = -1
+        self._ends: tuple[list, dict[str, int]] | None = None
+
+    def _rewind(self, trigger: int) -> None:
+        """The cursor as it was before ``trigger``, from what is written: once per start."""
+        folder = f"{self.folder}/shares"
+        messagelog.ensure_dir(self.spark, folder)
+        earlier = self.spark.read.schema(f"{SHARE_SCHEMA}, trigger long").json(folder).where(F.col("trigger") < trigger)
+        rows = earlier.groupBy("source_index", "slot").agg(F.sum("n").alias("done"), F.max("batch_id").alias("last")).collect()
+        self._cursor = {(r.source_index, r.slot): r.done for r in rows}
+        self._last = max((r.last for r in rows), default=-1)
+
+    def _queue_ends(self) -> dict[str, int]:
+        """Last tag of the sources' queues; read again only when the log's list of publishes has changed."""
+        listed = messagelog.published(self.spark, self.log)
+        if self._ends is None or self._ends[0] != listed:
+            ends = messagelog.queue_ends(self.spark, self.log).where(F.col("queue").isin(list({k.queue for k in self.sources})))
+            self._ends = listed, {r.queue: r["__end"] for r in ends.collect()}
+        return self._ends[1]
+
+    def _decide(self, trigger: int) -> list[Share]:
+        ends, done, found, total = self._queue_ends(), dict(self._cursor), [], 0
+        first = max(trigger, self._last + 1)
+        for batch_id in range(first, first + (1 if self.catch_up is None else CATCH_UP_BATCHES)):
+            taken = []
+            for i, source in enumerate(self.sources):
+                for slot in range(self.slots):
+                    # tags slot + 1, slot + 1 + slots, ... up to the queue's end
+                    there = max(0, (ends.get(source.queue, 0) - slot - 1 + self.slots) // self.slots)
+                    before = done.get((i, slot), 0)
+                    left = there - before
+                    n = left if self.caps[i] is None else min(left, self.caps[i])
+                    if n > 0:
+                        taken.append(Share(batch_id, i, source.queue, slot, self.slots, before, n))
+            size = sum(s.n for s in taken)
+            if not taken or (found and total + size > self.catch_up):
+                break
+            done.update({(s.source_index, s.slot): s.done + s.n for s in taken})
+            found.extend(taken)
+            total += size
+        return found
+
+    def shares(self, trigger: int) -> list[Share]:
+        """What ``trigger`` takes, decided once and written."""
+        path = f"{self.folder}/shares/trigger-{trigger}.json"
+        if self._after != trigger - 1:
+            self._rewind(trigger)
+        if messagelog._exists(self.spark, path):
+            found = [Share(*r) for r in self.spark.read.schema(SHARE_SCHEMA).json(path).collect()]
+        else:
+            found = self._decide(trigger)
+            if found:
+                messagelog.write_small(self.spark, path, "\n".join(json.dumps({**s._asdict(), "trigger": trigger}) for s in found))
+        for s in found:
+            self._cursor[s.source_index, s.slot] = s.done + s.n
+            self._last = max(self._last, s.batch_id)
+        self._after = trigger
+        return found
+
+    def messages(self, shares: list[Share]) -> DataFrame:
+        """The messages of some shares with ``source_index`` and ``slot``, and ``batch_id`` if they may be of several batches."""
         spans: dict[str, tuple[int, int]] = {}
         for s in shares:
             first, last = (s.done * s.slots + s.slot + 1, (s.done + s.n - 1) * s.slots + s.slot + 1)
@@ -106,16 +168,16 @@ class CappedStream:
         rows = rows.withColumn("slot", slot_of(tag, self.slots))
         taken = self.spark.createDataFrame([tuple(s) for s in shares], SHARE_SCHEMA)
         nth = F.floor((tag - 1) / F.col("slots"))
-        # one row per source and slot
+        # one row per batch, source and slot
         joined = rows.join(F.broadcast(taken), ["queue", "slot"]).where((nth >= F.col("done")) & (nth < F.col("done") + F.col("n")))
-        return joined.drop("slots", "done", "n")
+        return joined.drop("slots", "done", "n", *([] if self.catch_up else ["batch_id"]))
 
     def _writer(self, write: Callable[[DataFrame, int], None], drained: threading.Event) -> Callable[[DataFrame, int], None]:
         from mqtable.streaming.api import with_handler
         from mqtable.streaming.consumer import persist_batch
 
-        def run(tick: DataFrame, batch_id: int) -> None:
-            shares = self.shares(batch_id)
+        def run(tick: DataFrame, trigger: int) -> None:
+            shares = self.shares(trigger)
             if not shares:
                 drained.set()
                 return
@@ -123,14 +185,14 @@ class CappedStream:
             keep = "storageLevel" in self.options.raw
             if keep:
                 batch = persist_batch(batch, self.options)
-            write(batch, batch_id)
+            write(batch, trigger if self.catch_up else shares[0].batch_id)
             if keep:
                 batch.unpersist()
 
         return run
 
     def start(self, write: Callable[[DataFrame, int], None], drained: threading.Event | None = None) -> StreamingQuery:
-        """Run a batch every slide.  ``write`` gets each batch and its id, and must replace what that id wrote before."""
+        """Run a trigger every slide.  ``write`` gets each batch and its id (see ``catch_up``), and must replace what that id wrote before."""
         from mqtable.streaming.consumer import retain_batches_conf
 
         if "rememberDuration" in self.options.raw:
@@ -160,8 +222,16 @@ class CappedStream:
 
 def folder_writer(sink: str, *columns: str) -> Callable[[DataFrame, int], None]:
     """A ``write`` that stores a batch's columns in the batch's own folder, replaced whole on a replay."""
+    return _folder_writer(sink, "batch_id", columns)
+
+
+def trigger_writer(sink: str, *columns: str) -> Callable[[DataFrame, int], None]:
+    """The same for a stream that catches up: a folder per trigger, ``batch_id`` is a column."""
+    return _folder_writer(sink, "trigger", columns)
+
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.select(*columns) if columns else batch).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+def _folder_writer(sink: str, name: str, columns: tuple[str, ...]) -> Callable[[DataFrame, int], None]:
+    def write(batch: DataFrame, number: int) -> None:
+        (batch.select(*columns) if columns else batch).write.mode("overwrite").parquet(f"{sink}/{name}={number}")
 
     return write
