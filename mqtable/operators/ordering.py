@@ -10,7 +10,7 @@ per-bucket problem on an aggregate table, and run exact windows only inside
 from __future__ import annotations
 
 from functools import reduce
-from typing import Iterable, Sequence
+from typing import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -172,32 +172,8 @@ def ordinal(
     return out.drop("__off", "__key")
 
 
-def newest_within(
-    df: DataFrame,
-    partition_by: Sequence[str],
-    bucket: Column,
-    newest_first: Sequence[Column],
-    budgets: Sequence[tuple[Column, Column]],
-    keep: bool = True,
-    splits: Sequence[Column] = (),
-    target_rows: int | None = None,
-) -> DataFrame:
-    """Rows of the longest newest suffix per group that fits every budget.
-
-    Each budget ``(weight, limit)`` means ``sum(weight) OVER (PARTITION BY g ORDER
-    BY newest_first ROWS UNBOUNDED PRECEDING) <= limit`` (weight 1 gives
-    ``row_number() <= limit``; NULL limit = unlimited).  Each condition keeps a
-    prefix in newest-first order, so their conjunction is one too, and limits
-    applied one after the other give the same rows.  ``bucket`` must grow with
-    recency (e.g. an hour index) and limits must be constant per group.
-    Buckets wholly inside or outside all budgets are decided on the small
-    per-bucket table; the exact running sums run only in the one bucket per
-    group that straddles the cut.  ``keep=False`` returns the dropped rows.
-
-    ``splits`` are the two numbers that ``newest_first`` sorts by first, both descending.  A straddling
-    bucket of over ``target_rows`` rows is then cut into parts by ``_newest_parts``, and the running sums
-    start from the sums of the newer parts, so no task sees the whole bucket.
-    """
+def _weighed(df: DataFrame, bucket: Column, budgets: Sequence[tuple[Column, Column]], splits: Sequence[Column]) -> tuple[DataFrame, list[str], list[str]]:
+    """``df`` with ``__bk``, the splits' numbers, and the budgets' weights and limits, whose names it returns."""
     d = df.withColumn("__bk", bucket)
     for name, value in zip(("__t", "__i"), splits):
         d = d.withColumn(name, value.cast("long"))
@@ -207,6 +183,11 @@ def newest_within(
         d = d.withColumn(f"__l{i}", limit.cast("long"))
         ws.append(f"__w{i}")
         ls.append(f"__l{i}")
+    return d, ws, ls
+
+
+def _bucket_classes(d: DataFrame, partition_by: Sequence[str], ws: Sequence[str], ls: Sequence[str]) -> DataFrame:
+    """Per (group, bucket): the newer buckets' sums, the rows, and whether it lies ``in`` or ``out`` of the budgets or is ``cut``."""
     keys = list(partition_by) + ["__bk"]
     per = d.groupBy(*keys).agg(
         *[F.sum(w).alias(f"__bw{i}") for i, w in enumerate(ws)],
@@ -217,7 +198,7 @@ def newest_within(
         Window.unboundedPreceding, -1
     )
     inside, outside = [], []
-    for i in range(len(budgets)):
+    for i in range(len(ws)):
         before = F.coalesce(F.sum(f"__bw{i}").over(newer), F.lit(0))
         per = per.withColumn(f"__before{i}", before)
         lim = F.col(f"__L{i}")
@@ -225,12 +206,43 @@ def newest_within(
         outside.append(lim.isNotNull() & (F.col(f"__before{i}") > lim))
     all_in = reduce(lambda a, b: a & b, inside)
     any_out = reduce(lambda a, b: a | b, outside)
-    per = per.select(
+    return per.select(
         *keys,
-        *[f"__before{i}" for i in range(len(budgets))],
+        *[f"__before{i}" for i in range(len(ws))],
         F.when(all_in, F.lit("in")).when(any_out, F.lit("out")).otherwise(F.lit("cut")).alias("__cls"),
         "__cnt",
     )
+
+
+def newest_within(
+    df: DataFrame,
+    partition_by: Sequence[str],
+    bucket: Column,
+    newest_first: Sequence[Column],
+    budgets: Sequence[tuple[Column, Column]],
+    keep: bool = True,
+    splits: Sequence[Column] = (),
+    target_rows: int | None = None,
+) -> DataFrame:
+    """Rows of the longest newest suffix per group that fits every budget.
+
+    Each budget ``(weight, limit)`` means ``sum(weight) OVER (PARTITION BY g ORDER
+    BY newest_first ROWS UNBOUNDED PRECEDING) <= limit`` (weight 1 gives
+    ``row_number() <= limit``; NULL limit = unlimited).  Each condition keeps a
+    prefix in newest-first order, so their conjunction is one too, and limits
+    applied one after the other give the same rows.  ``bucket`` must grow with
+    recency (e.g. an hour index) and limits must be constant per group.
+    Buckets wholly inside or outside all budgets are decided on the small
+    per-bucket table; the exact running sums run only in the one bucket per
+    group that straddles the cut.  ``keep=False`` returns the dropped rows.
+
+    ``splits`` are the two numbers that ``newest_first`` sorts by first, both descending.  A straddling
+    bucket of over ``target_rows`` rows is then cut into parts by ``_newest_parts``, and the running sums
+    start from the sums of the newer parts, so no task sees the whole bucket.
+    """
+    d, ws, ls = _weighed(df, bucket, budgets, splits)
+    keys = list(partition_by) + ["__bk"]
+    per = _bucket_classes(d, partition_by, ws, ls)
     parts = ["__part"] if splits else []
     in_run = Window.partitionBy(*keys, *parts).orderBy(*newest_first).rowsBetween(Window.unboundedPreceding, 0)
     fits = reduce(
@@ -254,6 +266,48 @@ def newest_within(
     return whole.drop(*drop_cols).unionByName(cut.drop(*drop_cols))
 
 
+def beyond_budgets(
+    df: DataFrame,
+    partition_by: Sequence[str],
+    bucket: Column,
+    newest_first: Sequence[Column],
+    budgets: Sequence[tuple[Column, Column]],
+    name: str,
+    splits: Sequence[Column],
+    write: Callable[[DataFrame], DataFrame],
+    target_rows: int | None = None,
+) -> DataFrame:
+    """``df`` with ``name``: whether ``newest_within`` drops the row, for a ``df`` that is cheap to read again.
+
+    Newest first, a group's buckets are inside the budgets, then one may straddle the cut, and the rest are
+    outside.  So a row per group says it all; ``write`` stores these rows, and as Spark knows their size, it
+    joins few of them without moving any message.  Only straddling buckets are shuffled, in parts where hot.
+    """
+    d, ws, ls = _weighed(df, bucket, budgets, splits)
+    befores = [f"__before{i}" for i in range(len(ws))]
+    at, out = F.col("__cls") == "cut", F.col("__cls") == "out"
+    bounds = _bucket_classes(d, partition_by, ws, ls).groupBy(*partition_by).agg(
+        F.max(at).alias("__has_cut"), F.max(F.when(at, F.col("__bk"))).alias("__cut"), F.max(F.when(at, F.col("__cnt"))).alias("__cnt"),
+        F.max(out).alias("__has_out"), F.max(F.when(out, F.col("__bk"))).alias("__out"), *[F.max(F.when(at, F.col(x))).alias(x) for x in befores],
+    )
+    bounds = write(bounds)
+    d = join_on(d, bounds, partition_by)
+    straddles = F.col("__has_cut") & F.col("__bk").eqNullSafe(F.col("__cut"))
+    # rows without a bucket are the oldest
+    past = F.col("__has_out") & (F.col("__bk").isNull() | F.coalesce(F.col("__bk") <= F.col("__out"), F.lit(False)))
+    cut, keys = d.where(straddles), [*partition_by, "__bk"]
+    hot = F.col("__cnt") > (target_rows or CHUNK_TARGET_ROWS)
+    if bounds.where(hot).isEmpty():
+        cut = cut.withColumn("__part", F.lit(0))
+    else:
+        cut = _newest_parts(cut, cut.where(hot), keys, ws)
+    run = Window.partitionBy(*keys, "__part").orderBy(*newest_first).rowsBetween(Window.unboundedPreceding, 0)
+    over = [F.coalesce(F.col(b) + F.sum(w).over(run) > F.col(x), F.lit(False)) for b, w, x in zip(befores, ws, ls)]
+    cut = cut.withColumn(name, reduce(lambda a, b: a | b, over))
+    rows = [*df.columns, name]
+    return d.where(~straddles).withColumn(name, past).select(*rows).unionByName(cut.select(*rows))
+
+
 _PARTS = 64  # parts of a hot straddling bucket; each holds about this share of its rows at most
 
 

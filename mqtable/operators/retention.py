@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mqtable.functions.time import MS, epoch_micros, floor_div
-from mqtable.operators.ordering import gap_sessions, join_on, newest_within, ordinal
+from mqtable.operators.ordering import beyond_budgets, gap_sessions, join_on, newest_within, ordinal
 from mqtable.operators.routing import resolve_routes
 from mqtable.session import scratch_path
 
@@ -28,8 +28,12 @@ def latest_publish(m: DataFrame) -> Column:
 
 def is_expired(ttl_ms, as_of: Column) -> Column:
     """A message is dead once ``published_at + ttl <= as_of`` (NULL ttl: never)."""
+    return _expired_by(ttl_ms, epoch_micros(as_of))
+
+
+def _expired_by(ttl_ms, as_of_us: Column) -> Column:
     ttl = _lit_or_col(ttl_ms).cast("long")
-    return (epoch_micros("published_at") + ttl * F.lit(MS)) <= epoch_micros(as_of)
+    return (epoch_micros("published_at") + ttl * F.lit(MS)) <= as_of_us
 
 
 def ttl_live(m: DataFrame, ttl_ms, as_of: Column | None = None) -> DataFrame:
@@ -105,8 +109,13 @@ def dead_letter_hops(m: DataFrame, policies: DataFrame, bindings: DataFrame, as_
     A dead letter enters the queues that its dead-letter exchange binds, where it meets the messages there and
     the queue's own policies, until none moves.  It is dropped, with ``cycle``, from a queue it has been in
     before, so a message makes at most as many hops as there are queues.  An expired message enters at the time
-    it expired, one over a limit keeps its time.  Each hop is written to the shared folder: what stays
-    and what moved; the next hop reads only the queues that something entered.
+    it expired, one over a limit keeps its time.
+
+    Each hop looks only at the queues that something entered, and keeps what stays only in queues that a binding
+    names, as no other is looked at again.  It writes to the shared folder: what is there, without the bodies, then
+    the letters and what stays; and the small tables (policies, a row per queue of where its limit cuts,
+    routes of distinct keys), so that Spark knows their sizes and no join with them moves the messages.
+    ``as_of`` is one instant.
     """
     spark = m.sparkSession
     folder = scratch_path(spark, "dead-letter-hops")
@@ -115,38 +124,45 @@ def dead_letter_hops(m: DataFrame, policies: DataFrame, bindings: DataFrame, as_
         df.write.parquet(f"{folder}/{name}")
         return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
-    columns = ["message_id", "queue", "routing_key", "body", "published_at", "path"]
-    entered = m.withColumn("path", F.array("queue")).select(*columns)
+    columns = ["message_id", "queue", "routing_key", "size", "published_at", "path"]
+    now = F.lit(spark.range(1).select(epoch_micros(as_of)).first()[0]).cast("long")
+    policies, bindings = kept(policies, "policies"), kept(bindings, "bindings")
+    bound = kept(bindings.select("queue").distinct().withColumn("enterable", F.lit(True)), "bound")
+    entered = m.withColumn("path", F.array("queue")).withColumn("size", _body_bytes()).select(*columns)
     stayed, letters, hop = None, [], 0
     expiry = F.timestamp_add("MILLISECOND", F.col("message_ttl_ms").cast("long"), F.col("published_at"))
     newest = [F.col("published_at").desc(), F.col("message_id").desc(), F.array_join("path", "/").desc()]
+    numbers = [epoch_micros("published_at"), F.col("message_id")]
+    budgets = [(F.lit(1), F.col("max_length")), (F.col("size"), F.col("max_length_bytes"))]
     while True:
         there = entered
         if stayed is not None:
-            there = there.unionByName(join_on(stayed, entered.select("queue").distinct(), ["queue"], how="left_semi"))
-        there = kept(join_on(there, policies, ["queue"]), f"there-{hop}")
-        dead = F.coalesce(is_expired(F.col("message_ttl_ms"), as_of), F.lit(False))
+            again = kept(entered.select("queue").distinct(), f"entered-{hop}")
+            there = there.unionByName(join_on(stayed, again, ["queue"], how="left_semi"))
+            quiet = join_on(stayed, again, ["queue"], how="left_anti")
+        there = join_on(kept(there, f"there-{hop}"), policies, ["queue"])
+        dead = F.coalesce(_expired_by(F.col("message_ttl_ms"), now), F.lit(False))
+        live = beyond_budgets(there.where(~dead), ["queue"], _recency_bucket(SECOND_US), newest, budgets, "over", numbers, lambda df: kept(df, f"cuts-{hop}"))
         expired = there.where(dead).withColumn("reason", F.lit(EXPIRED)).withColumn("published_at", expiry)
-        budgets = [(F.lit(1), F.col("max_length")), (_body_bytes(), F.col("max_length_bytes"))]
-        live = there.where(~dead)
-        numbers = [epoch_micros("published_at"), F.col("message_id")]
-        over = newest_within(live, ["queue"], _recency_bucket(SECOND_US), newest, budgets, False, numbers).withColumn("reason", F.lit(MAXLEN))
-        moved = expired.unionByName(over).withColumn("exchange", F.col("dead_letter_exchange"))
-        moved = moved.withColumn("routing_key", F.coalesce("dead_letter_routing_key", "routing_key"))
-        routes = resolve_routes(moved.where("exchange IS NOT NULL"), bindings)
+        fates = expired.unionByName(live.withColumn("reason", F.when(F.col("over"), F.lit(MAXLEN))).drop("over"))
+        fates = join_on(fates, bound, ["queue"], how="left").where("reason IS NOT NULL OR enterable")
+        fates = fates.select(*columns, "reason", F.col("dead_letter_exchange").alias("exchange"), F.coalesce("dead_letter_routing_key", "routing_key").alias("dead_key"))
+        fates = kept(fates, f"fates-{hop}")
+        moved = fates.where("reason IS NOT NULL").withColumn("routing_key", F.col("dead_key"))
+        asked = kept(moved.where("exchange IS NOT NULL").select("exchange", "routing_key").distinct(), f"keys-{hop}")
+        routes = kept(resolve_routes(asked, bindings), f"routes-{hop}")
         routed = join_on(moved, routes, ["exchange", "routing_key"], how="left").withColumn("hop", F.lit(hop))
         cycle = F.coalesce(F.array_contains("path", F.col("bound_queue")), F.lit(False))
-        routed = kept(routed.withColumn("cycle", cycle).select(*columns, "hop", "reason", "bound_queue", "cycle"), f"moved-{hop}")
+        routed = routed.withColumn("cycle", cycle).select(*columns, "hop", "reason", "bound_queue", "cycle")
         letters.append(routed)
-        # a path names a message's place in a queue
-        left = join_on(live, routed.select("message_id", "path").distinct(), ["message_id", "path"], how="left_anti").select(*columns)
+        left = fates.where("reason IS NULL").select(*columns)
         # what was not looked at this time stays too
-        quiet = None if stayed is None else join_on(stayed, entered.select("queue").distinct(), ["queue"], how="left_anti")
+        left = left if stayed is None else left.unionByName(quiet)
         entered = routed.where("bound_queue IS NOT NULL AND NOT cycle").withColumn("path", F.concat("path", F.array("bound_queue")))
         entered = entered.withColumn("queue", F.col("bound_queue")).select(*columns)
         if entered.isEmpty():
             break
-        stayed = kept(left if quiet is None else left.unionByName(quiet), f"stayed-{hop}")
+        stayed = kept(left, f"stayed-{hop}")
         hop += 1
     events = reduce(DataFrame.unionByName, letters)
     return events.select("message_id", "hop", "queue", "reason", F.col("bound_queue").alias("to_queue"), "cycle")
