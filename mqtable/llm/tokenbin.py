@@ -36,13 +36,23 @@ CHUNK_CHARS, CACHED_CHARS = 1 << 21, 64
 
 # Texts of these characters alone take the cached path; any other goes to the tokenizer whole.
 _UNUSUAL = re.compile("[^\t\n\x20-\x7e\xa1-ɏ]")
-# A space between white space would belong to a longer run than the cached path can see.
-_RUNS = re.compile(r"  |\s \s")
+# A space between white space would belong to a longer run than the cached path can see.  Plain substrings
+# are found faster than a pattern; usual characters have no other white space.
+_RUNS = ("  ", "\n \n", "\n \t", "\t \n", "\t \t")
 _WHITE = re.compile(r"\s")
 # Marks at the end of a word are always a piece of their own (an apostrophe may not be).
 MARKS = ".,;:!?)"
 
 
+def _gaps(found: list) -> list[int]:
+    """Where ``found`` holds None."""
+    gaps, at = [], -1
+    for _ in range(found.count(None)):
+        at = found.index(None, at + 1)
+        gaps.append(at)
+    return gaps
+
+
 class Encoder:
     """Ids of texts as packed integers, equal to ``Tokenizer.encode(text, add_special_tokens=False)``.
 
@@ -83,7 +93,7 @@ class Encoder:
 
     def _parts(self, text: str) -> list[str] | None:
         """The parts of a text, all but the first after a space, or None for a text that must be encoded whole."""
-        if not self.plain or _UNUSUAL.search(text) or _RUNS.search(text) or any(s in text for s in self.special):
+        if not self.plain or _UNUSUAL.search(text) or any(s in text for s in _RUNS) or any(s in text for s in self.special):
             return None
         return text.split(" ")
 
@@ -143,11 +153,17 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The packed ids of every text."""
         split = [self._parts(text) for text in texts]
-        brief = self._learn(set(chain.from_iterable(parts[1:] for parts in split if parts)))
-        found, join = self.now.__getitem__, b"".join
+        now = self.now
+        # one look-up of every part; those not found are learnt together and filled in
+        found = [[] if parts is None else list(map(now.get, parts[1:])) for parts in split]
+        gaps = [_gaps(ids) for ids in found]
+        brief = self._learn({parts[i + 1] for parts, at in zip(split, gaps) for i in at})
+        for parts, ids, at in zip(split, found, gaps):
+            for i in at:
+                ids[i] = now[parts[i + 1]]
         out = [
-            self.whole(text) if parts is None else self.whole(parts[0]) + join(map(found, parts[1:]))
-            for text, parts in zip(texts, split)
+            self.whole(text) if parts is None else self.whole(parts[0]) + b"".join(ids)
+            for text, parts, ids in zip(texts, split, found)
         ]
         for p in brief:
             self.now.pop(p, None)
