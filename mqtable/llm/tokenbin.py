@@ -16,7 +16,6 @@ import os
 import re
 import uuid
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -36,30 +35,51 @@ CHUNK_CHARS, CACHED_CHARS = 1 << 21, 64
 
 # Texts of these characters alone take the cached path; any other goes to the tokenizer whole.
 _UNUSUAL = re.compile("[^\t\n\x20-\x7e\xa1-ɏ]")
-# A space between white space would belong to a longer run than the cached path can see.  Plain substrings
-# are found faster than a pattern; usual characters have no other white space.
-_RUNS = ("  ", "\n \n", "\n \t", "\t \n", "\t \t")
-_WHITE = re.compile(r"\s")
-# Marks at the end of a word are always a piece of their own (an apostrophe may not be).
-MARKS = ".,;:!?)"
-
-
-def _gaps(found: list) -> list[int]:
-    """Where ``found`` holds None."""
-    gaps, at = [], -1
-    for _ in range(found.count(None)):
-        at = found.index(None, at + 1)
-        gaps.append(at)
-    return gaps
+# What a byte is to the cuts: the space, other white space, ASCII letters and digits, ASCII marks.  The
+# apostrophe is none of them, as it may begin a word's piece.
+_SPACE, _BREAK, _WORD, _MARK = 1, 2, 4, 8
+_KIND = np.zeros(256, np.uint8)
+_KIND[[c for c in range(33, 127) if c != ord("'")]] = _MARK
+_KIND[[c for c in range(127) if chr(c).isalnum()]] = _WORD
+_KIND[ord(" ")] = _SPACE
+_KIND[[9, 10]] = _BREAK
+
+
+def _cuts(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where the UTF-8 bytes of usual texts, which begin at ``starts``, fall into parts; first 0, last the size.
+
+    A byte-level pre-tokenizer cuts at all these places, whatever is around them: before a run of white space
+    and before its last character if a word follows (a last space belongs to that word, any other character
+    stands alone), and between letters or digits and marks.
+    """
+    n = len(raw)
+    kind = _KIND[raw]
+    if n and raw.max() >= 0x80:
+        # the last byte of a letter from \u00c0 on, but for the signs of multiplication and division
+        lead, low = raw[:-1], raw[1:]
+        latin = (lead >= 0xC3) & (low < 0xC0) & (low >= 0x80) & ((lead != 0xC3) | ((low != 0x97) & (low != 0xB7)))
+        kind[1:][latin] = _WORD
+    white = (kind & (_SPACE | _BREAK)) != 0
+    followed = np.zeros(n, bool)
+    followed[:-1] = ~white[1:]
+    followed[starts[starts > 0] - 1] = False
+    before, after = kind[:-1], kind[1:]
+    cut = np.zeros(n + 1, bool)
+    cut[1:-1] = white[1:] & (followed[1:] | ~white[:-1])
+    cut[1:-1] |= ~white[1:] & ((before & _BREAK) != 0)
+    cut[1:-1] |= (before | after) & (_WORD | _MARK) == (_WORD | _MARK)
+    cut[starts] = True
+    cut[[0, n]] = True
+    return np.flatnonzero(cut)
 
 
 class Encoder:
     """Ids of texts as packed integers, equal to ``Tokenizer.encode(text, add_special_tokens=False)``.
 
-    For a byte-level BPE without a normalizer, the parts of a text between single spaces are encoded
-    independently.  A cache holds the parts that came up lately; what a chunk of texts asks for beyond it is
-    cut into words and marks, and the new words are joined to one text that one call of the library
-    encodes.  Only the first token of a word begins with its space, which cuts the result apart again.
+    For a byte-level BPE without a normalizer, the parts that ``_cuts`` gives are encoded independently.  The
+    distinct parts of a chunk of texts are looked up in a cache of those that came up lately; new ones are
+    joined to one text that one call of the library encodes.  Only the first token of a word begins with its
+    space, which cuts the result apart again.
     """
 
     def __init__(self, path: str):
@@ -73,13 +93,16 @@ class Encoder:
         self.code = "H" if len(vocabulary) <= 1 << 16 else "I"
         self.special = [str(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         kind = str(self.tokenizer.pre_tokenizer.__getstate__())
-        self.plain = self.tokenizer.normalizer is None and '"ByteLevel"' in kind and '"use_regex":true' in kind
+        self.plain = self.tokenizer.normalizer is None and all(
+            s in kind for s in ('"ByteLevel"', '"use_regex":true', '"add_prefix_space":false')
+        )
+        # new words are joined by white space, across which no special token may come about
+        self.plain = self.plain and not any(c.isspace() for s in self.special for c in s)
         # byte-level vocabularies write a space and a line feed as these letters
         self.spaced, self.feed = np.zeros(max(vocabulary.values()) + 1, bool), vocabulary.get("\u010a")
         self.spaced[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
         self.now: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {}
 
     def pack(self, ids: list[int]) -> bytes:
         return array.array(self.code, ids).tobytes()
@@ -91,82 +114,63 @@ class Encoder:
     def whole(self, text: str) -> bytes:
         return self.pack(self._ids(text))
 
-    def _parts(self, text: str) -> list[str] | None:
-        """The parts of a text, all but the first after a space, or None for a text that must be encoded whole."""
-        if not self.plain or _UNUSUAL.search(text) or any(s in text for s in _RUNS) or any(s in text for s in self.special):
-            return None
-        return text.split(" ")
+    def _usual(self, text: str) -> bool:
+        return self.plain and not _UNUSUAL.search(text) and not any(s in text for s in self.special)
 
-    def _joined(self, words: list[str], sep: str) -> Iterator[bytes]:
-        """The ids of every word: with its space before it, or, for ``sep`` a line feed, of the word alone."""
-        ids = np.array(self._ids(sep + sep.join(words)), "<u2" if self.code == "H" else "<u4")
+    def _joined(self, text: str, sep: str) -> Iterator[bytes]:
+        """The ids of every part of ``text``: they begin with a space or, for ``sep`` a line feed, come after one."""
+        ids = np.array(self._ids(text), "<u2" if self.code == "H" else "<u4")
         flat, step = ids.tobytes(), ids.itemsize
         at = (np.flatnonzero(self.spaced[ids] if sep == " " else ids == self.feed) * step).tolist()
         skip = 0 if sep == " " else step
-        return (flat[lo + skip : hi] for lo, hi in zip(at, [*at[1:], len(flat)]))
-
-    def _mark(self, marks: str) -> bytes:
-        if marks not in self.marks:
-            if len(self.marks) >= 1 << 12:
-                self.marks.clear()
-            self.marks[marks] = self.whole(marks)
-        return self.marks[marks]
+        return (flat[lo + skip : hi] for lo, hi in zip(at, [*at[1:], len(flat)], strict=True))
 
-    def _learn(self, parts: set[str]) -> set[str]:
-        """Put the ids of " " + part into the cache for all ``parts``; returns what should not stay there."""
+    def _learn(self, parts: list[str]) -> list[str]:
+        """Put the ids of ``parts``, which lack there, into the cache; returns those that should not stay."""
         now, old = self.now, self.old
-        # difference() with a dict walks the parts, the operator would walk the whole cache
-        missing = parts.difference(now)
-        again = missing & old.keys()
-        now.update((p, old[p]) for p in again)
-        missing -= again
-        words, marked, broken = [], [], []
-        for p in missing:
-            if p.isalpha():
-                words.append(p)
-            elif (word := p.rstrip(MARKS)).isalpha():
-                marked.append((p, word))
-            elif not _WHITE.search(p) and p:
-                words.append(p)
+        spaced, bare = [], []
+        for p in parts:
+            if p in old:
+                now[p] = old[p]
+            elif p.isspace():
+                now[p] = self.whole(p)
             else:
-                above, feed, below = p.partition("\n")
-                if feed and above and below and not _WHITE.search(above) and not _WHITE.search(below):
-                    broken.append((p, above, below))
-                else:
-                    now[p] = self.whole(" " + p)
-        # a line break stands alone between its two words
-        extra = {above for _, above, _ in broken}
-        extra.update(word for _, word in marked)
-        extra = extra.difference(now)
-        extra.difference_update(words)
-        words.extend(extra)
-        if words:
-            now.update(zip(words, self._joined(words, " ")))
-        for p, word in marked:
-            now[p] = now[word] + self._mark(p[len(word) :])
-        if broken:
-            below = list({b for _, _, b in broken})
-            bare, feed = dict(zip(below, self._joined(below, "\n"))), self.pack([self.feed])
-            now.update((p, now[a] + feed + bare[b]) for p, a, b in broken)
-        return {p for p in chain(missing, extra) if len(p) > CACHED_CHARS}
+                (spaced if p[0] == " " else bare).append(p)
+        if spaced:
+            now.update(zip(spaced, self._joined("".join(spaced), " "), strict=True))
+        if bare:
+            now.update(zip(bare, self._joined("\n" + "\n".join(bare), "\n"), strict=True))
+        return [p for p in parts if len(p) > CACHED_CHARS]
+
+    def _cached(self, texts: list[str]) -> Iterator[bytes]:
+        """The packed ids of usual texts."""
+        import pyarrow as pa
+
+        column = pa.array(texts, pa.large_string())
+        _, offsets, data = column.buffers()
+        bounds = np.frombuffer(offsets, np.int64)[: len(texts) + 1]
+        cuts = _cuts(np.frombuffer(data or b"", np.uint8)[: bounds[-1]], bounds[:-1])
+        parts = pa.Array.from_buffers(pa.large_string(), len(cuts) - 1, [None, pa.py_buffer(cuts), data or pa.py_buffer(b"")])
+        coded = parts.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.now.get, distinct))
+        gaps = [i for i, ids in enumerate(found) if ids is None]
+        brief = self._learn([distinct[i] for i in gaps])
+        for i in gaps:
+            found[i] = self.now[distinct[i]]
+        for p in brief:
+            del self.now[p]
+        ids = pa.array(found, pa.large_binary()).take(coded.indices)
+        _, offsets, data = ids.buffers()
+        ends = np.frombuffer(offsets, np.int64)[np.searchsorted(cuts, bounds)].tolist()
+        flat = memoryview(data or b"")
+        return (bytes(flat[lo:hi]) for lo, hi in zip(ends, ends[1:]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The packed ids of every text."""
-        split = [self._parts(text) for text in texts]
-        now = self.now
-        # one look-up of every part; those not found are learnt together and filled in
-        found = [[] if parts is None else list(map(now.get, parts[1:])) for parts in split]
-        gaps = [_gaps(ids) for ids in found]
-        brief = self._learn({parts[i + 1] for parts, at in zip(split, gaps) for i in at})
-        for parts, ids, at in zip(split, found, gaps):
-            for i in at:
-                ids[i] = now[parts[i + 1]]
-        out = [
-            self.whole(text) if parts is None else self.whole(parts[0]) + b"".join(ids)
-            for text, parts, ids in zip(texts, split, found)
-        ]
-        for p in brief:
-            self.now.pop(p, None)
+        usual = [self._usual(text) for text in texts]
+        cached = self._cached([text for text, u in zip(texts, usual) if u])
+        out = [next(cached) if u else self.whole(text) for text, u in zip(texts, usual)]
         if len(self.now) >= CACHE_ENTRIES // 2:
             # what the old generation holds is taken over when it is asked for, else it goes
             self.old, self.now = self.now, {}

@@ -289,6 +289,33 @@ def test_encoder_generations(monkeypatch):
     assert len(encode.now) + len(encode.old) <= 40
 
 
+def test_encoder_equals_the_library_at_every_cut():
+    import public_tokenizers
+
+    encode = tokenbin.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    rnd = random.Random(2)
+    parts = [" ", " ", "  ", "\n", "\t", "\n\n", "'", "'s", "'ll", ".", ".'", "(", "_", "-", "x", "End", "7", "é", "×", "÷", "½", "«", "ǅ", "ɏ", "ß", "\xad", "\xa0", "\r", "漢", "<|", "<|endoftext|>"]
+    for _ in range(300):
+        texts = ["".join(rnd.choice(parts[: rnd.choice((25, len(parts)))]) for _ in range(rnd.randrange(14))) for _ in range(rnd.randrange(40))]
+        for text, got in zip(texts, encode.encode(texts), strict=True):
+            assert got == encode.whole(text), repr(text)
+
+
+def test_encoder_learns_a_word_once(monkeypatch):
+    import public_tokenizers
+
+    encode, asked = tokenbin.Encoder(public_tokenizers.path("byte_bpe_50k.json")), []
+    library = encode._ids
+    monkeypatch.setattr(encode, "_ids", lambda text: asked.append(text) or library(text))
+    texts = [f"Some word{mark}\nNext{mark} (word)  word\n" for mark in ("", ".", "!", "...", " -", "%%%", "###")]
+    want = [encode.pack(library(text)) for text in texts]
+    assert encode.encode(texts) == want
+    # marks, line ends and runs of white space do not make a known word a new one, nor a text unusual
+    assert "".join(asked).count("word") == 2 and len(asked) < len(texts)
+    asked.clear()
+    assert encode.encode(texts) == want and not asked
+
+
 def test_repeated_tail_is_seen():
     words = [f"w{i}" for i in range(96)]
     at = [gam.FEATURES.index(f) for f in ("least_distinct", "most_repeats")]
