@@ -78,8 +78,8 @@ class Encoder:
 
     For a byte-level BPE without a normalizer, the parts that ``_cuts`` gives are encoded independently.  The
     distinct parts of a chunk of texts are looked up in a cache of those that came up lately; new ones are
-    joined to one text that one call of the library encodes.  Only the first token of a word begins with its
-    space, which cuts the result apart again.
+    joined to two texts, with and without a space before each, that one call of the library each encodes.  Only
+    the first token of a word begins with its space, which cuts the result apart again, as line feeds do.
     """
 
     def __init__(self, path: str):
